@@ -17,25 +17,29 @@ TABLES = (
 ).split()
 
 
-def expected(folder: str, sql: str) -> tuple[list[str], list[tuple]]:
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def expected(folder: str, sql: str) -> tuple[list[str], list[str], list[tuple]]:
     connection = duckdb.connect()
     for name in TABLES:
         connection.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
     result = connection.execute(sql)
-    return [d[0] for d in result.description], result.fetchall()
+    return [d[0] for d in result.description], [str(d[1]) for d in result.description], result.fetchall()
 
 
-def normal(columns: list[str], rows: list) -> tuple[list[str], list[tuple]]:
-    """Columns by name, rows as sorted text."""
+def normal(columns: list[str], types: list[str], rows: list) -> tuple[list[tuple], list[tuple]]:
+    """Columns and types by name, rows as sorted text."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted(tuple(repr(row[i]) for i in order) for row in rows)
-    return [columns[i] for i in order], lines
+    return [(columns[i], types[i]) for i in order], lines
 
 
 def compare(spark, folder: str, name: str, query, sql: str) -> str:
     """Empty when equal, otherwise what differs."""
     frame = query(spark, folder)
-    got = normal(frame.columns, [tuple(r) for r in frame.collect()])
+    types = [TYPES.get(kind, kind) for _, kind in frame.dtypes]
+    got = normal(frame.columns, types, [tuple(r) for r in frame.collect()])
     want = normal(*expected(folder, sql))
     if got == want:
         return "" if got[1] else "no rows"

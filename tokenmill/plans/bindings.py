@@ -24,8 +24,8 @@ METRICS = {
     "view": "eval/val_loss",
 }
 MERGES = [
-    " t", "he", "in", "er", "on", "an", "re", " a", "th", "en", "es", "ou", "nd", " o", "is", "ei", "ch",
-    " the", "ing", "tion", " and",
+    " t", "he", "in", "er", "on", "an", "re", " a", "th", "en", "es", "ou", "nd", " o", "is", "ei", "ch", "ti",
+    " the", "ing", "and", "tion",
 ]
 # ---- end of fixed values ----
 

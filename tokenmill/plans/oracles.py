@@ -39,13 +39,13 @@ STREAM = f"""{SPLIT}, each as (
   select split, doc_id, unnest(tokens) as tok, unnest(range(len(tokens))) as i from docs
 ), stream as (
   select split, tok, doc_id, i,
-    row_number() over (partition by split order by doc_id, i) - 1 as at,
+    row_number() over (partition by split order by doc_id, i) - 1 as spot,
     lead(tok) over (partition by split order by doc_id, i) as following,
     count(*) over (partition by split) as n
   from each
 ), blocks as (
-  select split, at // {B.BLOCK} as block_id, list(tok order by at) as x, list(following order by at) as y
-  from stream where at // {B.BLOCK} < (n - 1) // {B.BLOCK} group by 1, 2
+  select split, spot // {B.BLOCK} as block_id, list(tok order by spot) as x, list(following order by spot) as y
+  from stream where spot // {B.BLOCK} < (n - 1) // {B.BLOCK} group by 1, 2
 )"""
 
 BIGRAMS = f"""
@@ -191,11 +191,11 @@ words as (
 
 CLOZES = """
 cut as (
-  select item_id, string_split(text, ' ') as w, len(string_split(text, ' ')) // 2 as at,
+  select item_id, string_split(text, ' ') as w, len(string_split(text, ' ')) // 2 as mid,
     (select count(*) from benchmark) as n from benchmark
 ), middles as (
-  select item_id, n, w[at + 1] as word,
-    array_to_string(w[1:at], ' ') || ' ' as before, ' ' || array_to_string(w[at + 2:len(w)], ' ') as after from cut
+  select item_id, n, w[mid + 1] as word,
+    array_to_string(w[1:mid], ' ') || ' ' as before, ' ' || array_to_string(w[mid + 2:len(w)], ' ') as after from cut
 ), clozes as (
   select m.item_id, cast(j as int) as choice_idx, m.before as context,
     case when (m.item_id + j) % 2 = 0 then m.word else o.word end || m.after as continuation,
@@ -407,10 +407,10 @@ select item_id, choice_idx, score from scored_choices""",
 {CLOZES}, {_scored('clozes', 'scored_clozes')}, {CLOZE_PICKS}, {LAST_WORDS}, {LAST_WORD_PICKS}, hits as (
   select 'choice' as task, * from choice_picks union all select 'cloze', * from cloze_picks
   union all select 'lastword', * from lastword_picks
-), counted as (
+), numbered as (
   select task, row_number() over w as n, avg(hit) over w as acc from hits
   window w as (partition by task order by item_id rows unbounded preceding)
-) select task, n, acc from counted where n % {B.RUNNING_EVERY} = 0""",
+) select task, n, acc from numbered where n % {B.RUNNING_EVERY} = 0""",
     "masked_loss": f"""with {SPLIT}, {BIGRAMS}, {TENSORS}, looked as (
   select conv_id, unnest(x) as prev, unnest(y) as next from targets where align = 'input'
 ) select q.conv_id, -cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) filter (where q.next <> {C.IGNORE_INDEX}) as bigint)
