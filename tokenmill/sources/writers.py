@@ -43,7 +43,7 @@ def input_fingerprint(spark: SparkSession, path: str) -> str:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     facts = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
     total, count = files.agg(F.sum(facts), F.count(F.lit(1))).first()
-    return f"{count}-{(total or 0) % (1 << 64):016x}" if count else "empty"
+    return f"{count}-{int(total) % (1 << 64):016x}" if count else "empty"
 
 
 def build_once(spark: SparkSession, folder: str, fingerprint: str, build: Callable[[], DataFrame]) -> DataFrame:
