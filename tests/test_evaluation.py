@@ -62,7 +62,7 @@ def test_long_requests_lose_their_left(spark):
 
 
 def _fit(spark, texts):
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     return scoring.fit_bigram(docs, BYTES)
 
 

@@ -33,8 +33,9 @@ def test_malformed_json_fails(spark, tmp_path):
 
 @pytest.mark.parametrize("scheme", ["", "file://"])
 def test_packed_records_round_trip(spark, docs, tmp_path, scheme):
-    blocks = corpus.pack_blocks(corpus.token_store(docs, ByteTokenizer()), 64).cache()
-    parts = writers.export_blocks(blocks, f"{scheme}{tmp_path}/packed", files=5)
+    store = corpus.token_store(docs, ByteTokenizer())
+    blocks = corpus.pack_blocks(store, 64).cache()
+    parts = writers.export_blocks(store, f"{scheme}{tmp_path}/packed", 64, blocks_per_file=700)
     assert parts.agg(F.sum("records")).first()[0] == blocks.count()
     for read in (7, 4096):
         back = readers.packed_blocks(spark, f"{scheme}{tmp_path}/packed", records_per_read=read)
@@ -43,7 +44,7 @@ def test_packed_records_round_trip(spark, docs, tmp_path, scheme):
 
 def test_flat_export_is_the_token_stream(spark, docs, tmp_path):
     store = corpus.token_store(docs, ByteTokenizer())
-    writers.export_blocks(corpus.pack_blocks(store, 64), f"{tmp_path}/flat", files=3, overlap=False)
+    writers.export_blocks(store, f"{tmp_path}/flat", 64, blocks_per_file=1000, overlap=False)
     parts = spark.read.parquet(f"{tmp_path}/flat/manifest").where("split = 'train'").orderBy("first_block").collect()
     stream = np.concatenate([np.fromfile(p.path, "<u2") for p in parts])
     rows = store.where("split = 'train'").orderBy("tok_start").select("tokens").collect()
@@ -52,9 +53,11 @@ def test_flat_export_is_the_token_stream(spark, docs, tmp_path):
 
 
 def test_export_checks_the_range(spark, tmp_path):
-    bad = spark.createDataFrame([("train", 0, [70000], [1])], "split string, block_id bigint, x array<int>, y array<int>")
+    bad = spark.createDataFrame(
+        [("train", [1, 70000, 2], 3, 0)], "split string, tokens array<int>, n_tokens bigint, tok_start bigint"
+    )
     with pytest.raises(Exception, match="16 bits"):
-        writers.export_blocks(bad, f"{tmp_path}/bad", files=1)
+        writers.export_blocks(bad, f"{tmp_path}/bad", 2)
 
 
 def test_token_store_is_partitioned(spark, docs, tmp_path):

@@ -41,5 +41,5 @@ def ignore_masked(target: Column, mask: Column) -> Column:
 
 
 def digest(array: Column) -> Column:
-    """md5 of the comma-joined entries, to compare long arrays."""
-    return F.md5(F.array_join(array.cast("array<string>"), ","))
+    """md5 of the entries written as a JSON array, to compare long arrays."""
+    return F.md5(F.to_json(array))

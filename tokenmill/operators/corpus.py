@@ -9,6 +9,7 @@ from tokenmill import constants as C
 from tokenmill.functions import arrays
 from tokenmill.functions.tokenizers import document_length, document_tokens
 from tokenmill.operators.ordering import Running, kth_key, positions, precedes, running
+from tokenmill.session import spread
 
 # documents one task tokenizes and holds in order; they carry their text
 DOCS_PER_SEGMENT = 100_000
@@ -20,8 +21,7 @@ def validation_count(rows: int, fraction: float) -> int:
 
 def first_validation_doc(docs: DataFrame, fraction: float = C.CORPUS_VAL_FRACTION) -> tuple | None:
     """Key of the first document of the validation part, which is the tail of the corpus."""
-    rows = docs.count()
-    return kth_key(docs, ["doc_id"], rows - validation_count(rows, fraction))
+    return kth_key(docs, ["doc_id"], lambda rows: rows - validation_count(rows, fraction))
 
 
 def with_split(docs: DataFrame, fraction: float = C.CORPUS_VAL_FRACTION) -> DataFrame:
@@ -46,8 +46,8 @@ def corpus_stats(docs: DataFrame, tokenizer, fraction: float = C.CORPUS_VAL_FRAC
 
 
 def tokenize_documents(docs: DataFrame, tokenizer) -> DataFrame:
-    """(doc_id, tokens, n_tokens); narrow, so it serves batch and stream."""
-    return docs.select("doc_id", document_tokens(tokenizer, F.col("text")).alias("tokens")).withColumn(
+    """(doc_id, tokens, n_tokens); row by row, so it serves batch and stream."""
+    return spread(docs.select("doc_id", "text"), "doc_id").select("doc_id", document_tokens(tokenizer, F.col("text")).alias("tokens")).withColumn(
         "n_tokens", F.size("tokens")
     )
 
@@ -71,7 +71,7 @@ def _with_offsets(docs: DataFrame, tokenizer, docs_per_segment: int) -> DataFram
     if tokenizer.counts_cheaply:
         sized = docs.withColumn("n_tokens", document_length(tokenizer, F.col("text")))
     else:
-        sized = docs.withColumn("tokens", document_tokens(tokenizer, F.col("text"))).drop("text")
+        sized = spread(docs, "doc_id").withColumn("tokens", document_tokens(tokenizer, F.col("text"))).drop("text")
         sized = sized.withColumn("n_tokens", F.size("tokens").cast("bigint"))
     placed = running(
         sized,
@@ -79,6 +79,7 @@ def _with_offsets(docs: DataFrame, tokenizer, docs_per_segment: int) -> DataFram
         [Running("tok_start", "sum", F.col("n_tokens"))],
         group=["split"],
         rows_per_segment=docs_per_segment,
+        min_segments=4 * docs.sparkSession.sparkContext.defaultParallelism,
     )
     if tokenizer.counts_cheaply:
         placed = placed.withColumn("tokens", document_tokens(tokenizer, F.col("text")))
@@ -90,11 +91,15 @@ def block_count(tokens: int, block_size: int = C.BLOCK_SIZE) -> int:
     return max(tokens - 1, 0) // block_size
 
 
-def pack_blocks(store: DataFrame, block_size: int = C.BLOCK_SIZE) -> DataFrame:
+def pack_blocks(
+    store: DataFrame, block_size: int = C.BLOCK_SIZE, blocks_per_file: int | None = None
+) -> DataFrame:
     """(split, block_id, x, y): the stream of each split cut at multiples of ``block_size``.
 
     A document gives one slice per block it touches, never one row per token; a block has at
     most ``block_size + 1`` slices. The rest of the stream behind the last block is left out.
+    With ``blocks_per_file`` there is a ``file`` column too, and the blocks of a file come in
+    one task by the same shuffle.
     """
     size, start, n = F.lit(block_size), F.col("tok_start"), F.col("n_tokens")
     first = F.expr(f"greatest(tok_start - 1, 0) div {block_size}")
@@ -111,11 +116,15 @@ def pack_blocks(store: DataFrame, block_size: int = C.BLOCK_SIZE) -> DataFrame:
         F.greatest(start, origin).alias("at"),
         F.slice("tokens", (skip + 1).cast("int"), take.cast("int")).alias("part"),
     )
-    blocks = slices.groupBy("split", "block_id").agg(
+    keys = ["split", "block_id"]
+    if blocks_per_file:
+        keys.append("file")
+        slices = slices.withColumn("file", F.expr(f"block_id div {blocks_per_file}")).repartition("split", "file")
+    blocks = slices.groupBy(*keys).agg(
         F.flatten(F.sort_array(F.collect_list(F.struct("at", "part")))["part"]).alias("block")
     )
     return blocks.where(F.size("block") == block_size + 1).select(
-        "split", "block_id", arrays.inputs(F.col("block")).alias("x"), arrays.targets(F.col("block")).alias("y")
+        *keys, arrays.inputs(F.col("block")).alias("x"), arrays.targets(F.col("block")).alias("y")
     )
 
 

@@ -14,7 +14,7 @@ What reaches the driver is bounded: one histogram per refinement, one list of ho
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -26,11 +26,12 @@ from tokenmill import constants as C
 HISTOGRAM_BINS = 4096
 LEAF_ROWS = 100_000  # rows one task may sort to pick a key
 ROWS_PER_SEGMENT = 1_000_000  # rows one task may hold in order
-ROWS_PER_CORE = 256  # below this, cutting for parallelism does not pay
+ROWS_PER_CUT = 128  # below this, cutting for parallelism does not pay
 MAX_SEGMENTS = 1 << 18
 MAX_HOT_GROUPS = 1000
 
 SEGMENT = "_segment"
+SHUFFLE_KEY_LIMIT = 16**15  # shuffle keys are below this, evenly
 
 
 # ---- shuffle keys -------------------------------------------------------------------
@@ -52,15 +53,19 @@ def _hex_number(digits: Column) -> Column:
 # ---- selection ----------------------------------------------------------------------
 
 
-def kth_key(df: DataFrame, keys: Sequence[str], k: int, leaf_rows: int = LEAF_ROWS) -> tuple | None:
+def kth_key(
+    df: DataFrame, keys: Sequence[str], k: int | Callable[[int], int], leaf_rows: int = LEAF_ROWS
+) -> tuple | None:
     """The key tuple at 0-based rank ``k`` of the order by ``keys``; None past the end.
 
-    Exactly ``k`` rows precede it (see ``precedes``). Each pass counts rows in equal ranges
+    ``k`` may be a function of the row count, which is known here anyway. Exactly ``k`` rows precede it (see ``precedes``). Each pass counts rows in equal ranges
     of the leading key and goes on within the range that holds the rank.
     """
     scope = df.select(*keys)
     for key in keys:
         low, high, rows = scope.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        if callable(k):
+            k = k(rows)
         if k >= rows:
             return None
         while rows > leaf_rows and low < high:
@@ -101,7 +106,7 @@ def segment_cuts(df: DataFrame, key: str, rows_per_segment: int, min_segments: i
     low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     if not rows:
         return 0, []
-    segments = max(math.ceil(rows / rows_per_segment), min(min_segments, rows // ROWS_PER_CORE))
+    segments = max(math.ceil(rows / rows_per_segment), min(min_segments, rows // ROWS_PER_CUT))
     segments = min(segments, MAX_SEGMENTS)
     if segments <= 1 or low == high:
         return low, []
@@ -147,16 +152,18 @@ def add_segments(
     group: Sequence[str] = (),
     few_groups: bool = True,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    min_segments: int = 1,
 ) -> tuple[DataFrame, bool]:
     """``df`` with a segment column, and whether there is more than one segment.
 
     ``few_groups``: all rows are cut by key range. Otherwise only groups that exceed what
-    one task may hold are cut; the rest stay whole in segment 0.
+    one task may hold are cut; the rest stay whole in segment 0. ``min_segments`` asks for
+    more cuts than size demands, to spread heavy rows.
     """
     spark = df.sparkSession
     keys = df.select(*group, key)
     if few_groups:
-        low, cuts = segment_cuts(keys, key, rows_per_segment, spark.sparkContext.defaultParallelism)
+        low, cuts = segment_cuts(keys, key, rows_per_segment, min_segments)
         if not cuts:
             return df.withColumn(SEGMENT, F.lit(0)), False
         return _assign(df, key, low, cuts), True
@@ -205,6 +212,7 @@ def running(
     group: Sequence[str] = (),
     few_groups: bool = True,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    min_segments: int = 1,
     keep_segments: bool = False,
 ) -> DataFrame:
     """Adds each measure over the rows before this one, in its group, by ``order``.
@@ -212,7 +220,7 @@ def running(
     ``order[0]`` is the integer key that segments are cut by. The rows pass through one
     shuffle by (group, segment); the carry table has one row per group and segment.
     """
-    cut, several = add_segments(df, order[0], group, few_groups, rows_per_segment)
+    cut, several = add_segments(df, order[0], group, few_groups, rows_per_segment, min_segments)
     # a struct compares as equal where its nulls agree, so null groups keep their carry
     members = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("all"))
     cut = cut.withColumn("_group", members)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tokenmill import constants as C
 from tokenmill.functions.tokenizers import document_tokens
-from tokenmill.session import cut_lineage
+from tokenmill.session import cut_lineage, spread
 
 MICRO = 1_000_000
 BROADCAST_PAIRS = 1_000_000  # about 40 MB as a hash table
@@ -37,7 +37,8 @@ def bigram_counts(docs: DataFrame, tokenizer) -> DataFrame:
     stream. Pairs are counted before they are shuffled.
     """
     end = F.array(tokenizer.end_of_text())
-    tokens = docs.select(document_tokens(tokenizer, F.col("text")).alias("tokens"))
+    texts = spread(docs.select("doc_id", "text"), "doc_id")
+    tokens = texts.select(document_tokens(tokenizer, F.col("text")).alias("tokens"))
     shifted = F.concat(end, F.slice("tokens", F.lit(1), F.size("tokens") - 1))
     pairs = tokens.select(F.explode(F.arrays_zip(shifted.alias("prev"), F.col("tokens").alias("next"))).alias("p"))
     counts = pairs.groupBy(F.col("p.prev").alias("prev"), F.col("p.next").alias("next")).agg(

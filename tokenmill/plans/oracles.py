@@ -16,7 +16,7 @@ def _bytes(text: str) -> str:
 
 
 def _digest(values: str) -> str:
-    return f"md5(array_to_string({values}, ','))"
+    return f"md5('[' || array_to_string({values}, ',') || ']')"
 
 
 def _shuffled(stage: str, row_id: str) -> str:

@@ -12,7 +12,7 @@ from tokenmill.functions import arrays, formats, text
 from tokenmill.functions.tokenizers import BpeTokenizer, ByteTokenizer, PieceTokenizer, ranks_from_merges
 from tokenmill.operators import checkpoints, corpus, instruct, metrics, picks, requests, sampling, scoring, tensors
 from tokenmill.plans import bindings
-from tokenmill.session import cut_lineage, fresh_path
+from tokenmill.session import cut_lineage, fresh_path, spread
 from tokenmill.sources import readers, writers
 from tokenmill.streaming import best as best_stream
 from tokenmill.streaming import checkpoints as checkpoint_stream
@@ -53,7 +53,7 @@ def tokenize_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tokenize_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    coded = readers.documents(spark, folder).select("doc_id", PieceTokenizer().encode(F.col("text")).alias("p"))
+    coded = spread(readers.documents(spark, folder), "doc_id").select("doc_id", PieceTokenizer().encode(F.col("text")).alias("p"))
     return coded.select(
         "doc_id", F.size("p").alias("n_pieces"), F.md5(F.array_join("p", "|")).alias("pieces_md5")
     )
@@ -89,9 +89,8 @@ def pack_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def packed_export(spark: SparkSession, folder: str) -> DataFrame:
-    blocks = corpus.pack_blocks(_store(spark, folder), bindings.BLOCK)
     target = fresh_path(spark, "packed")
-    writers.export_blocks(blocks, target, files=spark.sparkContext.defaultParallelism)
+    writers.export_blocks(_store(spark, folder), target, bindings.BLOCK, blocks_per_file=4096)
     return _block_digests(readers.packed_blocks(spark, target))
 
 
@@ -448,7 +447,7 @@ def version_compare(spark: SparkSession, folder: str) -> DataFrame:
 def stream_corpus_tokens(spark: SparkSession, folder: str) -> DataFrame:
     target = fresh_path(spark, "tokens")
     docs = corpus_stream.document_stream(spark, folder, "documents.parquet")
-    corpus_stream.tokenize_stream(docs, BYTES, target, target + "-state")
+    corpus_stream.tokenize_stream(docs, BYTES, target, target + "-state", spark.sparkContext.defaultParallelism)
     stored = spark.read.schema("doc_id BIGINT, tokens ARRAY<INT>, n_tokens INT").parquet(target)
     return stored.select("doc_id", "n_tokens", arrays.digest(F.col("tokens")).alias("tok_md5"))
 

@@ -20,6 +20,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -48,3 +49,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, so later passes read it instead of redoing it."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores, for work that is heavy per row.
+
+    Only where the scan gives fewer partitions than there are cores, so a large input is never
+    shuffled for this. The keys should be unique.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

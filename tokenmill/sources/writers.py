@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tokenmill import constants as C
 from tokenmill import schemas
 from tokenmill.operators import sampling
+from tokenmill.operators.corpus import pack_blocks
+from tokenmill.operators.ordering import SHUFFLE_KEY_LIMIT
 from tokenmill.sources.files import filesystem, is_complete
 
 
@@ -20,10 +22,15 @@ def write_token_store(store: DataFrame, path: str) -> None:
     store.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def write_sft_json(dataset: DataFrame, path: str) -> None:
-    """One example per line, one folder per split, files in shuffled order."""
-    order = ["split", *sampling.KEYS, "start"]
-    placed = dataset.repartitionByRange(*order).sortWithinPartitions(*order)
+def write_sft_json(dataset: DataFrame, path: str, files: int | None = None) -> None:
+    """One example per line, one folder per split, files in shuffled order.
+
+    The shuffle key is uniform, so equal ranges of it are equal files: no sampling pass.
+    """
+    files = files or dataset.sparkSession.sparkContext.defaultParallelism
+    span = -(-SHUFFLE_KEY_LIMIT // files)
+    placed = dataset.withColumn("_file", F.expr(f"`{sampling.KEYS[0]}` div {span}L"))
+    placed = placed.repartition(files, "_file").sortWithinPartitions("split", *sampling.KEYS, "start")
     columns = ["split", "example_id", "source", "start", "tokens", "loss_mask"]
     placed.select(*columns).write.mode("overwrite").partitionBy("split").json(path)
 
@@ -57,57 +64,64 @@ def build_once(spark: SparkSession, folder: str, fingerprint: str, build: Callab
     return spark.read.parquet(path)
 
 
-def export_blocks(blocks: DataFrame, folder: str, files: int, overlap: bool = True) -> DataFrame:
-    """Fixed-length binary records of 16-bit tokens, in block order; returns the part list.
+def export_blocks(
+    store: DataFrame, folder: str, block_size: int, blocks_per_file: int = 1 << 16, overlap: bool = True
+) -> DataFrame:
+    """Packs a token store into fixed-length binary records of 16-bit tokens, in block order;
+    returns the part list.
 
     A record is a block and, with ``overlap``, the next token, so that it stands alone. Without
     it the parts of a split in block order are its flat token stream. Each task attempt writes
     files of its own; the part list names those of the attempts that were committed.
     """
-    order = ["split", "block_id"]
+    blocks = pack_blocks(store, block_size, blocks_per_file)
     record = F.concat("x", F.slice("y", -1, 1)) if overlap else F.col("x")
-    ids = blocks.select(*order, record.alias("record"))
-    placed = ids.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    order = ["split", "file", "block_id"]
+    placed = blocks.select(*order, record.alias("record")).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        attempt, target, split, part = uuid.uuid4().hex, None, None, None
-        done = []
+        attempt, target, current, done = uuid.uuid4().hex, None, None, []
         try:
             for batch in batches:
-                names, block_ids, records = (batch.column(i) for i in range(3))
-                for row in range(batch.num_rows):
-                    if names[row].as_py() != split:
+                splits, numbers, ids = (batch.column(i).to_pylist() for i in range(3))
+                tokens = batch.column(3).flatten().to_numpy()
+                if tokens.size and not 0 <= tokens.min() <= tokens.max() <= C.MAX_TOKEN_ID:
+                    raise ValueError("token id does not fit 16 bits")
+                width = tokens.size // batch.num_rows if batch.num_rows else 0
+                rows = tokens.astype("<u2").reshape(batch.num_rows, width)
+                for begin, end in _stretches(splits, numbers):
+                    if (splits[begin], numbers[begin]) != current:
                         if target is not None:
                             target.close()
-                        split = names[row].as_py()
-                        path = f"{folder}/{split}-{block_ids[row].as_py():012d}-{attempt}.bin"
-                        store, inner = filesystem(path)
-                        store.create_dir(inner.rsplit("/", 1)[0])
-                        target = store.open_output_stream(inner)
-                        part = {"split": split, "path": path, "first_block": block_ids[row].as_py(), "records": 0}
-                        done.append(part)
-                    tokens = records[row].values.to_numpy()
-                    if tokens.size and not 0 <= tokens.min() <= tokens.max() <= C.MAX_TOKEN_ID:
-                        raise ValueError("token id does not fit 16 bits")
-                    target.write(tokens.astype("<u2").tobytes())
-                    part["records"] += 1
-                    part["record_tokens"] = int(tokens.size)
+                        current = splits[begin], numbers[begin]
+                        path = f"{folder}/{current[0]}-{current[1]:08d}-{attempt}.bin"
+                        target = _open(path)
+                        done.append([current[0], path, ids[begin], 0, width])
+                    target.write(rows[begin:end].tobytes())
+                    done[-1][3] += end - begin
         finally:
             if target is not None:
                 target.close()
         if done:
-            yield pa.RecordBatch.from_pylist(
-                done,
-                pa.schema(
-                    [
-                        ("split", pa.string()),
-                        ("path", pa.string()),
-                        ("first_block", pa.int64()),
-                        ("records", pa.int64()),
-                        ("record_tokens", pa.int32()),
-                    ]
-                ),
-            )
+            columns = [pa.array(column) for column in zip(*done, strict=True)]
+            columns[4] = columns[4].cast(pa.int32())
+            yield pa.RecordBatch.from_arrays(columns, ["split", "path", "first_block", "records", "record_tokens"])
 
     placed.mapInArrow(write, schemas.PACKED_PARTS).write.mode("overwrite").parquet(f"{folder}/manifest")
-    return blocks.sparkSession.read.schema(schemas.PACKED_PARTS).parquet(f"{folder}/manifest")
+    return store.sparkSession.read.schema(schemas.PACKED_PARTS).parquet(f"{folder}/manifest")
+
+
+def _stretches(*columns: list) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of rows that agree in all columns."""
+    begin = 0
+    rows = list(zip(*columns, strict=True))
+    for row in range(1, len(rows) + 1):
+        if row == len(rows) or rows[row] != rows[begin]:
+            yield begin, row
+            begin = row
+
+
+def _open(path: str) -> pa.NativeFile:
+    store, inner = filesystem(path)
+    store.create_dir(inner.rsplit("/", 1)[0])
+    return store.open_output_stream(inner)

@@ -17,11 +17,16 @@ def document_stream(
     return reader.parquet(folder)
 
 
-def tokenize_stream(docs: DataFrame, tokenizer, target: str, checkpoint: str) -> None:
+def tokenize_stream(
+    docs: DataFrame, tokenizer, target: str, checkpoint: str, spread_over: int | None = None
+) -> None:
     """Take in what is there and stop. Stateless; a restart goes on behind the last commit.
 
+    ``spread_over`` redistributes each batch, for arrivals of few files for many cores.
     Split and packing need positions over the whole corpus and follow as batch steps.
     """
+    if spread_over:
+        docs = docs.repartition(spread_over, "doc_id")
     tokens = tokenize_documents(docs, tokenizer)
     query = (
         tokens.writeStream.format("parquet")
