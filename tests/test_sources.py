@@ -37,8 +37,8 @@ def test_packed_records_round_trip(spark, docs, tmp_path, scheme):
     blocks = corpus.pack_blocks(store, 64).cache()
     parts = writers.export_blocks(store, f"{scheme}{tmp_path}/packed", 64, blocks_per_file=700)
     assert parts.agg(F.sum("records")).first()[0] == blocks.count()
-    for read in (7, 4096):
-        back = readers.packed_blocks(spark, f"{scheme}{tmp_path}/packed", records_per_read=read)
+    for read in (1000, 16 << 20):
+        back = readers.packed_blocks(spark, f"{scheme}{tmp_path}/packed", read_bytes=read)
         assert back.exceptAll(blocks).count() == 0 and back.count() == blocks.count()
 
 

@@ -9,7 +9,7 @@ from tokenmill import constants as C
 from tokenmill.functions import arrays
 from tokenmill.functions.tokenizers import document_length, document_tokens
 from tokenmill.operators.ordering import Running, kth_key, positions, precedes, running
-from tokenmill.session import spread
+from tokenmill.session import cut_lineage, spread
 
 # documents one task tokenizes and holds in order; they carry their text
 DOCS_PER_SEGMENT = 100_000
@@ -60,8 +60,9 @@ def token_store(
 ) -> DataFrame:
     """(doc_id, split, tokens, n_tokens, tok_start): the two flat token streams, by document.
 
-    One shuffle, by key range. It moves the text where lengths are known without encoding
-    and the tokens otherwise.
+    One shuffle, by key range. It moves the text where lengths are known without encoding.
+    Otherwise every document is encoded once, into a table in the shared folder, since both
+    the offsets and the rows need the result.
     """
     split = with_split(docs.select("doc_id", "text"), fraction)
     return _with_offsets(split, tokenizer, docs_per_segment)
@@ -72,7 +73,7 @@ def _with_offsets(docs: DataFrame, tokenizer, docs_per_segment: int) -> DataFram
         sized = docs.withColumn("n_tokens", document_length(tokenizer, F.col("text")))
     else:
         sized = spread(docs, "doc_id").withColumn("tokens", document_tokens(tokenizer, F.col("text"))).drop("text")
-        sized = sized.withColumn("n_tokens", F.size("tokens").cast("bigint"))
+        sized = cut_lineage(sized.withColumn("n_tokens", F.size("tokens").cast("bigint")))
     placed = running(
         sized,
         ["doc_id"],

@@ -16,6 +16,8 @@ from tokenmill.functions import arrays, text
 from tokenmill.functions.tokenizers import document_tokens
 from tokenmill.operators import sampling
 from tokenmill.operators.ordering import ROWS_PER_SEGMENT, SEGMENT, Running, kth_key, precedes, running
+from tokenmill.operators.sampling import Size
+from tokenmill.session import cut_lineage
 
 PART_TOKENS = 1 << 22
 
@@ -191,8 +193,8 @@ def sft_dataset(
     example_ids: DataFrame,
     docs: DataFrame,
     tokenizer,
-    head: int,
-    take: int,
+    head: Size,
+    take: Size,
     source: str,
     stage: str = "sft",
     fraction: float = C.SFT_VAL_FRACTION,
@@ -205,8 +207,8 @@ def sft_dataset(
     blended = sampling.blend_predicate(docs, head, take)
     blend_ids = docs.where(blended).select(_example_id("corpus", "doc_id"))
     ids = example_ids.select(_example_id(source, example_ids.columns[0])).unionByName(blend_ids)
-    rows = ids.count()
-    border = kth_key(sampling.keyed(ids, "example_id", stage), sampling.KEYS, max(1, int(rows * fraction)))
+    keyed = cut_lineage(sampling.keyed(ids, "example_id", stage).select(*sampling.KEYS))
+    border = kth_key(keyed, sampling.KEYS, lambda rows: max(1, int(rows * fraction)))
 
     corpus = docs.where(blended).select(
         _example_id("corpus", "doc_id"),
@@ -234,17 +236,17 @@ def answered_ids(turns: DataFrame) -> DataFrame:
 
 
 def chat_dataset(
-    turns: DataFrame, docs: DataFrame, tokenizer, cap: int, head: int, take: int, **options
+    turns: DataFrame, docs: DataFrame, tokenizer, cap: Size, head: Size, take: Size, **options
 ) -> DataFrame:
     """Multi-turn variant: sample conversations first, then tokenize, drop, blend and split."""
-    ids = turns.select("conv_id").distinct()
+    ids = cut_lineage(turns.select("conv_id").distinct())  # several passes look for the border
     sampled = turns.where(sampling.in_sample(ids, "conv_id", cap, "instruction"))
     return sft_dataset(
         chat_examples(sampled, tokenizer, **options), answered_ids(sampled), docs, tokenizer, head, take, "chat"
     )
 
 
-def single_turn_dataset(turns: DataFrame, docs: DataFrame, tokenizer, head: int, take: int) -> DataFrame:
+def single_turn_dataset(turns: DataFrame, docs: DataFrame, tokenizer, head: Size, take: Size) -> DataFrame:
     """Single-turn variant: every instruction row, no cap."""
     rows = single_turn(turns)
     return sft_dataset(

@@ -113,7 +113,7 @@ def segment_cuts(df: DataFrame, key: str, rows_per_segment: int, min_segments: i
     size = math.ceil(rows / segments)
     offset = F.col(key) - F.lit(low)
     shift = max((high - low).bit_length() - max(HISTOGRAM_BINS, 4 * segments).bit_length(), 0)
-    counts = dict(df.groupBy(F.shiftright(offset, shift)).count().collect())
+    counts = _histogram(df, F.shiftright(offset, shift))
     cells = [(bin_ << shift, count) for bin_, count in counts.items()]
     while shift:  # crowded ranges: count again, 16 times finer
         crowded = [bin_ for bin_, count in counts.items() if count > size]
@@ -122,7 +122,7 @@ def segment_cuts(df: DataFrame, key: str, rows_per_segment: int, min_segments: i
         finer = max(shift - 4, 0)
         inside = df.where(F.shiftright(offset, shift).isin(crowded))
         dropped = {bin_ << shift for bin_ in crowded}
-        counts = dict(inside.groupBy(F.shiftright(offset, finer)).count().collect())
+        counts = _histogram(inside, F.shiftright(offset, finer))
         cells = [cell for cell in cells if cell[0] not in dropped]
         cells += [(bin_ << finer, count) for bin_, count in counts.items()]
         shift = finer
@@ -135,6 +135,12 @@ def segment_cuts(df: DataFrame, key: str, rows_per_segment: int, min_segments: i
     return low, cuts
 
 
+def _histogram(df: DataFrame, cell: Column) -> dict[int, int]:
+    """Rows per cell. At most a few cells per segment, so a few megabytes for the driver."""
+    cells = df.groupBy(cell.alias("cell")).count().toArrow()
+    return dict(zip(cells["cell"].to_pylist(), cells["count"].to_pylist(), strict=True))
+
+
 def _assign(df: DataFrame, key: str, low: int, cuts: list[int]) -> DataFrame:
     """Adds the segment number of each row by binary search over the cuts."""
     edges = sorted({float(cut) for cut in cuts})
@@ -153,8 +159,8 @@ def add_segments(
     few_groups: bool = True,
     rows_per_segment: int = ROWS_PER_SEGMENT,
     min_segments: int = 1,
-) -> tuple[DataFrame, bool]:
-    """``df`` with a segment column, and whether there is more than one segment.
+) -> tuple[DataFrame, int]:
+    """``df`` with a segment column, and the number of segments.
 
     ``few_groups``: all rows are cut by key range. Otherwise only groups that exceed what
     one task may hold are cut; the rest stay whole in segment 0. ``min_segments`` asks for
@@ -165,17 +171,17 @@ def add_segments(
     if few_groups:
         low, cuts = segment_cuts(keys, key, rows_per_segment, min_segments)
         if not cuts:
-            return df.withColumn(SEGMENT, F.lit(0)), False
-        return _assign(df, key, low, cuts), True
+            return df.withColumn(SEGMENT, F.lit(0)), 1
+        return _assign(df, key, low, cuts), len(cuts) + 1
 
     rows = keys.count()
     limit = max(rows_per_segment, rows // MAX_HOT_GROUPS)
     if rows <= limit:
-        return df.withColumn(SEGMENT, F.lit(0)), False
+        return df.withColumn(SEGMENT, F.lit(0)), 1
     # more than `limit` rows each, so at most MAX_HOT_GROUPS of them
     hot = keys.groupBy(*group).count().where(F.col("count") > limit).drop("count").collect()
     if not hot:
-        return df.withColumn(SEGMENT, F.lit(0)), False
+        return df.withColumn(SEGMENT, F.lit(0)), 1
     names = [f"_hot_{name}" for name in group]
     schema = ", ".join(
         f"`{n}` {keys.schema[g].dataType.simpleString()}" for n, g in zip(names, group, strict=True)
@@ -184,10 +190,10 @@ def add_segments(
     same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)]
     low, cuts = segment_cuts(keys.join(listed, same, "left_semi"), key, rows_per_segment, 1)
     if not cuts:
-        return df.withColumn(SEGMENT, F.lit(0)), False
+        return df.withColumn(SEGMENT, F.lit(0)), 1
     marked = _assign(df.join(listed, same, "left"), key, low, cuts)
     segment = F.when(F.col("_hot"), F.col(SEGMENT)).otherwise(F.lit(0))
-    return marked.withColumn(SEGMENT, segment).drop("_hot", *names), True
+    return marked.withColumn(SEGMENT, segment).drop("_hot", *names), len(cuts) + 1
 
 
 # ---- running aggregates -------------------------------------------------------------
@@ -220,11 +226,14 @@ def running(
     ``order[0]`` is the integer key that segments are cut by. The rows pass through one
     shuffle by (group, segment); the carry table has one row per group and segment.
     """
-    cut, several = add_segments(df, order[0], group, few_groups, rows_per_segment, min_segments)
+    cut, segments = add_segments(df, order[0], group, few_groups, rows_per_segment, min_segments)
     # a struct compares as equal where its nulls agree, so null groups keep their carry
     members = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("all"))
     cut = cut.withColumn("_group", members)
     parts = ["_group", SEGMENT]
+    several = segments > 1
+    if segments > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        cut = cut.repartition(segments, *parts)  # segments are sized for one task each
     whole = Window.partitionBy(*parts)
     before = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 

@@ -1,13 +1,19 @@
-"""Samples without replacement, as predicates that stay in the scan."""
+"""Samples without replacement, as predicates that stay in the scan.
+
+Sizes are row counts, or functions of the number of rows drawn from.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.operators.ordering import kth_key, positions, precedes, shuffle_keys
 
 KEYS = ["_k1", "_k2"]
+Size = int | Callable[[int], int]
 
 
 def keyed(ids: DataFrame, id_column: str, stage: str) -> DataFrame:
@@ -16,7 +22,7 @@ def keyed(ids: DataFrame, id_column: str, stage: str) -> DataFrame:
     return ids.withColumn(KEYS[0], first).withColumn(KEYS[1], second)
 
 
-def in_sample(ids: DataFrame, id_column: str, n: int, stage: str) -> Column:
+def in_sample(ids: DataFrame, id_column: str, n: Size, stage: str) -> Column:
     """Predicate: the id is among the first ``n`` of ``ids`` in shuffled order.
 
     Finding the border reads ids only. The predicate itself needs no join, so a sample is
@@ -26,23 +32,23 @@ def in_sample(ids: DataFrame, id_column: str, n: int, stage: str) -> Column:
     return precedes(shuffle_keys(stage, F.col(id_column)), border)
 
 
-def in_head(ids: DataFrame, id_column: str, n: int) -> Column:
+def in_head(ids: DataFrame, id_column: str, n: Size) -> Column:
     """Predicate: the id is among the ``n`` smallest."""
     return precedes([F.col(id_column)], kth_key(ids, [id_column], n))
 
 
-def ranked_sample(ids: DataFrame, id_column: str, n: int, stage: str) -> DataFrame:
+def ranked_sample(ids: DataFrame, id_column: str, n: Size, stage: str) -> DataFrame:
     """(id, rank) of the sample, rank 0 first."""
     sample = ids.where(in_sample(ids, id_column, n, stage)).select(id_column)
     return positions(keyed(sample, id_column, stage), KEYS, "rank").drop(*KEYS)
 
 
-def blend_predicate(docs: DataFrame, head: int, take: int, stage: str = "blend") -> Column:
+def blend_predicate(docs: DataFrame, head: Size, take: Size, stage: str = "blend") -> Column:
     """Predicate on ``doc_id``: a seeded sample of ``take`` among the first ``head`` documents."""
     first = in_head(docs, "doc_id", head)
     return first & in_sample(docs.where(first), "doc_id", take, stage)
 
 
-def blend_sample(docs: DataFrame, head: int, take: int, stage: str = "blend") -> DataFrame:
+def blend_sample(docs: DataFrame, head: Size, take: Size, stage: str = "blend") -> DataFrame:
     """(doc_id, rank) of the blend."""
     return ranked_sample(docs.where(in_head(docs, "doc_id", head)), "doc_id", take, stage)

@@ -56,12 +56,14 @@ def _micro(probability: Column) -> Column:
 
 def fit_bigram(docs: DataFrame, tokenizer) -> ScoreTable:
     """Count once, write the counts to the shared folder, serve every look-up from there."""
+    ids = tokenizer.distinct_ids
+    if ids is None:
+        raise ValueError("scores need a tokenizer with a bounded vocabulary")
     model = cut_lineage(bigram_counts(docs, tokenizer))
     floors = model.groupBy("prev").agg(F.first("n_prev").alias("n_prev")).select(
         "prev", _micro(F.lit(1.0) / (F.col("n_prev") + C.VOCAB_SIZE)).alias("floor_micro")
     )
-    ids = tokenizer.distinct_ids
-    small = (ids is not None and ids * ids <= BROADCAST_PAIRS) or model.count() <= BROADCAST_PAIRS
+    small = ids * ids <= BROADCAST_PAIRS or model.count() <= BROADCAST_PAIRS
     unseen = model.sparkSession.range(1).select(_micro(F.lit(1.0) / C.VOCAB_SIZE)).first()[0]
     return ScoreTable(model, floors, unseen, small)
 

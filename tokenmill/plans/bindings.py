@@ -130,7 +130,6 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return readers.table(spark, folder, "events", "event_id", "ts", "user_id", "event_type", "value")
 
 
-def sample_sizes(conversations: int, documents: int) -> tuple[int, int, int]:
-    """Conversations to keep, head of the corpus, documents drawn from that head."""
-    head = int(documents * SAMPLE_SHARE)
-    return int(conversations * SAMPLE_SHARE), head, int(head * SAMPLE_SHARE)
+def share(rows: int) -> int:
+    """Size of a sample, so that it grows with the table it is drawn from."""
+    return int(rows * SAMPLE_SHARE)

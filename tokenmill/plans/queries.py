@@ -153,28 +153,20 @@ def trim_completion(spark: SparkSession, folder: str) -> DataFrame:
     return readers.turns(spark, folder).select("conv_id", "turn", text.trim_completion(marked).alias("text"))
 
 
-def _sizes(turns: DataFrame, docs: DataFrame) -> tuple[int, int, int]:
-    return bindings.sample_sizes(turns.select("conv_id").distinct().count(), docs.count())
-
-
 @query
 def instruction_sample(spark: SparkSession, folder: str) -> DataFrame:
-    turns, docs = readers.turns(spark, folder), readers.documents(spark, folder)
-    cap, _, _ = _sizes(turns, docs)
-    return sampling.ranked_sample(turns.select("conv_id").distinct(), "conv_id", cap, "instruction")
+    ids = cut_lineage(readers.turns(spark, folder).select("conv_id").distinct())
+    return sampling.ranked_sample(ids, "conv_id", bindings.share, "instruction")
 
 
 @query
 def blend_sample(spark: SparkSession, folder: str) -> DataFrame:
-    turns, docs = readers.turns(spark, folder), readers.documents(spark, folder)
-    _, head, take = _sizes(turns, docs)
-    return sampling.blend_sample(docs, head, take)
+    return sampling.blend_sample(readers.documents(spark, folder), bindings.share, bindings.share)
 
 
 def _chat_dataset(spark: SparkSession, folder: str) -> DataFrame:
     turns, docs = readers.turns(spark, folder), readers.documents(spark, folder)
-    cap, head, take = _sizes(turns, docs)
-    return instruct.chat_dataset(turns, docs, BYTES, cap, head, take)
+    return instruct.chat_dataset(turns, docs, BYTES, bindings.share, bindings.share, bindings.share)
 
 
 @query
@@ -185,8 +177,8 @@ def sft_dataset(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sft_dataset_single_turn(spark: SparkSession, folder: str) -> DataFrame:
     turns, docs = readers.turns(spark, folder), readers.documents(spark, folder)
-    _, head, take = _sizes(turns, docs)
-    return instruct.dataset_summary(instruct.single_turn_dataset(turns, docs, BYTES, head, take))
+    data = instruct.single_turn_dataset(turns, docs, BYTES, bindings.share, bindings.share)
+    return instruct.dataset_summary(data)
 
 
 @query

@@ -68,16 +68,23 @@ def rank_table(spark: SparkSession, path: str) -> dict[bytes, int]:
     return parse_ranks(row["value"] for row in lines)
 
 
-def packed_blocks(spark: SparkSession, folder: str, records_per_read: int = 4096) -> DataFrame:
+READ_BYTES = 16 << 20
+MAX_READ_TASKS = 1 << 17
+
+
+def packed_blocks(spark: SparkSession, folder: str, read_bytes: int = READ_BYTES) -> DataFrame:
     """(split, block_id, x, y) from exported records.
 
     The list of part files is cut into ranges of records; each task seeks to its ranges.
     """
-    parts = spark.read.schema(schemas.PACKED_PARTS).parquet(f"{folder}/manifest")
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.lit(records_per_read).cast("bigint"))
-    ranges = parts.where("records > 0").withColumn("skip", F.explode(starts))
-    ranges = ranges.withColumn("take", F.least(F.lit(records_per_read), F.col("records") - F.col("skip")))
-    spread = ranges.repartition(F.col("path"), F.col("skip"))
+    parts = spark.read.schema(schemas.PACKED_PARTS).parquet(f"{folder}/manifest").where("records > 0")
+    per_read = F.greatest(F.lit(1), F.expr(f"{read_bytes} div (2 * record_tokens)"))
+    ranges = parts.withColumn("per_read", per_read).withColumn(
+        "skip", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.col("per_read")))
+    )
+    ranges = ranges.withColumn("take", F.least(F.col("per_read"), F.col("records") - F.col("skip")))
+    tasks = min(max(ranges.count(), 1), MAX_READ_TASKS)
+    spread = ranges.repartition(tasks)  # by number: rows are few and short, their work is not
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,10 +99,15 @@ def packed_blocks(spark: SparkSession, folder: str, records_per_read: int = 4096
                     [
                         pa.array([part["split"]] * part["take"]),
                         pa.array(np.arange(first, first + part["take"], dtype="int64")),
-                        pa.array(list(tokens[:, :-1]), pa.list_(pa.int32())),
-                        pa.array(list(tokens[:, 1:]), pa.list_(pa.int32())),
+                        _lists(tokens[:, :-1]),
+                        _lists(tokens[:, 1:]),
                     ],
                     ["split", "block_id", "x", "y"],
                 )
 
     return spread.mapInArrow(read, "split STRING, block_id BIGINT, x ARRAY<INT>, y ARRAY<INT>")
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    count, width = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype="int32") * width), pa.array(rows.ravel()))
