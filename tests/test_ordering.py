@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tokenmill.operators import ordering
+from tokenmill.operators import ordering, sampling
 from tokenmill.operators.ordering import Running, kth_key, positions, precedes, running, segment_cuts
 
 
@@ -117,3 +117,18 @@ def test_positions_do_not_depend_on_partitioning(spark, partitions):
         assert positions(df, ["id"], rows_per_segment=100).where("pos * 17 <> id").count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_even_keys_need_no_histogram(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "n")
+    keyed = sampling.keyed(ids, "n", "stage")
+    border = kth_key(keyed, sampling.KEYS, 1000, leaf_rows=50, key_range=ordering.SHUFFLE_KEY_RANGE)
+    ordered = [tuple(r) for r in keyed.orderBy(*sampling.KEYS).select(*sampling.KEYS, "n").collect()]
+    assert border == ordered[1000][:2]
+    ranks = positions(keyed, sampling.KEYS, rows_per_segment=150, even_range=ordering.SHUFFLE_KEY_RANGE)
+    assert {r.n: r.pos for r in ranks.collect()} == {n: i for i, (_, _, n) in enumerate(ordered)}
+    cut, segments = ordering.add_segments(
+        keyed, "_k1", rows_per_segment=150, even_range=ordering.SHUFFLE_KEY_RANGE
+    )
+    sizes = [r["count"] for r in cut.groupBy(ordering.SEGMENT).count().collect()]
+    assert segments == len(sizes) == 27 and max(sizes) < 220

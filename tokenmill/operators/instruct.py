@@ -15,9 +15,8 @@ from tokenmill import constants as C
 from tokenmill.functions import arrays, text
 from tokenmill.functions.tokenizers import document_tokens
 from tokenmill.operators import sampling
-from tokenmill.operators.ordering import ROWS_PER_SEGMENT, SEGMENT, Running, kth_key, precedes, running
+from tokenmill.operators.ordering import ROWS_PER_SEGMENT, SEGMENT, Running, running, shuffled_before
 from tokenmill.operators.sampling import Size
-from tokenmill.session import cut_lineage
 
 PART_TOKENS = 1 << 22
 
@@ -207,8 +206,9 @@ def sft_dataset(
     blended = sampling.blend_predicate(docs, head, take)
     blend_ids = docs.where(blended).select(_example_id("corpus", "doc_id"))
     ids = example_ids.select(_example_id(source, example_ids.columns[0])).unionByName(blend_ids)
-    keyed = cut_lineage(sampling.keyed(ids, "example_id", stage).select(*sampling.KEYS))
-    border = kth_key(keyed, sampling.KEYS, lambda rows: max(1, int(rows * fraction)))
+    border = sampling.border(
+        sampling.written_keys(ids, "example_id", stage), lambda rows: max(1, int(rows * fraction))
+    )
 
     corpus = docs.where(blended).select(
         _example_id("corpus", "doc_id"),
@@ -221,7 +221,7 @@ def sft_dataset(
         _example_id(source, examples.columns[0]), F.lit(source).alias("source"), "start", "tokens", "loss_mask"
     )
     both = sampling.keyed(instruction.unionByName(corpus), "example_id", stage)
-    is_val = precedes([F.col(k) for k in sampling.KEYS], border)
+    is_val = shuffled_before(stage, F.col("example_id"), border)
     return both.withColumn("split", F.when(is_val, "val").otherwise("train"))
 
 
@@ -239,7 +239,7 @@ def chat_dataset(
     turns: DataFrame, docs: DataFrame, tokenizer, cap: Size, head: Size, take: Size, **options
 ) -> DataFrame:
     """Multi-turn variant: sample conversations first, then tokenize, drop, blend and split."""
-    ids = cut_lineage(turns.select("conv_id").distinct())  # several passes look for the border
+    ids = turns.select("conv_id").distinct()
     sampled = turns.where(sampling.in_sample(ids, "conv_id", cap, "instruction"))
     return sft_dataset(
         chat_examples(sampled, tokenizer, **options), answered_ids(sampled), docs, tokenizer, head, take, "chat"

@@ -31,7 +31,8 @@ MAX_SEGMENTS = 1 << 18
 MAX_HOT_GROUPS = 1000
 
 SEGMENT = "_segment"
-SHUFFLE_KEY_LIMIT = 16**15  # shuffle keys are below this, evenly
+SHUFFLE_KEY_LIMIT = 16**15
+SHUFFLE_KEY_RANGE = (0, SHUFFLE_KEY_LIMIT - 1)  # shuffle keys lie evenly in it
 
 
 # ---- shuffle keys -------------------------------------------------------------------
@@ -42,10 +43,21 @@ def shuffle_keys(stage: str, row_id: Column, seed: int = C.SEED) -> tuple[Column
 
     They are the first and the next 15 hex digits, 120 bits in all, so ids do not tie.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:{stage}:"), row_id.cast("string")))
+    digest = _shuffle_digest(stage, row_id, seed)
     return _hex_number(F.substring(digest, 1, 15)), _hex_number(F.substring(digest, 16, 15))
 
 
+def shuffled_before(stage: str, row_id: Column, key: tuple | None, seed: int = C.SEED) -> Column:
+    """Whether an id comes before ``key`` in shuffled order: ``precedes`` at one hash per row."""
+    if key is None:
+        return F.lit(True)
+    return _shuffle_digest(stage, row_id, seed) < F.lit("".join(f"{part:015x}" for part in key))
+
+
+def _shuffle_digest(stage: str, row_id: Column, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:{stage}:"), row_id.cast("string")))
+
+
 def _hex_number(digits: Column) -> Column:
     return F.conv(digits, 16, 10).cast("bigint")
 
@@ -54,16 +66,21 @@ def _hex_number(digits: Column) -> Column:
 
 
 def kth_key(
-    df: DataFrame, keys: Sequence[str], k: int | Callable[[int], int], leaf_rows: int = LEAF_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    k: int | Callable[[int], int],
+    leaf_rows: int = LEAF_ROWS,
+    key_range: tuple[int, int] | None = None,
 ) -> tuple | None:
     """The key tuple at 0-based rank ``k`` of the order by ``keys``; None past the end.
 
     ``k`` may be a function of the row count, which is known here anyway. Exactly ``k`` rows precede it (see ``precedes``). Each pass counts rows in equal ranges
-    of the leading key and goes on within the range that holds the rank.
+    of the leading key and goes on within the range that holds the rank. A known
+    ``key_range`` of the first key saves the pass that looks for it.
     """
     scope = df.select(*keys)
     for key in keys:
-        low, high, rows = scope.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        low, high, rows = _extent(scope, key, key_range if key == keys[0] else None)
         if callable(k):
             k = k(rows)
         if k >= rows:
@@ -83,6 +100,13 @@ def kth_key(
     raise ValueError(f"order key {list(keys)} repeats too often to rank its rows")
 
 
+def _extent(df: DataFrame, key: str, key_range: tuple[int, int] | None = None) -> tuple:
+    """Lowest key, highest key and row count."""
+    if key_range is not None:
+        return *key_range, df.count()
+    return tuple(df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first())
+
+
 def _bin(key: str, low: int, width: int) -> Column:
     return F.expr(f"(`{key}` - ({low}L)) div {width}L")
 
@@ -100,16 +124,28 @@ def precedes(columns: Sequence[Column], key: tuple | None) -> Column:
 # ---- segments -----------------------------------------------------------------------
 
 
-def segment_cuts(df: DataFrame, key: str, rows_per_segment: int, min_segments: int) -> tuple[int, list[int]]:
+def segment_cuts(
+    df: DataFrame,
+    key: str,
+    rows_per_segment: int,
+    min_segments: int = 1,
+    even_range: tuple[int, int] | None = None,
+) -> tuple[int, list[int]]:
     """Lowest key and the ascending cuts (relative to it) that split ``df`` into key ranges
-    of about equal row counts. Only a single key value that repeats can exceed the size."""
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    of about equal row counts. Only a single key value that repeats can exceed the size.
+
+    Keys that are spread evenly over ``even_range``, as shuffle keys of unique ids are, need
+    no histogram.
+    """
+    low, high, rows = _extent(df, key, even_range)
     if not rows:
         return 0, []
     segments = max(math.ceil(rows / rows_per_segment), min(min_segments, rows // ROWS_PER_CUT))
     segments = min(segments, MAX_SEGMENTS)
     if segments <= 1 or low == high:
         return low, []
+    if even_range is not None:
+        return low, [(high - low + 1) * i // segments for i in range(1, segments)]
     size = math.ceil(rows / segments)
     offset = F.col(key) - F.lit(low)
     shift = max((high - low).bit_length() - max(HISTOGRAM_BINS, 4 * segments).bit_length(), 0)
@@ -159,6 +195,7 @@ def add_segments(
     few_groups: bool = True,
     rows_per_segment: int = ROWS_PER_SEGMENT,
     min_segments: int = 1,
+    even_range: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, int]:
     """``df`` with a segment column, and the number of segments.
 
@@ -169,7 +206,7 @@ def add_segments(
     spark = df.sparkSession
     keys = df.select(*group, key)
     if few_groups:
-        low, cuts = segment_cuts(keys, key, rows_per_segment, min_segments)
+        low, cuts = segment_cuts(keys, key, rows_per_segment, min_segments, even_range)
         if not cuts:
             return df.withColumn(SEGMENT, F.lit(0)), 1
         return _assign(df, key, low, cuts), len(cuts) + 1
@@ -219,6 +256,7 @@ def running(
     few_groups: bool = True,
     rows_per_segment: int = ROWS_PER_SEGMENT,
     min_segments: int = 1,
+    even_range: tuple[int, int] | None = None,
     keep_segments: bool = False,
 ) -> DataFrame:
     """Adds each measure over the rows before this one, in its group, by ``order``.
@@ -226,7 +264,7 @@ def running(
     ``order[0]`` is the integer key that segments are cut by. The rows pass through one
     shuffle by (group, segment); the carry table has one row per group and segment.
     """
-    cut, segments = add_segments(df, order[0], group, few_groups, rows_per_segment, min_segments)
+    cut, segments = add_segments(df, order[0], group, few_groups, rows_per_segment, min_segments, even_range)
     # a struct compares as equal where its nulls agree, so null groups keep their carry
     members = F.struct(*[F.col(g) for g in group]) if group else F.struct(F.lit(0).alias("all"))
     cut = cut.withColumn("_group", members)

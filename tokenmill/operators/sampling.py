@@ -10,7 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordering import kth_key, positions, precedes, shuffle_keys
+from tokenmill.operators.ordering import (
+    SHUFFLE_KEY_RANGE,
+    kth_key,
+    positions,
+    precedes,
+    shuffle_keys,
+    shuffled_before,
+)
+from tokenmill.session import cut_lineage
 
 KEYS = ["_k1", "_k2"]
 Size = int | Callable[[int], int]
@@ -22,14 +30,22 @@ def keyed(ids: DataFrame, id_column: str, stage: str) -> DataFrame:
     return ids.withColumn(KEYS[0], first).withColumn(KEYS[1], second)
 
 
+def written_keys(ids: DataFrame, id_column: str, stage: str) -> DataFrame:
+    """(id, keys) in the shared folder: hashed once for the passes that look for a border."""
+    return cut_lineage(keyed(ids.select(id_column), id_column, stage))
+
+
+def border(keys: DataFrame, n: Size) -> tuple | None:
+    """Shuffle key of the first row that is not among the first ``n``."""
+    return kth_key(keys, KEYS, n, key_range=SHUFFLE_KEY_RANGE)
+
+
 def in_sample(ids: DataFrame, id_column: str, n: Size, stage: str) -> Column:
     """Predicate: the id is among the first ``n`` of ``ids`` in shuffled order.
 
-    Finding the border reads ids only. The predicate itself needs no join, so a sample is
-    drawn before any text is tokenized or moved.
+    It needs no join, so a sample is drawn before any text is tokenized or moved.
     """
-    border = kth_key(keyed(ids.select(id_column), id_column, stage), KEYS, n)
-    return precedes(shuffle_keys(stage, F.col(id_column)), border)
+    return shuffled_before(stage, F.col(id_column), border(written_keys(ids, id_column, stage), n))
 
 
 def in_head(ids: DataFrame, id_column: str, n: Size) -> Column:
@@ -39,8 +55,11 @@ def in_head(ids: DataFrame, id_column: str, n: Size) -> Column:
 
 def ranked_sample(ids: DataFrame, id_column: str, n: Size, stage: str) -> DataFrame:
     """(id, rank) of the sample, rank 0 first."""
-    sample = ids.where(in_sample(ids, id_column, n, stage)).select(id_column)
-    return positions(keyed(sample, id_column, stage), KEYS, "rank").drop(*KEYS)
+    keys = written_keys(ids, id_column, stage)
+    first_left_out = border(keys, n)
+    sample = keys.where(precedes([F.col(k) for k in KEYS], first_left_out))
+    top = SHUFFLE_KEY_RANGE[1] if first_left_out is None else first_left_out[0]
+    return positions(sample, KEYS, "rank", even_range=(0, top)).drop(*KEYS)
 
 
 def blend_predicate(docs: DataFrame, head: Size, take: Size, stage: str = "blend") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenmill import constants as C
 from tokenmill.functions import arrays
 from tokenmill.operators import sampling
-from tokenmill.operators.ordering import ROWS_PER_SEGMENT, positions
+from tokenmill.operators.ordering import ROWS_PER_SEGMENT, SHUFFLE_KEY_RANGE, positions
 
 
 def sft_tensors(
@@ -58,6 +58,7 @@ def batch_plan(
         sampling.KEYS,
         group=["epoch"],
         rows_per_segment=rows_per_segment,
+        even_range=SHUFFLE_KEY_RANGE,
     )
     batch = F.expr(f"epoch * {per_epoch}L + pos div {batch_size}")
     return placed.withColumn("_batch", batch).select(

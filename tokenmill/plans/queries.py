@@ -155,7 +155,7 @@ def trim_completion(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def instruction_sample(spark: SparkSession, folder: str) -> DataFrame:
-    ids = cut_lineage(readers.turns(spark, folder).select("conv_id").distinct())
+    ids = readers.turns(spark, folder).select("conv_id").distinct()
     return sampling.ranked_sample(ids, "conv_id", bindings.share, "instruction")
 
 

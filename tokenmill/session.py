@@ -46,9 +46,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder, so later passes read it instead of redoing it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder, so later passes read it instead of redoing it.
+
+    As Parquet, so that each pass reads its columns only; lost executors cost nothing.
+    """
+    path = fresh_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
