@@ -71,6 +71,14 @@ def test_byte_pairs_and_markers_as_plain_text(spark):
     rows = spark.createDataFrame([(1, "he the"), (2, "<|im_end|>"), (3, None), (4, "")], "i int, text string")
     got = {r[0]: r[1] for r in rows.select("i", tokenizer.encode(F.col("text"))).collect()}
     assert got == {1: [257, 258], 2: list(b"<|im_end|>"), 3: None, 4: []}
+    back = rows.select("i", "text", tokenizer.decode(tokenizer.encode(F.col("text"))).alias("back"))
+    assert back.where("not (text <=> back)").count() == 0
+
+
+def test_bytes_decode(spark):
+    ids = spark.createDataFrame([([195, 169, 10],), ([],), ([97, 195],)], "t array<int>")
+    got = [r[0] for r in ids.select(ByteTokenizer().decode(F.col("t"))).collect()]
+    assert got == ["é\n", "", "a\ufffd"]
 
 
 def test_wide_jobs_take_tokens_or_text_through_the_shuffle_alike(spark, tiny):

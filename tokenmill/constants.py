@@ -37,6 +37,7 @@ ROLES = {
 BATCH_SIZE = 4
 ACCUMULATION_STEPS = 32
 EVAL_ITERS = 100
+SFT_EVAL_ITERS = 50
 PRETRAIN_STEPS = 60_000
 SFT_STEPS = 4_000
 SAVE_EVERY = 500

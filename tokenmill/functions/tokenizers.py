@@ -34,6 +34,11 @@ class ByteTokenizer:
     def count(self, text: Column) -> Column:
         return F.octet_length(text)
 
+    def decode(self, tokens: Column) -> Column:
+        """Text of byte tokens; broken UTF-8 becomes the replacement character."""
+        digits = F.transform(tokens, lambda t: F.lpad(F.hex(t), 2, "0"))
+        return F.make_valid_utf8(F.unhex(F.array_join(digits, "")).cast("string"))
+
     def end_of_text(self) -> Column:
         return F.lit(C.END_OF_TEXT)
 
@@ -71,7 +76,10 @@ class BpeTokenizer:
         if too_large:
             raise ValueError("token ids must fit 16 bits")
         self.distinct_ids = len(ranks) + 1
-        self._encode = _bpe_function(dict(ranks), pattern)
+        self._encode, self._decode = _bpe_functions(dict(ranks), pattern)
+
+    def decode(self, tokens: Column) -> Column:
+        return self._decode(tokens)
 
     def encode(self, text: Column) -> Column:
         return self._encode(text)
@@ -83,20 +91,28 @@ class BpeTokenizer:
         return F.lit(C.END_OF_TEXT)
 
 
-def _bpe_function(ranks: dict[bytes, int], pattern: str):
-    @F.arrow_udf(TOKENS)
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _bpe_functions(ranks: dict[bytes, int], pattern: str):
+    def encoding():
         import tiktoken
 
-        encoding = tiktoken.Encoding(
-            name="user-supplied", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
-        )
+        return tiktoken.Encoding(name="supplied", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    @F.arrow_udf(TOKENS)
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = encoding()
         for batch in batches:
             texts = batch.to_pylist()
-            coded = iter(encoding.encode_ordinary_batch([t for t in texts if t is not None], num_threads=1))
+            coded = iter(coder.encode_ordinary_batch([t for t in texts if t is not None], num_threads=1))
             yield pa.array([None if t is None else next(coded) for t in texts], pa.list_(pa.int32()))
 
-    return encode
+    @F.arrow_udf(T.StringType())
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = encoding()
+        for batch in batches:
+            rows = batch.to_pylist()
+            yield pa.array([None if tokens is None else coder.decode(tokens) for tokens in rows], pa.string())
+
+    return encode, decode
 
 
 def parse_ranks(lines: Iterable[str]) -> dict[bytes, int]:

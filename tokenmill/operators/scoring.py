@@ -5,6 +5,7 @@ Log-probabilities are whole micro-nats, so sums do not depend on the order of th
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,7 +65,7 @@ def fit_bigram(docs: DataFrame, tokenizer) -> ScoreTable:
         "prev", _micro(F.lit(1.0) / (F.col("n_prev") + C.VOCAB_SIZE)).alias("floor_micro")
     )
     small = ids * ids <= BROADCAST_PAIRS or model.count() <= BROADCAST_PAIRS
-    unseen = model.sparkSession.range(1).select(_micro(F.lit(1.0) / C.VOCAB_SIZE)).first()[0]
+    unseen = round(-math.log(C.VOCAB_SIZE) * MICRO)
     return ScoreTable(model, floors, unseen, small)
 
 
@@ -130,18 +131,20 @@ def val_loss(
 ) -> DataFrame:
     """One row: mean of batch means over the first batches, token mean, perplexity.
 
-    The short last batch weighs as much as the others.
+    ``blocks`` has ``block_id, x, y``; ignored targets do not count, a batch without any other
+    is left out. The short last batch weighs as much as the others.
     """
     batched = blocks.withColumn("batch", F.expr(f"block_id div {batch_size}")).where(F.col("batch") < eval_iters)
     scored = score_pairs(target_pairs(batched, ["batch"]), scores)
     batches = scored.groupBy("batch").agg(
-        F.sum("logprob_micro").alias("total"), F.count(F.lit(1)).alias("n")
+        F.sum(F.when(F.col("next").isNotNull(), F.col("logprob_micro"))).alias("total"), F.count("next").alias("n")
     )
     # per-batch means as micro-nats, so that the mean of means is the same in every plan
-    means = batches.withColumn("batch_micro", F.round(-F.col("total") / F.col("n")).cast("bigint"))
-    token_mean = -F.sum("total") / F.sum("n") / MICRO
+    counted = batches.where(F.col("n") > 0)
+    means = counted.withColumn("batch_micro", F.round(-F.col("total") / F.col("n")).cast("bigint"))
+    token_mean = -F.sum("total") / F.nullif(F.sum("n"), F.lit(0)) / MICRO
     return means.agg(
-        (F.sum("batch_micro") / F.count(F.lit(1)) / MICRO).alias("mean_of_means"),
+        (F.sum("batch_micro") / F.nullif(F.count(F.lit(1)), F.lit(0)) / MICRO).alias("mean_of_means"),
         token_mean.alias("token_mean"),
         F.exp(token_mean).alias("perplexity"),
     )

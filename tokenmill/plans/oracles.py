@@ -422,6 +422,19 @@ from looked q left join scores m using (prev, next) left join floors f using (pr
   select batch, cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) as bigint) as total, count(*) as n
   from looked q left join scores m using (prev, next) left join floors f using (prev)
   where batch < {C.EVAL_ITERS} group by batch
+) select cast(sum(cast(round(-total / n) as bigint)) as bigint) / count(*) / 1000000 as mean_of_means,
+  -cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000 as token_mean,
+  round(exp(-cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000), 6) as perplexity from batches""",
+    "sft_val_loss": f"""with {SPLIT.replace('docs as', 'split_docs as')}, {BIGRAMS.replace('from docs', 'from split_docs')}, {CHAT_DATASET},
+ordered as (
+  select *, row_number() over (order by {_shuffled('sft', 'example_id')}, example_id) - 1 as rank from dataset where split = 'val'
+), looked as (
+  select rank // {C.BATCH_SIZE} as batch, unnest(tokens[1:{B.BLOCK}]) as prev, unnest(tokens[2:{B.BLOCK + 1}]) as next,
+    unnest(mask[1:{B.BLOCK}]) as counts, len(tokens) as n, unnest(range({B.BLOCK})) as i from ordered
+), batches as (
+  select batch, cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) as bigint) as total, count(*) as n
+  from looked q left join scores m using (prev, next) left join floors f using (prev)
+  where batch < {C.SFT_EVAL_ITERS} and counts = 1 and next is not null group by batch
 ) select cast(sum(cast(round(-total / n) as bigint)) as bigint) / count(*) / 1000000 as mean_of_means,
   -cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000 as token_mean,
   round(exp(-cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000), 6) as perplexity from batches""",

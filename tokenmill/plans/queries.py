@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill import constants as C
 from tokenmill import schemas
 from tokenmill.functions import arrays, formats, text
 from tokenmill.functions.tokenizers import BpeTokenizer, ByteTokenizer, PieceTokenizer, ranks_from_merges
 from tokenmill.operators import checkpoints, corpus, instruct, metrics, picks, requests, sampling, scoring, tensors
+from tokenmill.operators.ordering import positions
 from tokenmill.plans import bindings
 from tokenmill.session import cut_lineage, fresh_path, spread
 from tokenmill.sources import readers, writers
@@ -144,13 +146,12 @@ def chat_prompt(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def trim_completion(spark: SparkSession, folder: str) -> DataFrame:
     half = F.expr("length(text) div 2").cast("int")
-    marked = F.concat(
-        F.lit(" \n"),
-        F.substring(F.col("text"), F.lit(1), half),
-        F.lit("\t <|im_end|>\n"),
-        F.substring(F.col("text"), half + 1, F.length("text")),
-    )
-    return readers.turns(spark, folder).select("conv_id", "turn", text.trim_completion(marked).alias("text"))
+    first, second = F.substring(F.col("text"), F.lit(1), half), F.substring(F.col("text"), half + 1, F.length("text"))
+    marked = F.concat(F.lit(" \n"), first, F.lit("\t <|im_end|>\n"), second)
+    # a completion as a model gives it: tokens, an end, and what was drawn behind it
+    drawn = F.concat(BYTES.encode(marked), F.array(BYTES.end_of_text()), BYTES.encode(second))
+    completion = BYTES.decode(text.cut_at_end_of_text(drawn))
+    return readers.turns(spark, folder).select("conv_id", "turn", text.trim_completion(completion).alias("text"))
 
 
 @query
@@ -350,9 +351,16 @@ def masked_loss(spark: SparkSession, folder: str) -> DataFrame:
 def val_loss(spark: SparkSession, folder: str) -> DataFrame:
     blocks = corpus.validation_blocks(readers.documents(spark, folder), BYTES, bindings.BLOCK)
     loss = scoring.val_loss(blocks, _fit(spark, folder))
-    return loss.select(
-        "mean_of_means", "token_mean", F.round("perplexity", 6).alias("perplexity")
-    )
+    return loss.select("mean_of_means", "token_mean", F.round("perplexity", 6).alias("perplexity"))
+
+
+@query
+def sft_val_loss(spark: SparkSession, folder: str) -> DataFrame:
+    val = _chat_dataset(spark, folder).where(F.col("split") == "val")
+    targets = tensors.sft_targets(tensors.sft_tensors(val, bindings.BLOCK))
+    placed = positions(targets, sampling.KEYS, "block_id")
+    loss = scoring.val_loss(placed, _fit(spark, folder), eval_iters=C.SFT_EVAL_ITERS)
+    return loss.select("mean_of_means", "token_mean", F.round("perplexity", 6).alias("perplexity"))
 
 
 @query
