@@ -58,7 +58,9 @@ def test_nested_conversations(spark):
         ],
         "conv_id bigint, conversations array<struct<`from`: string, value: string>>",
     )
-    got = instruct.chat_examples(instruct.turns_from_nested(rows), ByteTokenizer()).collect()
+    turns = instruct.turns_from_nested(rows)
+    assert tuple(instruct.skipped(turns).first()) == (1, 2)
+    got = instruct.chat_examples(turns, ByteTokenizer()).collect()
     assert len(got) == 1 and got[0].conv_id == 3 and got[0].start == 0
     asked = _rendered("system", "s") + _rendered("user", "h")
     answer, more = _rendered("assistant", ""), _rendered("user", "é")

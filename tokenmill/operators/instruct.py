@@ -67,9 +67,10 @@ def single_turn_examples(rows: DataFrame, tokenizer, id_column: str = "conv_id")
 
 
 def turns_from_nested(rows: DataFrame, id_column: str = "conv_id") -> DataFrame:
-    """Flat turn table from ``conversations array<struct<from, value>>``; an empty one gives
-    no rows. A turn keeps its place, a missing text is empty."""
-    flat = rows.select(id_column, F.posexplode("conversations").alias("turn", "said"))
+    """Flat turn table from ``conversations array<struct<from, value>>``. A turn keeps its
+    place, a missing role or text is empty. A conversation without turns gives one row without
+    a role, so that it is counted as skipped."""
+    flat = rows.select(id_column, F.posexplode_outer("conversations").alias("turn", "said"))
     return flat.select(
         F.col(id_column).alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),
@@ -81,7 +82,8 @@ def turns_from_nested(rows: DataFrame, id_column: str = "conv_id") -> DataFrame:
 def known_turns(turns: DataFrame) -> DataFrame:
     """Turns with a role of the format, under its rendered name."""
     named = turns.withColumn("role", text.normalize_role(F.col("role")))
-    return named.where(F.col("role").isNotNull()).select("conv_id", "turn", "role", "text")
+    said = F.coalesce("text", F.lit("")).alias("text")
+    return named.where(F.col("role").isNotNull()).select("conv_id", "turn", "role", said)
 
 
 def render_conversations(
