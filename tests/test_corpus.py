@@ -75,6 +75,13 @@ def test_byte_pairs_and_markers_as_plain_text(spark):
     assert back.where("not (text <=> back)").count() == 0
 
 
+def test_long_texts_are_taken_in_stretches(spark):
+    texts = ["é\r\nx\x85\u2028" * 300, "", "abc", None, "a" * 64, "a" * 65]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r[0]: r[1] for r in rows.select("i", ByteTokenizer(stretch=64).encode(F.col("text"))).collect()}
+    assert got == {i: None if t is None else list(t.encode()) for i, t in enumerate(texts)}
+
+
 def test_bytes_decode(spark):
     ids = spark.createDataFrame([([195, 169, 10],), ([],), ([97, 195],)], "t array<int>")
     got = [r[0] for r in ids.select(ByteTokenizer().decode(F.col("t"))).collect()]
@@ -127,3 +134,19 @@ def test_samples(spark, tiny):
 def test_last_and_head(spark, n):
     row = spark.range(1).select(arrays.last(F.array(*[F.lit(i) for i in range(6)]), n)).first()
     assert row[0] == list(range(6))[max(6 - n, 0) :]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_blocks_do_not_depend_on_partitioning(spark, tiny, partitions):
+    docs = readers.documents(spark, tiny)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        store = corpus.token_store(docs.repartition(partitions), ByteTokenizer(), docs_per_segment=200 // partitions)
+        blocks = corpus.pack_blocks(store, 128)
+        found = blocks.agg(F.count("*"), F.sum(F.xxhash64("split", "block_id", "x", "y").cast("decimal(38,0)"))).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    whole = corpus.pack_blocks(corpus.token_store(docs, ByteTokenizer()), 128)
+    want = whole.agg(F.count("*"), F.sum(F.xxhash64("split", "block_id", "x", "y").cast("decimal(38,0)"))).first()
+    assert tuple(found) == tuple(want)

@@ -1,8 +1,11 @@
 import base64
 import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tokenmill import session
@@ -146,3 +149,11 @@ def test_a_cluster_never_gets_a_local_folder():
     with pytest.raises(ValueError, match=session.CHECKPOINT_CONF):
         session.shared_dir(_Session({}, "spark://head:7077"))
     assert os.path.isdir(session.shared_dir(_Session({}, "local[2]")))
+
+
+def test_task_functions_need_no_installed_package():
+    load = "import sys, pickle; print(pickle.loads(sys.stdin.buffer.read())('/a/b')[1])"
+    done = subprocess.run(
+        [sys.executable, "-c", load], input=cloudpickle.dumps(files.filesystem), cwd="/", capture_output=True
+    )
+    assert done.stdout.strip() == b"/a/b", done.stderr

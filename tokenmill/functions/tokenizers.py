@@ -25,11 +25,23 @@ class ByteTokenizer:
     counts_cheaply = True
     distinct_ids = 257
 
+    def __init__(self, stretch: int = 1 << 20):
+        self.stretch = stretch
+
     def encode(self, text: Column) -> Column:
         # one char per byte; never index into the hex form, that is quadratic on long texts
-        chars = F.split(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), "")
-        codes = F.transform(chars, lambda c: F.ascii(c))
-        return F.when(F.length(text) > 0, codes).otherwise(F.array().cast(TOKENS))
+        latin = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+        # a split makes an object per char: take long texts piece by piece
+        stretches = F.regexp_extract_all(latin, F.lit(f"(?s).{{1,{self.stretch}}}"), F.lit(0))
+        return (
+            F.when(F.length(text) == 0, F.array().cast(TOKENS))
+            .when(F.octet_length(text) <= self.stretch, self._codes(latin))
+            .when(text.isNotNull(), F.flatten(F.transform(stretches, self._codes)))
+        )
+
+    @staticmethod
+    def _codes(latin: Column) -> Column:
+        return F.transform(F.split(latin, ""), lambda c: F.ascii(c))
 
     def count(self, text: Column) -> Column:
         return F.octet_length(text)
