@@ -91,6 +91,8 @@ def test_log_parsing(spark):
     assert len(got) == 12
     assert {k: v for k, v in got.items() if v is not None} == {("a", "hellaswag"): 37.6, ("a", "val_loss"): 1.3704}
     text = {r.log: json.loads(r.json) for r in metrics.results_json(parsed).collect()}
+    one = parsed.where("log = 'a'").groupBy().pivot("metric").agg({"value": "first"})
+    assert {r.metric: r.value for r in metrics.long_results(one).collect()}["val_loss"] == 1.3704
     assert text["a"]["hellaswag"] == 37.6 and text["a"]["winogrande"] is None and len(text["b"]) == 6
 
 

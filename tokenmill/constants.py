@@ -12,6 +12,11 @@ IGNORE_INDEX = -100
 
 SEED = 42
 CORPUS_VAL_FRACTION = 0.005
+SINGLE_TURN_HEAD = 5_000
+SINGLE_TURN_BLEND = 2_500
+CHAT_CAP = 200_000
+CHAT_HEAD = 20_000
+CHAT_BLEND = 10_000
 SFT_VAL_FRACTION = 0.02
 
 # published GPT-2 pre-split pattern

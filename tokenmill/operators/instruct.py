@@ -248,12 +248,12 @@ def chat_dataset(
     )
 
 
-def single_turn_dataset(turns: DataFrame, docs: DataFrame, tokenizer, head: Size, take: Size) -> DataFrame:
-    """Single-turn variant: every instruction row, no cap."""
-    rows = single_turn(turns)
-    return sft_dataset(
-        single_turn_examples(rows, tokenizer), rows.select("conv_id"), docs, tokenizer, head, take, "single"
-    )
+def single_turn_dataset(
+    rows: DataFrame, docs: DataFrame, tokenizer, head: Size, take: Size, id_column: str = "conv_id"
+) -> DataFrame:
+    """Single-turn variant over (id, instruction, input, output): every row, no cap."""
+    examples = single_turn_examples(rows, tokenizer, id_column)
+    return sft_dataset(examples, rows.select(id_column), docs, tokenizer, head, take, "single")
 
 
 def dataset_summary(dataset: DataFrame) -> DataFrame:

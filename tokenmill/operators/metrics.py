@@ -141,6 +141,11 @@ def results_json(parsed: DataFrame) -> DataFrame:
     return wide.select("log", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("json"))
 
 
+def long_results(results: DataFrame) -> DataFrame:
+    """(metric, value) of a results object, to compare two of them."""
+    return results.unpivot([], list(C.LOG_PATTERNS), "metric", "value")
+
+
 def version_compare(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, v1, v2, delta, text): two runs side by side; a metric of one run only stays."""
     first = before.select(*keys, F.col("value").alias("v1"))

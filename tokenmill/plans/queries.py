@@ -178,7 +178,8 @@ def sft_dataset(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sft_dataset_single_turn(spark: SparkSession, folder: str) -> DataFrame:
     turns, docs = readers.turns(spark, folder), readers.documents(spark, folder)
-    data = instruct.single_turn_dataset(turns, docs, BYTES, bindings.share, bindings.share)
+    rows = instruct.single_turn(turns)
+    data = instruct.single_turn_dataset(rows, docs, BYTES, bindings.share, bindings.share)
     return instruct.dataset_summary(data)
 
 

@@ -59,7 +59,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows over all cores, for work that is heavy per row.
 
     Only where the scan gives fewer partitions than there are cores, so a large input is never
-    shuffled for this. The keys should be unique.
+    shuffled for this. ``df`` should be a scan with narrow steps; the keys should be unique.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:
