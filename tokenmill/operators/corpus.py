@@ -47,9 +47,9 @@ def corpus_stats(docs: DataFrame, tokenizer, fraction: float = C.CORPUS_VAL_FRAC
 
 def tokenize_documents(docs: DataFrame, tokenizer) -> DataFrame:
     """(doc_id, tokens, n_tokens); row by row, so it serves batch and stream."""
-    return spread(docs.select("doc_id", "text"), "doc_id").select("doc_id", document_tokens(tokenizer, F.col("text")).alias("tokens")).withColumn(
-        "n_tokens", F.size("tokens")
-    )
+    texts = spread(docs.select("doc_id", "text"), "doc_id")
+    coded = texts.select("doc_id", document_tokens(tokenizer, F.col("text")).alias("tokens"))
+    return coded.withColumn("n_tokens", F.size("tokens"))
 
 
 def token_store(

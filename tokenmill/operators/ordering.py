@@ -74,9 +74,10 @@ def kth_key(
 ) -> tuple | None:
     """The key tuple at 0-based rank ``k`` of the order by ``keys``; None past the end.
 
-    ``k`` may be a function of the row count, which is known here anyway. Exactly ``k`` rows precede it (see ``precedes``). Each pass counts rows in equal ranges
-    of the leading key and goes on within the range that holds the rank. A known
-    ``key_range`` of the first key saves the pass that looks for it.
+    Exactly ``k`` rows precede it (see ``precedes``); ``k`` may be a function of the row count,
+    which is known here anyway. Each pass counts rows in equal ranges of the leading key and
+    goes on within the range that holds the rank. A known ``key_range`` of the first key saves
+    the pass that looks for it.
     """
     scope = df.select(*keys)
     for key in keys:

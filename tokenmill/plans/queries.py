@@ -55,7 +55,8 @@ def tokenize_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def tokenize_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    coded = spread(readers.documents(spark, folder), "doc_id").select("doc_id", PieceTokenizer().encode(F.col("text")).alias("p"))
+    docs = spread(readers.documents(spark, folder), "doc_id")
+    coded = docs.select("doc_id", PieceTokenizer().encode(F.col("text")).alias("p"))
     return coded.select(
         "doc_id", F.size("p").alias("n_pieces"), F.md5(F.array_join("p", "|")).alias("pieces_md5")
     )
