@@ -54,6 +54,102 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_b
 from docs left join base using (row) left join named using (row)
 """
 
+URL_RULES = r"""
+with rules(host, path, verdict) as (
+  values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+parsed as (
+  select page_id, row_number() over () as row,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages
+),
+fitting as (
+  select row, arg_max(r.host || r.path, length(r.host || r.path)) as rule,
+    arg_max(r.verdict, length(r.host || r.path)) as verdict
+  from parsed p join rules r
+    on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+  group by row
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parsed left join fitting using (row)
+"""
+
+POISSON_MIX = """
+with sizes as (
+  select source, sum(coalesce(strlen(text), 0))::double as size from documents group by source
+),
+weighted as (select source, size, case when size > 0 then pow(size, 0.5) end as weight from sizes),
+rates as (
+  select source, weight / (select sum(weight) from weighted) * (select sum(size) from weighted) / size as rate
+  from weighted where weight > 0
+),
+steps as (
+  select source, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (partition by source order by k) as p
+  from (select source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 30)::bigint + 1)) as k from rates)
+),
+docs as (
+  select *, row_number() over () as row, concat_ws(':', coalesce(doc_id::varchar, ''), md5(coalesce(text, ''))) as named
+  from documents
+),
+drawn as (
+  select d.row, count(*) as times
+  from docs d join steps s on d.source is not distinct from s.source
+  where s.p <= ('0x' || substr(md5('mix:' || named), 1, 13))::bigint / pow(2, 52)
+  group by d.row
+)
+select doc_id, source, text, copy, md5(concat_ws(':', 'mix', 'order', named, copy::varchar)) as mix_key
+from (select docs.*, unnest(range(1, times + 1)) as copy from docs join drawn using (row))
+"""
+
+PREFERENCE = r"""
+with replies as (
+  select conv_id, max({'turn': turn, 'text': text}) as reply from conversations where role = 'assistant' group by conv_id
+),
+facts as (
+  select a.conv_id, a.reply.turn as last_turn, b.reply.text as other
+  from replies a left join replies b on b.conv_id = a.conv_id + 1
+),
+marked as (
+  select c.*, other, coalesce(role = 'assistant' and turn = last_turn, false) as is_last
+  from conversations c left join facts using (conv_id) where conv_id is not null
+),
+sided as (
+  select conv_id as pair_id, 'chosen' as side, turn, role, text from marked
+  union all
+  select conv_id, 'rejected', turn, role, case when is_last then other else text end from marked
+  where not (is_last and other is null)
+),
+messages as (
+  select pair_id, turn, coalesce(role, 'user') as role, coalesce(text, '') as text,
+    bool_or(side = 'chosen') as in_chosen, bool_or(side = 'rejected') as in_rejected
+  from sided where turn is not null group by all
+),
+bounds as (
+  select pair_id, min(turn) filter (in_chosen <> in_rejected) as cut,
+    max(turn) filter (role = 'assistant' and in_chosen) as last_chosen,
+    max(turn) filter (role = 'assistant' and in_rejected) as last_rejected
+  from messages group by pair_id
+),
+parts as (
+  select *, unnest(case when cut is null or turn < cut then ['prompt']
+    else list_filter([case when in_chosen then 'chosen' end, case when in_rejected then 'rejected' end],
+      lambda x: x is not null) end) as part
+  from messages join bounds using (pair_id)
+),
+made as (
+  select *, '<|im_start|>' || role || chr(10) as head, part <> 'prompt' and role = 'assistant' as counted from parts
+)
+select pair_id, part, turn, role, head || text || '<|im_end|>' || chr(10) as rendered,
+  case when counted then length(head) end::bigint as loss_start,
+  case when counted then length(head || text) + 10 end::bigint as loss_end,
+  coalesce(last_chosen >= cut and last_rejected >= cut, false) as usable
+from made
+"""
+
 ORACLES = {
+    "op3_url_rules": URL_RULES,
+    "op8_poisson_mix": POISSON_MIX,
+    "op9_preference_format": PREFERENCE,
     "op1_license_scan": LICENSE,
 }

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tokenmill.llm.common import table
 from tokenmill.llm.fertility import token_quality
 from tokenmill.llm.license_scan import license_scan
+from tokenmill.llm.poisson_mix import poisson_mix
+from tokenmill.llm.preference import preference_rows, swapped_replies
 from tokenmill.llm.secret_scan import KINDS, secret_scan
+from tokenmill.llm.url_rules import judge_urls
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,8 +55,33 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Host, path and verdict of the rules that the pages are judged by.
+URL_RULES = """
+values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+as rules(host, path, verdict)
+"""
+
+
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.sql(f"select * from {URL_RULES}")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = poisson_mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "source", "text", "copy", "mix_key")
+
+
+def op9_preference_format(spark: SparkSession, folder: str) -> DataFrame:
+    return preference_rows(swapped_replies(table(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_fertility": op2_token_fertility,
+    "op3_url_rules": op3_url_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op8_poisson_mix": op8_poisson_mix,
+    "op9_preference_format": op9_preference_format,
 }
