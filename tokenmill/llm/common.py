@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tokenmill.session import cut_lineage
+
 #: Words of letters and digits, on lower-cased UTF-8: whatever is not ASCII counts as part of a word.
 ALNUM_WORD = rb"[0-9a-z\x80-\xff]+"
 #: The same over strings, for Spark and SQL.
@@ -56,3 +58,32 @@ def map_texts(
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow.field(0).type), *arrays], schema=arrow)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b): root is the least node that it reaches.
+
+    Alternating stars: each node ties its larger neighbours to the least one it knows, then its
+    smaller ones, until nothing changes. Rounds grow with the logarithm of the longest path. A
+    round groups by node with sums made in tasks, and joins where a hot node may be split; its
+    edges are written to the shared folder, so a lost executor repeats one round at most.
+    """
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs = cut_lineage(pairs)
+    state = None
+    while True:
+        # larger neighbours
+        both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        large = large.where("a <> b").distinct()
+        # smaller ones and the node itself
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        pairs = cut_lineage(small.union(down.select("a", F.col("m").alias("b"))).distinct())
+        seen = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()  # one row
+        if tuple(seen) == state:
+            break
+        state = tuple(seen)
+    roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

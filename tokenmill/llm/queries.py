@@ -11,6 +11,7 @@ from tokenmill.llm.license_scan import license_scan
 from tokenmill.llm.poisson_mix import poisson_mix
 from tokenmill.llm.preference import preference_rows, swapped_replies
 from tokenmill.llm.secret_scan import KINDS, secret_scan
+from tokenmill.llm.simhash_gray import near_duplicates
 from tokenmill.llm.url_rules import judge_urls
 
 
@@ -68,6 +69,15 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_simhash_gray(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op8_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = poisson_mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "text", "copy", "mix_key")
@@ -82,6 +92,7 @@ QUERIES = {
     "op2_token_fertility": op2_token_fertility,
     "op3_url_rules": op3_url_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op7_simhash_gray": op7_simhash_gray,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_preference_format": op9_preference_format,
 }
