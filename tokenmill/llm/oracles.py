@@ -75,6 +75,32 @@ fitting as (
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parsed left join fitting using (row)
 """
 
+DECONTAMINATE = f"""
+with docs as (select doc_id, row_number() over () as row, {words("text")} as words from documents),
+items as (select item_id, {words("text")} as words from benchmark),
+windows as (
+  select item_id, words[i:i + 9] as words, least(len(words), 10) as n
+  from items, range(1, greatest(len(words) - 9, 1) + 1) as r(i) where len(words) > 0
+),
+places as (
+  select row, i as start, n, words[i:i + n - 1] as words
+  from docs, (select distinct n from windows) as lengths, range(1, len(words) - n + 2) as r(i)
+),
+hits as (select row, start, p.n, item_id from places p join windows w on p.words = w.words),
+covered as (
+  select row, count(distinct place) as n_hit from (select row, unnest(range(start, start + n)) as place from hits) group by row
+),
+listed as (
+  select row, count(distinct item_id) as n_items,
+    string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as items
+  from hits group by row
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (row) left join listed using (row)
+"""
+
 POISSON_MIX = """
 with sizes as (
   select source, sum(coalesce(strlen(text), 0))::double as size from documents group by source
@@ -148,6 +174,7 @@ from made
 """
 
 ORACLES = {
+    "op5_decontaminate": DECONTAMINATE,
     "op3_url_rules": URL_RULES,
     "op8_poisson_mix": POISSON_MIX,
     "op9_preference_format": PREFERENCE,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.llm.common import table
+from tokenmill.llm.decontaminate import benchmark_overlap
 from tokenmill.llm.fertility import token_quality
 from tokenmill.llm.license_scan import license_scan
 from tokenmill.llm.poisson_mix import poisson_mix
@@ -69,6 +70,18 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = benchmark_overlap(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_simhash_gray(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -92,6 +105,7 @@ QUERIES = {
     "op2_token_fertility": op2_token_fertility,
     "op3_url_rules": op3_url_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op5_decontaminate": op5_decontaminate,
     "op7_simhash_gray": op7_simhash_gray,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_preference_format": op9_preference_format,
