@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenmill.llm.common import table
 from tokenmill.llm.decontaminate import benchmark_overlap
 from tokenmill.llm.fertility import token_quality
+from tokenmill.llm.language_id import identify
 from tokenmill.llm.license_scan import license_scan
 from tokenmill.llm.poisson_mix import poisson_mix
 from tokenmill.llm.preference import preference_rows, swapped_replies
@@ -82,6 +83,10 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
 def op7_simhash_gray(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -106,6 +111,7 @@ QUERIES = {
     "op3_url_rules": op3_url_rules,
     "op4_secret_scan": op4_secret_scan,
     "op5_decontaminate": op5_decontaminate,
+    "op6_language_id": op6_language_id,
     "op7_simhash_gray": op7_simhash_gray,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_preference_format": op9_preference_format,
