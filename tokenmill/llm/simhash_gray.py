@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -123,8 +123,8 @@ def shared_bits(values: np.ndarray, groups: np.ndarray, masks: np.ndarray | None
     return ones | zeros, ones
 
 
-def linked(values: np.ndarray, max_bits: int) -> np.ndarray:
-    """For distinct uint64 fingerprints, the smallest index that each reaches over links inside this set.
+def near_pairs(values: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs of distinct uint64 fingerprints within ``max_bits``, in portions (u, v, bits), u < v as indices.
 
     Sorted by Gray rank, runs of ``LEAF`` make leaves and runs of leaves make nodes, each with the
     masked pattern of its shared bits. Two nodes whose patterns differ in more than ``max_bits``
@@ -132,13 +132,10 @@ def linked(values: np.ndarray, max_bits: int) -> np.ndarray:
     """
     order = np.argsort(gray_rank(values), kind="stable")
     fp = values[order]
-    label = np.arange(len(fp))
-    bounds = [np.arange(0, len(fp), LEAF)]
-    levels = [shared_bits(fp, bounds[0])]
+    levels = [shared_bits(fp, np.arange(0, len(fp), LEAF))]
     while len(levels[-1][0]) > LEAF:
-        cuts = np.arange(0, len(levels[-1][0]), LEAF)
         mask, ones = levels[-1]
-        levels.append(shared_bits(ones, cuts, mask))
+        levels.append(shared_bits(ones, np.arange(0, len(mask), LEAF), mask))
 
     def near(level, a, b):
         mask, ones = levels[level]
@@ -148,9 +145,9 @@ def linked(values: np.ndarray, max_bits: int) -> np.ndarray:
     a, b = np.triu_indices(len(levels[top][0]))
     keep = near(top, a, b)
     a, b = a[keep], b[keep]
+    step = np.arange(LEAF)
     for level in range(top - 1, -1, -1):
         n, opened = len(levels[level][0]), []
-        step = np.arange(LEAF)
         for at in range(0, len(a), 2048):
             x = (a[at : at + 2048, None, None] * LEAF + step[:, None] + 0 * step).ravel()
             y = (b[at : at + 2048, None, None] * LEAF + step + 0 * step[:, None]).ravel()
@@ -162,21 +159,34 @@ def linked(values: np.ndarray, max_bits: int) -> np.ndarray:
     padded = np.concatenate([fp, np.zeros(-len(fp) % LEAF, np.uint64)]).reshape(-1, LEAF)
     for at in range(0, len(a), 2048):
         p, q = a[at : at + 2048], b[at : at + 2048]
-        differ = np.bitwise_count(padded[p][:, :, None] ^ padded[q][:, None, :])
-        k, i, j = np.nonzero(differ <= max_bits)
+        bits = np.bitwise_count(padded[p][:, :, None] ^ padded[q][:, None, :])
+        k, i, j = np.nonzero(bits <= max_bits)
         u, v = p[k] * LEAF + i, q[k] * LEAF + j
         ok = (u < v) & (v < len(fp))
-        join_labels(label, u[ok], v[ok])
-    found = np.empty_like(label)
-    found[order] = order[label]
-    # the smallest index of each set speaks for it
-    least = np.full(len(fp), len(fp))
-    np.minimum.at(least, found, np.arange(len(fp)))
-    return least[found]
+        u, v = order[u[ok]], order[v[ok]]
+        yield np.minimum(u, v), np.maximum(u, v), bits[k, i, j][ok]
+
+
+def linked(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index, least index that it reaches over links inside this set), where the two differ."""
+    label = np.arange(len(values))
+    for u, v, _ in near_pairs(values, max_bits):
+        join_labels(label, u, v)
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return moved, label[moved]
+
+
+def nearest(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index, nearest one among those of smaller index), where there is one within ``max_bits``."""
+    best = np.full(len(values), np.iinfo(np.int64).max)
+    for u, v, bits in near_pairs(values, max_bits):
+        np.minimum.at(best, v, (bits.astype(np.int64) << 40) + u)
+    moved = np.flatnonzero(best < np.iinfo(np.int64).max)
+    return moved, best[moved] & ((1 << 40) - 1)
 
 
 def join_labels(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
-    """Labels become the least reached over edges (u, v); a label is itself labelled."""
+    """Labels become the least reached over edges (u, v); a label labels itself."""
     while len(u):
         x, y = label[u], label[v]
         apart = x != y
@@ -191,10 +201,13 @@ def join_labels(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
             label[:] = up
 
 
-def near_links(fps: DataFrame, max_bits: int = MAX_BITS, node_size: int = NODE_SIZE) -> DataFrame:
+def near_links(
+    fps: DataFrame, max_bits: int = MAX_BITS, node_size: int = NODE_SIZE, links: Callable = linked
+) -> DataFrame:
     """(a, b) with a > b over distinct fingerprints (fp): not all links, but edges with the same connected components.
 
-    Each node gives a star for each of its linked sets, so a set of m copies gives m - 1 rows.
+    Each node gives, for every fingerprint in it, one row at most (``links``), so a set of m near
+    copies gives m - 1 rows.
     """
     nodes = upper_nodes(fps, max_bits, node_size)
 
@@ -202,9 +215,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, node_size: int = NODE_S
         def of(values: np.ndarray) -> pa.RecordBatch:
             unsigned = np.unique(values.view(np.uint64))
             signed = unsigned.view(np.int64)
-            root = linked(unsigned, max_bits)
-            moved = root != np.arange(len(root))
-            p, q = signed[moved], signed[root[moved]]
+            moved, to = links(unsigned, max_bits)
+            p, q = signed[moved], signed[to]
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(p, q)), pa.array(np.minimum(p, q))], names=["a", "b"])
 
         name, parts = None, []
@@ -246,10 +258,66 @@ def near_duplicates(
     """
     marked = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     fps = cut_lineage(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = connected_components(near_links(fps.select("fp"), max_bits, node_size))
+    return classes_of(marked, fps, near_links(fps.select("fp"), max_bits, node_size), id_col)
+
+
+def classes_of(marked: DataFrame, fps: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
+    """(``id_col``, fp, component) from rows (id, fp), fingerprints (fp, least id) and links between them."""
+    roots = connected_components(links)
     joined = fps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
     classes = joined.join(least, "root").select("fp", "component")
     return marked.join(classes, "fp").select(id_col, "fp", "component")
+
+
+def resemblance(pairs: DataFrame, shingle: int) -> DataFrame:
+    """(a, b, similarity) of (a, b, text_a, text_b): Jaccard measure of the sets of word shingles, exact."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spaced = re.compile(rb"[^\x20\x09-\x0D]+")
+
+        def shingles(text: str | None) -> set[bytes]:
+            words = spaced.findall((text or "").encode().lower())
+            n = max(1, len(words) - shingle + 1)
+            return {b" ".join(words[i : i + shingle]) for i in range(n)}
+
+        for batch in batches:
+            values = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                one, other = shingles(x.as_py()), shingles(y.as_py())
+                values.append(len(one & other) / len(one | other))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(values, pa.float64())], names=["a", "b", "similarity"]
+            )
+
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a bigint, b bigint, similarity double")
+
+
+def similar_documents(
+    docs: DataFrame,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    max_bits: int = 10,
+    node_size: int = NODE_SIZE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """(``id_col``, fp, component) as ``near_duplicates``, over links whose texts' shingle sets are alike by ``similarity``.
+
+    A resemblance of 0.8 makes 9 or 10 of 64 bits differ on average, so the index is searched further.
+    In every index node each fingerprint proposes its nearest one; the proposed pairs' texts (one
+    for each fingerprint) are compared exactly, and only pairs that reach ``similarity`` link.
+    """
+    marked = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
+    fps = cut_lineage(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
+    proposed = cut_lineage(near_links(fps.select("fp"), max_bits, node_size, nearest))
+    wanted = proposed.select(F.col("a").alias("fp")).union(proposed.select("b")).distinct().join(fps, "fp")
+    texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted, "least")
+    texts = cut_lineage(texts.select("fp", "text").dropDuplicates(["fp"]))
+    pairs = proposed.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a").join(
+        texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b"
+    )
+    alike = resemblance(pairs, shingle).where(F.col("similarity") >= similarity).select("a", "b")
+    return classes_of(marked, fps, alike, id_col)
