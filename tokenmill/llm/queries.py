@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.llm.bwt_dedup import remove_repeats
 from tokenmill.llm.common import table
 from tokenmill.llm.decontaminate import benchmark_overlap
 from tokenmill.llm.fertility import token_quality
@@ -105,6 +106,18 @@ def op9_preference_format(spark: SparkSession, folder: str) -> DataFrame:
     return preference_rows(swapped_replies(table(spark, folder, "conversations")))
 
 
+def op10_bwt_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    lengths = F.transform("spans", lambda s: s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_fertility": op2_token_fertility,
@@ -115,4 +128,5 @@ QUERIES = {
     "op7_simhash_gray": op7_simhash_gray,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_preference_format": op9_preference_format,
+    "op10_bwt_dedup": op10_bwt_dedup,
 }
