@@ -1,0 +1,157 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tokenmill.llm import decontaminate, poisson_mix, preference, url_rules
+
+
+def brute_overlap(text, items, window=10):
+    def words(t):
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+    doc, hit, owners = words(text), set(), set()
+    for item, item_text in items:
+        own = words(item_text)
+        n = min(window, len(own))
+        for i in range(len(own) - n + 1) if n else ():
+            for at in range(len(doc) - n + 1):
+                if doc[at : at + n] == own[i : i + n]:
+                    hit.update(range(at, at + n))
+                    owners.add(item)
+    return len(doc), len(hit), tuple(sorted(str(o) for o in owners if o is not None))
+
+
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+def test_overlap_equals_brute_force(spark, frame, odd_rows, broadcast_rows):
+    rng = random.Random(8)
+    vocabulary = ["aa", "Bb", "c1", "é", "dd"]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 9, 10, 14])))) for i in range(12)]
+    items += [(None, "aa aa aa aa aa"), (20, None), (21, ""), (22, items[0][1]), (22, items[0][1])]
+    texts = [(i, " ".join(rng.choice(vocabulary) for _ in range(40))) for i in range(40)] + odd_rows
+    table = spark.createDataFrame(items, "item_id bigint, text string").withColumn("words", F.lit(1))
+    found = decontaminate.benchmark_overlap(frame(texts), table, broadcast_rows=broadcast_rows)
+    got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found.collect())
+    assert got == Counter((i, *brute_overlap(t, items)) for i, t in texts)
+
+
+def test_overlap_without_items_or_documents(spark, frame):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert [(r.n_words, r.n_hit) for r in decontaminate.benchmark_overlap(frame([(1, "a b")]), none).collect()] == [(2, 0)]
+    one = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    assert decontaminate.benchmark_overlap(frame([]), one).count() == 0
+
+
+def brute_rule(url, rules):
+    m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (m[1].lower(), m[2]) if m else ("", "")
+    fits = [(-len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *(min(fits)[1:] if fits else (None, "allow")))
+
+
+@pytest.mark.parametrize("per_sweep", [200_000, 20])
+def test_rules_equal_brute_force(spark, per_sweep):
+    rng = random.Random(9)
+    hosts = ["net", "a.net", "b.a.net", "xnet", "net.a", "a.b.c", "c", "", "a-b.net", "A.Net"]
+    paths = ["", "/", "/en/", "/en/x", "/e", "/fr/"]
+    rules = [("net", "/", "block"), ("a.net", "/en/", "allow"), ("a.net", "/en/x", "block"), ("c", "", "block"), ("b.c", "/", "allow"), ("b.a.net", "", "block")]
+    urls = [rng.choice(["http://", "HTTPS://", ""]) + rng.choice(hosts) + rng.choice(paths) + rng.choice(["", "?q=http://net/", "#x"]) for _ in range(200)]
+    rows = [(i, u) for i, u in enumerate([*urls, None, "", "://", "x://y://net/"])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string").withColumn("host", F.lit("clash"))
+    found = url_rules.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), pages_per_sweep=per_sweep)
+    got = {r.page_id: (r.host, r.path, r["rule"], r.verdict) for r in found.collect()}
+    assert got == {i: brute_rule(u, rules) for i, u in rows}
+
+
+def test_rules_of_empty_tables(spark):
+    rules = spark.createDataFrame([], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id bigint, url string")
+    assert [(r["rule"], r.verdict) for r in url_rules.judge_urls(pages, rules).collect()] == [(None, "allow")]
+    assert url_rules.judge_urls(pages.where("false"), rules).count() == 0
+
+
+def test_poisson_steps_are_the_distribution(spark):
+    import math
+
+    rates = spark.createDataFrame([("a", 0.3), ("b", 4.0), ("c", 900.0), ("z", 0.0)], "source string, rate double")
+    rows = {r.source: r.steps for r in poisson_mix.poisson_steps(rates).collect()}
+    assert set(rows) == {"a", "b", "c"}
+    for source, rate in (("a", 0.3), ("b", 4.0)):
+        total = 0.0
+        for k in range(20):
+            total += math.exp(-rate) * rate**k / math.factorial(k)
+            assert rows[source][k] == pytest.approx(total)
+    assert rows["c"][-1] == pytest.approx(1.0) and rows["c"][900] == pytest.approx(0.5, abs=0.02)
+
+
+def test_mix_meets_target_weights(frame, spark):
+    rows = [(i, f"text number {i:05d} of some length") for i in range(4000)]
+    docs = frame(rows).withColumn("source", F.when(F.col("doc_id") < 3600, "big").when(F.col("doc_id") < 3990, "small"))
+    weights = spark.createDataFrame([("big", 1.0), ("small", 1.0), (None, 0.02)], "source string, weight double")
+    mixed = poisson_mix.poisson_mix(docs, weights).cache()
+    assert mixed.columns == [*[c for c in docs.columns if c != "copy"], "copy", "mix_key"]
+    n = {r.source: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert abs(n["big"] / n["small"] - 1) < 0.12 and n[None] > 0
+    copies = mixed.groupBy("doc_id").agg(F.max("copy").alias("m"), F.count("*").alias("n"))
+    assert copies.where("m <> n").count() == 0
+    again = poisson_mix.poisson_mix(docs.repartition(7), weights)
+    assert Counter(map(tuple, mixed.select("doc_id", "copy").collect())) == Counter(map(tuple, again.select("doc_id", "copy").collect()))
+    other = poisson_mix.poisson_mix(docs, weights, seed="other")
+    assert Counter(r.doc_id for r in other.collect()) != Counter(r.doc_id for r in mixed.collect())
+
+
+def test_mix_of_odd_rows(frame, odd_rows, spark):
+    mixed = poisson_mix.poisson_mix(frame(odd_rows), epochs=3.0).collect()
+    per_text = Counter((r.doc_id, r.text) for r in mixed)
+    assert per_text[(3, "twice")] % 2 == 0 and all(r.copy >= 1 for r in mixed)
+    assert poisson_mix.poisson_mix(frame([])).count() == 0
+    none = spark.createDataFrame([], "source string, weight double")
+    assert poisson_mix.poisson_mix(frame(odd_rows), none).count() == 0
+
+
+def test_preference_rows_by_hand(spark):
+    rows = [
+        (1, "chosen", 0, "user", "Hi"), (1, "chosen", 1, "assistant", "Yes"), (1, "chosen", 2, "user", "More"),
+        (1, "rejected", 0, "user", "Hi"), (1, "rejected", 1, "assistant", "No"), (1, "rejected", 2, "user", "More"),
+        (2, "chosen", 0, None, None), (2, "rejected", 0, None, None),
+        (3, "chosen", 0, "user", "a"), (3, "chosen", 1, "assistant", "b"), (3, "rejected", 0, "user", "a"),
+        (4, "chosen", 5, "user", "x"), (4, "chosen", 5, "user", "x"), (4, "rejected", 5, "user", "y"), (None, "chosen", 0, "user", "z"),
+        (5, None, 0, "user", "z"), (5, "chosen", None, "user", "z"),
+    ]
+    turns = spark.createDataFrame(rows, "pair_id bigint, side string, turn bigint, role string, text string").withColumn("part", F.lit("x"))
+    got = {(r.pair_id, r.part, r.turn): (r.rendered, r.loss_start, r.loss_end, r.usable) for r in preference.preference_rows(turns).collect()}
+    user, bot = "<|im_start|>user\n{}<|im_end|>\n", "<|im_start|>assistant\n{}<|im_end|>\n"
+    head = len("<|im_start|>assistant\n")
+    assert got == {
+        (1, "prompt", 0): (user.format("Hi"), None, None, True),
+        (1, "chosen", 1): (bot.format("Yes"), head, head + 3 + 10, True),
+        (1, "rejected", 1): (bot.format("No"), head, head + 2 + 10, True),
+        (1, "chosen", 2): (user.format("More"), None, None, True),
+        (1, "rejected", 2): (user.format("More"), None, None, True),
+        (2, "prompt", 0): (user.format(""), None, None, False),
+        (3, "prompt", 0): (user.format("a"), None, None, False),
+        (3, "chosen", 1): (bot.format("b"), head, head + 1 + 10, False),
+        (4, "chosen", 5): (user.format("x"), None, None, False),
+        (4, "rejected", 5): (user.format("y"), None, None, False),
+    }
+
+
+def test_each_side_can_be_rebuilt(spark, tiny):
+    talks = spark.read.parquet(f"{tiny}/conversations.parquet")
+    sides = preference.swapped_replies(talks)
+    texts = {}
+    for r in preference.preference_rows(sides).collect():
+        for side in ("chosen", "rejected") if r.part == "prompt" else (r.part,):
+            texts.setdefault((r.pair_id, side), []).append((r.turn, r.role, r.rendered))
+    want = {}
+    for r in sides.collect():
+        want.setdefault((r.pair_id, r.side), set()).add((r.turn, r.role, f"<|im_start|>{r.role}\n{r.text}<|im_end|>\n"))
+    assert {k: sorted(v) for k, v in texts.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_preference_of_empty_tables(spark):
+    empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert preference.preference_rows(preference.swapped_replies(empty)).count() == 0
