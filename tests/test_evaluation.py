@@ -58,7 +58,7 @@ def test_cloze_needs_exactly_one_blank(spark):
 def test_long_requests_lose_their_left(spark):
     rows = spark.createDataFrame([(1, 0, "abc", "de"), (2, 0, "a", "d"), (3, 0, "a", "defgh")], REQUEST)
     got = {r.item_id: (bytes(r.tokens), r.cont_start) for r in requests.loglik_requests(rows, BYTES, 4).collect()}
-    assert got == {1: (b"bcde", 2), 2: (b"ad", 1), 3: (b"efgh", 0)}
+    assert got == {1: (b"bcde", 2), 2: (b"ad", 1), 3: (b"defgh", 0)}
 
 
 def _fit(spark, texts):
@@ -89,12 +89,11 @@ def test_scores_equal_brute_force_either_way(spark, broadcast):
     coded = requests.loglik_requests(rows, BYTES, 64)
     got = {r.item_id: r.score for r in scoring.loglik_scores(coded, scores, ["item_id"]).collect()}
     for i, (context, continuation) in cases.items():
-        kept = ([E] + list((context + continuation).encode()))[-64 if i == 5 else 0 :]
-        tokens = list((context + continuation).encode())[-64:]
-        begin = max(len(tokens) - len(continuation), 0)
+        # the continuation is scored whole; beside one of 90 tokens a block of 64 leaves no context
+        tokens = list(("" if i == 5 else context).encode() + continuation.encode())
         padded = [E, *tokens]
-        want = sum(look(padded[j], padded[j + 1]) for j in range(begin, len(tokens)))
-        assert got[i] == pytest.approx(want, abs=1e-4), (i, kept)
+        want = sum(look(padded[j], padded[j + 1]) for j in range(len(tokens) - len(continuation), len(tokens)))
+        assert got[i] == pytest.approx(want, abs=1e-4), i
     assert got[4] == 0.0
 
 
@@ -155,7 +154,32 @@ def test_validation_loss_is_a_mean_of_batch_means(spark):
     assert row.token_mean == pytest.approx(sum(first + second) / 8, abs=1e-5)
     assert row.perplexity == pytest.approx(math.exp(row.token_mean))
     only = scoring.val_loss(rows, scores, batch_size=3, eval_iters=1).first()
-    assert only.token_mean == pytest.approx(sum(first) / 6, abs=1e-5)
+    assert only.mean_of_means == pytest.approx(sum(first) / 6, abs=1e-5)
+    assert only.token_mean == row.token_mean and only.perplexity == row.perplexity
+
+
+def test_windows_account_for_every_trainable_token(spark):
+    long = [("a", 0, list(range(1, 24)), [i % 2 for i in range(23)]), ("b", 0, [5], [1]), ("c", 0, [7, 8, 9, 10, 11], [1] * 5)]
+    rows = spark.createDataFrame(long, "id string, start bigint, tokens array<int>, loss_mask array<int>")
+    for align, shift in (("input", 0), ("target", 1)):
+        windows = tensors.sft_targets(tensors.sft_tensors(rows, 4, align, "windows")).collect()
+        count = {i: sum(w.n_targets for w in windows if w.id == i) for i in "abc"}
+        assert count == {i: sum(m[shift : len(t) - 1 + shift]) for i, _, t, m in long}
+        seen = sorted((w.start, [t for t in w.x if t]) for w in windows if w.id == "a")
+        assert sum((x for _, x in seen), []) == long[0][2][:-1]
+
+
+def test_limits_count_valid_items(spark):
+    clozes = [(1, "no blank", "a", "b", "1"), (2, "one _ here", "a", "b", "1"), (3, "x _ y", "a", "b", "2"), (4, "z _", "a", "b", "2")]
+    rows = spark.createDataFrame(clozes, "item_id bigint, sentence string, option1 string, option2 string, answer string")
+    assert {r.item_id for r in requests.cloze_requests(rows, limit=2).collect()} == {2, 3}
+    choices = spark.createDataFrame([(1, "c", []), (2, "c", ["x"]), (3, "c", ["y"])], "item_id bigint, ctx string, endings array<string>")
+    assert {r.item_id for r in requests.choice_requests(choices, limit=1).collect()} == {2}
+
+
+def test_last_word_context_keeps_room_for_one_token(spark):
+    rows = spark.createDataFrame([([1, 2, 3, 4],)], "t array<int>")
+    assert rows.select(requests.last_word_context(F.col("t"), 3)).first()[0] == [3, 4]
 
 
 def _candidates(spark, counts, **options):

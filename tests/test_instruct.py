@@ -14,22 +14,34 @@ TURNS = "conv_id bigint, turn bigint, role string, text string"
 def test_single_turn_template(spark):
     rows = spark.createDataFrame(
         [(1, "Do", "  ", "x"), (2, "Do", " a ", "x"), (3, "Do", None, "x"), (4, "Do", " \x1f", "x")],
-        "conv_id bigint, instruction string, input string, output string",
+        "pair_id bigint, instruction string, input string, output string",
     )
-    got = {r.conv_id: r.prompt for r in instruct.format_single_turn(rows).collect()}
+    got = {r.pair_id: r.prompt for r in instruct.format_single_turn(rows).collect()}
     bare = "### Instruction:\nDo\n\n### Response:\n"
     assert got == {1: bare, 2: "### Instruction:\nDo\n\n### Input:\n a \n\n### Response:\n", 3: bare, 4: bare}
 
 
 def test_single_turn_mask(spark):
     rows = spark.createDataFrame(
-        [(1, "Do", "", "ok")], "conv_id bigint, instruction string, input string, output string"
+        [(1, "Do", "", "ok")], "pair_id bigint, instruction string, input string, output string"
     )
     row = instruct.single_turn_examples(rows, ByteTokenizer()).first()
     assert row.tokens[-3:] == [*b"ok", E]
     assert row.loss_mask == [0] * (len(row.tokens) - 3) + [1, 1, 1]
 
 
+def test_every_question_with_its_answer(spark):
+    turns = [
+        (1, 0, "system", "S"), (1, 1, "user", "q1"), (1, 2, "gpt", "a1"), (1, 3, "human", "q2"), (1, 4, "system", "T"),
+        (1, 5, "assistant", "a2"), (1, 6, "assistant", "again"), (2, 0, "assistant", "first"), (2, 1, "user", "open"), (3, 0, "tool", "x"),
+    ]
+    turns += [(9, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(40)]
+    rows = spark.createDataFrame(turns, TURNS)
+    want = {("1:1", "q1", "S", "a1"), ("1:3", "q2", "S", "a2")} | {(f"9:{i}", f"t{i}", "", f"t{i + 1}") for i in range(0, 40, 2)}
+    for size in (1_000_000, 7):  # whole, and with conversations cut
+        assert {tuple(r) for r in instruct.single_turn(rows, size).collect()} == want
+
+
 def test_chat_prompt(spark):
     rows = spark.createDataFrame([("Sum up.", " a\n"), ("Hi ", " ")], "i string, x string")
     got = [r[0] for r in rows.select(text.chat_prompt(F.col("i"), F.col("x"))).collect()]

@@ -41,11 +41,26 @@ def test_one_run_with_most_rows_gives_the_same_flags(spark):
     log = _log(spark, rows)
     whole = metrics.best_checkpoints(log)
     cut = metrics.best_checkpoints(log, rows_per_segment=100)
-    assert whole.exceptAll(cut).count() == 0 and whole.count() == cut.count() == len(rows)
+    assert whole.exceptAll(cut).count() == 0 and whole.count() == cut.count() == len({r[:3] for r in rows})
     rate = metrics.throughput(log)
     assert rate.exceptAll(metrics.throughput(log, rows_per_segment=100)).count() == 0
 
 
+def test_many_cut_groups_give_the_same_flags(spark):
+    rows = [(r, s, "m", float((s * 7919 + r) % 11), s) for r in range(5000) for s in range(6)]
+    log = _log(spark, rows)
+    cut = metrics.best_checkpoints(log, rows_per_segment=4)
+    assert metrics.best_checkpoints(log).exceptAll(cut).count() == 0 and cut.count() == len(rows)
+
+
+def test_only_the_latest_value_of_a_step_is_judged(spark):
+    log = _log(spark, [(1, 1, "m", 5.0, 1), (1, 2, "m", 3.0, 2), (1, 2, "m", 9.0, 8), (1, 3, "m", 4.0, 9)])
+    got = {r.step: (r.value, r.is_best) for r in metrics.best_checkpoints(log).collect()}
+    assert got == {1: (5.0, True), 2: (9.0, False), 3: (4.0, True)}
+    tied = _log(spark, [(1, 1, "m", 5.0, 1), (1, 1, "m", 6.0, 1)])
+    assert [r.value for r in metrics.resolve_resumed(tied).collect()] == [6.0]
+
+
 def test_throughput_across_a_clock_change(spark):
     log = _log(spark, [(1, 100, "m", 1.0, 0), (1, 150, "m", 1.0, 4), (1, 200, "m", 1.0, 4)])
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -66,6 +66,12 @@ def test_a_failed_evaluation_is_tried_again(spark, tmp_path):
     assert seen == [5000]
 
 
+def test_null_and_nan_are_never_best(spark):
+    rows = [(1, 1, "m", 2.0), (1, 2, "m", None), (1, 3, "m", 1.0), (1, 4, "m", float("nan")), (2, 1, "m", None)]
+    log = spark.createDataFrame(rows, "run bigint, step bigint, metric string, value double")
+    assert [tuple(r) for r in best.best_so_far(log).collect()] == [(1, "m", 3, 1.0)]
+
+
 def test_best_survives_a_restart_and_equals_batch(spark, tiny, tmp_path):
     log = bindings.metric_log(bindings.events(spark, tiny))
     source, target, state = (f"{tmp_path}/{n}" for n in ("in", "out", "state"))

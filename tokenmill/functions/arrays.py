@@ -17,10 +17,10 @@ def head(array: Column, n: int | Column) -> Column:
     return F.slice(array, F.lit(1), n)
 
 
-def last(array: Column, n: int) -> Column:
+def last(array: Column, n: int | Column) -> Column:
     """The last ``n`` entries, all of them when there are fewer."""
-    size = F.size(array)
-    return F.slice(array, F.greatest(size - n, F.lit(0)) + 1, F.least(size, F.lit(n)))
+    size, n = F.size(array), F.lit(n) if isinstance(n, int) else n
+    return F.slice(array, F.greatest(size - n, F.lit(0)) + 1, F.least(size, n))
 
 
 def inputs(array: Column) -> Column:

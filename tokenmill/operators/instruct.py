@@ -24,23 +24,34 @@ PART_TOKENS = 1 << 22
 # ---- single-turn --------------------------------------------------------------------
 
 
-def single_turn(turns: DataFrame) -> DataFrame:
-    """(conv_id, instruction, input, output) from a turn table: first user, system and
-    assistant text. Conversations without a question or an answer are left out."""
-    role = text.normalize_role(F.col("role"))
-
-    def first(which: str) -> Column:
-        return F.min_by(F.when(role == which, F.col("text")), F.when(role == which, F.col("turn")))
-
-    rows = turns.groupBy("conv_id").agg(
-        first("user").alias("instruction"),
-        F.coalesce(first("system"), F.lit("")).alias("input"),
-        first("assistant").alias("output"),
+def single_turn(turns: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+    """(pair_id, instruction, input, output) from a turn table: every user turn that an assistant
+    turn follows, with the conversation's first system text as input.
+
+    System turns do not come between question and answer; a question without an answer behind
+    it, or an answer without a question before it, gives no row. ``pair_id`` is the conversation
+    and the question's turn.
+    """
+    said = known_turns(turns)
+    system = said.where(F.col("role") == "system").groupBy("conv_id").agg(F.min_by("text", "turn").alias("input"))
+    talk = running(
+        said.where(F.col("role") != "system"),
+        ["turn"],
+        [Running("asked", "last", F.struct("role", "text", "turn"))],
+        group=["conv_id"],
+        few_groups=False,
+        rows_per_segment=rows_per_segment,
+    )
+    pairs = talk.where((F.col("role") == "assistant") & (F.col("asked.role") == "user"))
+    return pairs.join(system, "conv_id", "left").select(
+        F.concat_ws(":", "conv_id", "asked.turn").alias("pair_id"),
+        F.col("asked.text").alias("instruction"),
+        F.coalesce("input", F.lit("")).alias("input"),
+        F.col("text").alias("output"),
     )
-    return rows.where(F.col("instruction").isNotNull() & F.col("output").isNotNull())
 
 
-def format_single_turn(rows: DataFrame, id_column: str = "conv_id") -> DataFrame:
+def format_single_turn(rows: DataFrame, id_column: str = "pair_id") -> DataFrame:
     return rows.select(
         id_column,
         text.instruction_prompt(F.col("instruction"), F.col("input")).alias("prompt"),
@@ -48,7 +59,7 @@ def format_single_turn(rows: DataFrame, id_column: str = "conv_id") -> DataFrame
     )
 
 
-def single_turn_examples(rows: DataFrame, tokenizer, id_column: str = "conv_id") -> DataFrame:
+def single_turn_examples(rows: DataFrame, tokenizer, id_column: str = "pair_id") -> DataFrame:
     """Prompt and response are encoded apart; the response closes with end-of-text."""
     coded = format_single_turn(rows, id_column).select(
         id_column,
@@ -249,7 +260,7 @@ def chat_dataset(
 
 
 def single_turn_dataset(
-    rows: DataFrame, docs: DataFrame, tokenizer, head: Size, take: Size, id_column: str = "conv_id"
+    rows: DataFrame, docs: DataFrame, tokenizer, head: Size, take: Size, id_column: str = "pair_id"
 ) -> DataFrame:
     """Single-turn variant over (id, instruction, input, output): every row, no cap."""
     examples = single_turn_examples(rows, tokenizer, id_column)

@@ -11,9 +11,13 @@ from tokenmill.operators.ordering import ROWS_PER_SEGMENT, Running, running
 
 
 def resolve_resumed(log: DataFrame) -> DataFrame:
-    """One value per (run, step, metric): a resumed run logs steps again, the latest counts."""
-    return log.groupBy("run", "step", "metric").agg(
-        F.max_by("value", "logged_at").alias("value"), F.max("logged_at").alias("logged_at")
+    """One value per (run, step, metric): a resumed run logs steps again, the latest counts.
+
+    Of values logged at one time the greatest counts, so the result is determined.
+    """
+    newest = F.max(F.struct("logged_at", "value"))
+    return log.groupBy("run", "step", "metric").agg(newest.alias("_newest")).select(
+        "run", "step", "metric", F.col("_newest.value").alias("value"), F.col("_newest.logged_at").alias("logged_at")
     )
 
 
@@ -45,13 +49,14 @@ def best_checkpoints(
 ) -> DataFrame:
     """(run, metric, step, value, is_best, is_saved).
 
+    Only the latest value of a step counts (``resolve_resumed``).
     At an evaluation step a value strictly below all earlier evaluated ones is best and saved.
     Any other step is saved when it is periodic and after the start.
     """
     evaluated = F.col("step") % eval_every == 0
     value = F.when(evaluated, F.col("value"))
     past = running(
-        log.select("run", "metric", "step", "value"),
+        resolve_resumed(log).select("run", "metric", "step", "value"),
         ["step"],
         [Running("_lowest", "min", value)],
         group=["run", "metric"],
@@ -74,9 +79,12 @@ def best_checkpoints(
 def throughput(
     log: DataFrame, tokens_per_step: int = C.TOKENS_PER_STEP, rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:
-    """(run, step, tokens_per_sec) since the row before in the run; NULL for its first row."""
+    """(run, step, tokens_per_sec) since the step before in the run; NULL for its first one.
+
+    A step that was logged more than once counts at its latest time.
+    """
     past = running(
-        log.select("run", "step", "logged_at"),
+        log.groupBy("run", "step").agg(F.max("logged_at").alias("logged_at")),
         ["step"],
         [Running("_past", "last", F.struct("step", "logged_at"))],
         group=["run"],
@@ -125,12 +133,17 @@ def parse_log(lines: DataFrame) -> DataFrame:
 
     Every log gets all metrics, NULL where no line matches.
     """
+    found = {
+        metric: F.expr(f"nullif(regexp_extract(line, r'(?i){pattern}', 1), '')").cast("double")
+        for metric, pattern in C.LOG_PATTERNS.items()
+    }
+    # each pattern once per line, in a step of its own
+    values = lines.select("log", "line_no", F.array(*found.values()).alias("v"))
     firsts = []
-    for metric, pattern in C.LOG_PATTERNS.items():
-        found = F.expr(f"nullif(regexp_extract(line, r'(?i){pattern}', 1), '')").cast("double")
-        at = F.when(found.isNotNull(), F.col("line_no"))
-        firsts.append(F.min_by(found, at).alias(metric))
-    wide = lines.groupBy("log").agg(*firsts)
+    for i, metric in enumerate(found):
+        value = F.col("v")[i]
+        firsts.append(F.min_by(value, F.when(value.isNotNull(), F.col("line_no"))).alias(metric))
+    wide = values.groupBy("log").agg(*firsts)
     return wide.unpivot("log", list(C.LOG_PATTERNS), "metric", "value")
 
 

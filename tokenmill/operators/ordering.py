@@ -8,7 +8,7 @@ Three tools, all for non-null integer order keys:
               one task are cut into key ranges; per-range aggregates carry over the cuts.
 ``positions`` 0-based ranks, by ``running``.
 
-What reaches the driver is bounded: one histogram per refinement, one list of hot groups.
+The driver gets one histogram per refinement, a few cells for each segment; large groups are a table.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill import constants as C
+from tokenmill.session import cut_lineage
 
 HISTOGRAM_BINS = 4096
 LEAF_ROWS = 100_000  # rows one task may sort to pick a key
 ROWS_PER_SEGMENT = 1_000_000  # rows one task may hold in order
 ROWS_PER_CUT = 128  # below this, cutting for parallelism does not pay
-MAX_SEGMENTS = 1 << 18
-MAX_HOT_GROUPS = 1000
+BROADCAST_GROUPS = 100_000
 
 SEGMENT = "_segment"
 SHUFFLE_KEY_LIMIT = 16**15
@@ -142,7 +142,6 @@ def segment_cuts(
     if not rows:
         return 0, []
     segments = max(math.ceil(rows / rows_per_segment), min(min_segments, rows // ROWS_PER_CUT))
-    segments = min(segments, MAX_SEGMENTS)
     if segments <= 1 or low == high:
         return low, []
     if even_range is not None:
@@ -204,7 +203,6 @@ def add_segments(
     one task may hold are cut; the rest stay whole in segment 0. ``min_segments`` asks for
     more cuts than size demands, to spread heavy rows.
     """
-    spark = df.sparkSession
     keys = df.select(*group, key)
     if few_groups:
         low, cuts = segment_cuts(keys, key, rows_per_segment, min_segments, even_range)
@@ -212,19 +210,16 @@ def add_segments(
             return df.withColumn(SEGMENT, F.lit(0)), 1
         return _assign(df, key, low, cuts), len(cuts) + 1
 
-    rows = keys.count()
-    limit = max(rows_per_segment, rows // MAX_HOT_GROUPS)
-    if rows <= limit:
-        return df.withColumn(SEGMENT, F.lit(0)), 1
-    # more than `limit` rows each, so at most MAX_HOT_GROUPS of them
-    hot = keys.groupBy(*group).count().where(F.col("count") > limit).drop("count").collect()
-    if not hot:
+    if keys.count() <= rows_per_segment:
         return df.withColumn(SEGMENT, F.lit(0)), 1
     names = [f"_hot_{name}" for name in group]
-    schema = ", ".join(
-        f"`{n}` {keys.schema[g].dataType.simpleString()}" for n, g in zip(names, group, strict=True)
-    )
-    listed = F.broadcast(spark.createDataFrame([tuple(r) for r in hot], schema).withColumn("_hot", F.lit(True)))
+    hot = keys.groupBy(*group).count().where(F.col("count") > rows_per_segment).drop("count")
+    # a table, however many there are; it is counted before it may be broadcast
+    hot = cut_lineage(hot.toDF(*names).withColumn("_hot", F.lit(True)))
+    n_hot = hot.count()
+    if not n_hot:
+        return df.withColumn(SEGMENT, F.lit(0)), 1
+    listed = F.broadcast(hot) if n_hot <= BROADCAST_GROUPS else hot
     same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)]
     low, cuts = segment_cuts(keys.join(listed, same, "left_semi"), key, rows_per_segment, 1)
     if not cuts:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenmill import constants as C
 from tokenmill.operators import requests
 from tokenmill.operators.ordering import ROWS_PER_SEGMENT, Running, running
 from tokenmill.operators.scoring import ScoreTable, next_token
@@ -35,17 +36,20 @@ def pick_option(scores: DataFrame) -> DataFrame:
     return both.select("item_id", pred.alias("pred"), "answer", (pred == F.col("answer")).cast("int").alias("hit"))
 
 
-def pick_last_word(asked: DataFrame, scores: ScoreTable, tokenizer) -> DataFrame:
+def pick_last_word(
+    asked: DataFrame, scores: ScoreTable, tokenizer, block_size: int = C.BLOCK_SIZE
+) -> DataFrame:
     """Hit where the most likely next token is the first token of the last word.
 
-    The best-token table has one row per vocabulary entry at most.
+    The best-token table has a row per vocabulary entry; it is broadcast if counted to be small.
     """
+    context = requests.last_word_context(tokenizer.encode(F.col("context")), block_size)
     coded = asked.select(
         "item_id",
-        requests.last_token(tokenizer.encode(F.col("context"))).alias("prev"),
+        requests.last_token(context, tokenizer.end_of_text()).alias("prev"),
         F.try_element_at(tokenizer.encode(F.col("continuation")), F.lit(1)).alias("wanted"),
     ).where(F.col("wanted").isNotNull())
-    best = F.broadcast(next_token(scores))
+    best = F.broadcast(next_token(scores)) if scores.broadcast_floors else next_token(scores)
     guessed = coded.join(best, "prev", "left")
     hit = F.coalesce((F.col("next") == F.col("wanted")).cast("int"), F.lit(0))
     return guessed.select("item_id", F.col("next").alias("pred"), "wanted", hit.alias("hit"))

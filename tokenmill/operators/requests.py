@@ -9,16 +9,26 @@ from tokenmill import constants as C
 from tokenmill.functions import arrays, text
 
 
-def choice_requests(items: DataFrame, context: str = "ctx", endings: str = "endings") -> DataFrame:
-    """One request per ending, in order; other columns ride along."""
+def _first_valid(items: DataFrame, valid: Column, limit: int | None) -> DataFrame:
+    """Items that can be asked; a limit counts these, by id."""
+    kept = items.where(valid)
+    return kept if limit is None else kept.orderBy("item_id").limit(limit)
+
+
+def choice_requests(
+    items: DataFrame, context: str = "ctx", endings: str = "endings", limit: int | None = None
+) -> DataFrame:
+    """One request per ending, in order; other columns ride along. Items without endings are skipped."""
+    items = _first_valid(items, F.size(endings) > 0, limit)
     kept = [c for c in items.columns if c not in ("item_id", context, endings)]
     return items.select(
         "item_id", F.posexplode(endings).alias("choice_idx", "ending"), F.col(context).alias("context"), *kept
     ).select("item_id", "choice_idx", "context", F.concat(F.lit(" "), "ending").alias("continuation"), *kept)
 
 
-def labelled_choice_requests(items: DataFrame) -> DataFrame:
+def labelled_choice_requests(items: DataFrame, limit: int | None = None) -> DataFrame:
     """The same from ``question, choices{text, label}``; each request carries its label."""
+    items = _first_valid(items, F.size("choices.text") > 0, limit)
     zipped = F.arrays_zip(F.col("choices.text").alias("text"), F.col("choices.label").alias("label"))
     kept = [c for c in items.columns if c not in ("item_id", "question", "choices")]
     return items.select(
@@ -34,11 +44,8 @@ def labelled_choice_requests(items: DataFrame) -> DataFrame:
 
 
 def last_word_requests(items: DataFrame, limit: int | None = None) -> DataFrame:
-    """Text up to the last space, and the word behind it. Items without a space are skipped;
-    a limit counts the items that are left."""
-    valid = items.where(F.instr("text", " ") > 0)
-    if limit is not None:
-        valid = valid.orderBy("item_id").limit(limit)
+    """Text up to the last space, and the word behind it. Items without a space are skipped."""
+    valid = _first_valid(items, F.instr("text", " ") > 0, limit)
     return valid.select(
         "item_id",
         F.lit(0).alias("choice_idx"),
@@ -47,10 +54,10 @@ def last_word_requests(items: DataFrame, limit: int | None = None) -> DataFrame:
     )
 
 
-def cloze_requests(items: DataFrame) -> DataFrame:
+def cloze_requests(items: DataFrame, limit: int | None = None) -> DataFrame:
     """Two requests per sentence with exactly one blank: each option and what follows it."""
     parts = F.split(F.col("sentence"), "_")
-    valid = items.where(F.size(parts) == 2)
+    valid = _first_valid(items, F.size(parts) == 2, limit)
     options = F.array("option1", "option2")
     return valid.select(
         "item_id", "answer", F.posexplode(options).alias("choice_idx", "option"), parts.alias("parts")
@@ -64,18 +71,28 @@ def cloze_requests(items: DataFrame) -> DataFrame:
 
 
 def loglik_requests(requests: DataFrame, tokenizer, block_size: int = C.BLOCK_SIZE) -> DataFrame:
-    """Adds ``tokens``, at most the last ``block_size``, and where the continuation starts."""
+    """Adds ``tokens`` and where the continuation starts.
+
+    Of the context the last tokens are kept that leave ``block_size`` in all. The continuation is
+    what gets scored, so it is never cut, not even where it alone is longer.
+    """
     kept = [c for c in requests.columns if c not in ("context", "continuation")]
     coded = requests.select(
         *kept,
         tokenizer.encode(F.col("context")).alias("_context"),
         tokenizer.encode(F.col("continuation")).alias("_continuation"),
     )
-    joined = F.concat("_context", "_continuation")
-    tokens = coded.select(*kept, F.size("_continuation").alias("n_scored"), arrays.last(joined, block_size).alias("tokens"))
-    return tokens.withColumn("cont_start", F.greatest(F.size("tokens") - F.col("n_scored"), F.lit(0)))
+    scored = F.size("_continuation")
+    context = arrays.last(F.col("_context"), F.greatest(F.lit(block_size) - scored, F.lit(0)))
+    tokens = coded.select(*kept, scored.alias("n_scored"), F.concat(context, "_continuation").alias("tokens"))
+    return tokens.withColumn("cont_start", F.size("tokens") - F.col("n_scored"))
+
+
+def last_word_context(tokens: Column, block_size: int = C.BLOCK_SIZE) -> Column:
+    """The end of a context that leaves room for the one token asked for."""
+    return arrays.last(tokens, block_size - 1)
 
 
-def last_token(tokens: Column, end: int = C.END_OF_TEXT) -> Column:
+def last_token(tokens: Column, end: Column) -> Column:
     """The token that predicts the next one; end-of-text in front of an empty context."""
-    return F.coalesce(F.try_element_at(tokens, F.lit(-1)), F.lit(end))
+    return F.coalesce(F.try_element_at(tokens, F.lit(-1)), end)

@@ -17,18 +17,25 @@ from tokenmill.session import cut_lineage, spread
 
 MICRO = 1_000_000
 BROADCAST_PAIRS = 1_000_000  # about 40 MB as a hash table
-SALTS = 16
 
 
 @dataclass(frozen=True)
 class ScoreTable:
     """``pairs(prev, next, n, logprob_micro)`` and ``floors(prev, floor_micro)`` for pairs
-    never seen. ``floors`` has at most one row per vocabulary entry."""
+    never seen. ``floors`` has one row per token that comes first in a pair. What is broadcast has
+    been counted (see ``of_table``)."""
 
     pairs: DataFrame
     floors: DataFrame
     unseen_micro: int
     broadcast_pairs: bool
+    broadcast_floors: bool = False
+
+    @staticmethod
+    def of_table(pairs: DataFrame, floors: DataFrame, unseen_micro: int) -> ScoreTable:
+        """A table from any provider; both sides are counted before they may be broadcast."""
+        small = (df.count() <= BROADCAST_PAIRS for df in (pairs, floors))
+        return ScoreTable(pairs, floors, unseen_micro, *small)
 
 
 def bigram_counts(docs: DataFrame, tokenizer) -> DataFrame:
@@ -57,32 +64,27 @@ def _micro(probability: Column) -> Column:
 
 def fit_bigram(docs: DataFrame, tokenizer) -> ScoreTable:
     """Count once, write the counts to the shared folder, serve every look-up from there."""
-    ids = tokenizer.distinct_ids
-    if ids is None:
-        raise ValueError("scores need a tokenizer with a bounded vocabulary")
     model = cut_lineage(bigram_counts(docs, tokenizer))
     floors = model.groupBy("prev").agg(F.first("n_prev").alias("n_prev")).select(
         "prev", _micro(F.lit(1.0) / (F.col("n_prev") + C.VOCAB_SIZE)).alias("floor_micro")
     )
-    small = ids * ids <= BROADCAST_PAIRS or model.count() <= BROADCAST_PAIRS
-    unseen = round(-math.log(C.VOCAB_SIZE) * MICRO)
-    return ScoreTable(model, floors, unseen, small)
+    return ScoreTable.of_table(model, floors, round(-math.log(C.VOCAB_SIZE) * MICRO))
 
 
 def score_pairs(pairs: DataFrame, scores: ScoreTable) -> DataFrame:
     """Adds ``logprob_micro`` for (prev, next).
 
-    A score table within the checked size is broadcast. A larger one is shuffled, and since
-    frequent pairs would pile up, both sides are salted: ``at``, a position, spreads the rows.
+    A score table within the checked size is broadcast. A larger one is shuffled; callers count
+    equal pairs together first (``n_pairs``), so a frequent pair is a few rows, and the join may
+    split what is left of it.
     """
     known = scores.pairs.select("prev", "next", "logprob_micro")
     if scores.broadcast_pairs:
         found = pairs.join(F.broadcast(known), ["prev", "next"], "left")
     else:
-        salted = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        spread = pairs.withColumn("_salt", F.pmod(F.coalesce("at", F.lit(0)), F.lit(SALTS)))
-        found = spread.join(salted, ["prev", "next", "_salt"], "left").drop("_salt")
-    floored = found.join(F.broadcast(scores.floors), "prev", "left")
+        found = pairs.join(known, ["prev", "next"], "left")
+    floors = F.broadcast(scores.floors) if scores.broadcast_floors else scores.floors
+    floored = found.join(floors, "prev", "left")
     score = F.coalesce("logprob_micro", "floor_micro", F.lit(scores.unseen_micro))
     return floored.withColumn("logprob_micro", score).drop("floor_micro")
 
@@ -94,14 +96,14 @@ def loglik_scores(coded: DataFrame, scores: ScoreTable, keys: list[str]) -> Data
     prev = F.slice(padded, F.col("cont_start") + 1, scored)
     following = F.slice(padded, F.col("cont_start") + 2, scored)
     zipped = F.arrays_zip(prev.alias("prev"), following.alias("next"))
-    scored_pairs = score_pairs(_unfold(coded, keys, zipped), scores)
-    micro = F.when(F.col("next").isNull(), F.lit(0)).otherwise(F.col("logprob_micro"))
+    scored_pairs = score_pairs(_counted(_unfold(coded, keys, zipped), keys), scores)
+    micro = F.when(F.col("next").isNull(), F.lit(0)).otherwise(F.col("logprob_micro") * F.col("n_pairs"))
     return scored_pairs.groupBy(*keys).agg((F.sum(micro) / MICRO).alias("score"))
 
 
 def next_token(scores: ScoreTable) -> DataFrame:
     """(prev, next): the most likely token behind each, the smallest among equals."""
-    best = F.max_by("next", F.struct("n", (-F.col("next")).alias("order")))
+    best = F.min_by("next", F.struct((-F.col("n")).alias("order"), "next"))
     return scores.pairs.groupBy("prev").agg(best.alias("next"))
 
 
@@ -109,42 +111,56 @@ def next_token(scores: ScoreTable) -> DataFrame:
 
 
 def _unfold(rows: DataFrame, keys: list[str], pairs: Column) -> DataFrame:
-    """(keys, at, prev, next), one row per pair; a row without pairs stays, with NULLs."""
-    return rows.select(*keys, F.posexplode_outer(pairs).alias("at", "p")).select(*keys, "at", "p.prev", "p.next")
+    """(keys, prev, next), one row per pair; a row without pairs stays, with NULLs."""
+    return rows.select(*keys, F.explode_outer(pairs).alias("p")).select(*keys, "p.prev", "p.next")
+
+
+def _counted(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, prev, next, n_pairs): equal pairs of a key counted, in tasks first."""
+    return pairs.groupBy(*keys, "prev", "next").agg(F.count(F.lit(1)).alias("n_pairs"))
 
 
 def target_pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, at, prev, next) of every target that is not ignored; NULLs where none is left."""
+    """(keys, prev, next) of every target that is not ignored; NULLs where none is left."""
     zipped = F.arrays_zip(F.col("x").alias("prev"), F.col("y").alias("next"))
     return _unfold(rows, keys, F.filter(zipped, lambda p: p["next"] != C.IGNORE_INDEX))
 
 
 def masked_loss(targets: DataFrame, scores: ScoreTable, keys: list[str]) -> DataFrame:
     """(keys, loss): mean over the targets that count, NULL where none does."""
-    scored = score_pairs(target_pairs(targets, keys), scores)
-    total = F.sum(F.when(F.col("next").isNotNull(), F.col("logprob_micro")))
-    return scored.groupBy(*keys).agg((-total / F.nullif(F.count("next"), F.lit(0)) / MICRO).alias("loss"))
+    scored = score_pairs(_counted(target_pairs(targets, keys), keys), scores)
+    total, n = _weighed()
+    return scored.groupBy(*keys).agg((-total / F.nullif(n, F.lit(0)) / MICRO).alias("loss"))
+
+
+def _weighed() -> tuple[Column, Column]:
+    """Sum of log-probabilities and number of targets, over counted pairs."""
+    is_target = F.col("next").isNotNull()
+    total = F.sum(F.when(is_target, F.col("logprob_micro") * F.col("n_pairs")))
+    return total, F.coalesce(F.sum(F.when(is_target, F.col("n_pairs"))), F.lit(0))
 
 
 def val_loss(
-    blocks: DataFrame, scores: ScoreTable, batch_size: int = C.BATCH_SIZE, eval_iters: int = C.EVAL_ITERS
+    blocks: DataFrame, scores: ScoreTable, batch_size: int = C.BATCH_SIZE, eval_iters: int | None = None
 ) -> DataFrame:
-    """One row: mean of batch means over the first batches, token mean, perplexity.
+    """One row: mean of batch means, token mean, perplexity.
 
     ``blocks`` has ``block_id, x, y``; ignored targets do not count, a batch without any other
-    is left out. The short last batch weighs as much as the others.
+    is left out. The short last batch weighs as much as the others. All batches count; with
+    ``eval_iters`` the mean of means, and only that, is over so many first ones.
     """
-    batched = blocks.withColumn("batch", F.expr(f"block_id div {batch_size}")).where(F.col("batch") < eval_iters)
-    scored = score_pairs(target_pairs(batched, ["batch"]), scores)
-    batches = scored.groupBy("batch").agg(
-        F.sum(F.when(F.col("next").isNotNull(), F.col("logprob_micro"))).alias("total"), F.count("next").alias("n")
-    )
+    batched = blocks.withColumn("batch", F.expr(f"block_id div {batch_size}"))
+    scored = score_pairs(_counted(target_pairs(batched, ["batch"]), ["batch"]), scores)
+    total, n = _weighed()
+    batches = scored.groupBy("batch").agg(total.alias("total"), n.alias("n"))
     # per-batch means as micro-nats, so that the mean of means is the same in every plan
     counted = batches.where(F.col("n") > 0)
     means = counted.withColumn("batch_micro", F.round(-F.col("total") / F.col("n")).cast("bigint"))
     token_mean = -F.sum("total") / F.nullif(F.sum("n"), F.lit(0)) / MICRO
+    first = F.lit(True) if eval_iters is None else F.col("batch") < eval_iters
+    batch_micro = F.when(first, F.col("batch_micro"))
     return means.agg(
-        (F.sum("batch_micro") / F.nullif(F.count(F.lit(1)), F.lit(0)) / MICRO).alias("mean_of_means"),
+        (F.sum(batch_micro) / F.nullif(F.count(batch_micro), F.lit(0)) / MICRO).alias("mean_of_means"),
         token_mean.alias("token_mean"),
         F.exp(token_mean).alias("perplexity"),
     )

@@ -12,18 +12,28 @@ from tokenmill.operators.ordering import ROWS_PER_SEGMENT, SHUFFLE_KEY_RANGE, po
 
 
 def sft_tensors(
-    examples: DataFrame, block_size: int = C.BLOCK_SIZE, mask_align: str = "input"
+    examples: DataFrame, block_size: int = C.BLOCK_SIZE, mask_align: str = "input", overflow: str = "truncate"
 ) -> DataFrame:
-    """Adds ``x, y, m`` of length ``block_size``: truncate, shift by one, pad.
+    """Adds ``x, y, m`` of length ``block_size``: cut, shift by one, pad.
 
     ``mask_align="input"`` takes the mask at the input position, ``"target"`` at the target's.
-    Only the head of an example counts, so later parts are not read.
+    ``overflow="truncate"`` keeps the head of an example, later parts are not read.
+    ``"windows"`` gives all of it: one row per ``block_size`` targets with ``start``, the place of
+    its first token. A window takes the token behind it as its last target; only the first token
+    of a later part of an example has no window that predicts it.
     """
     shift_mask = {"input": arrays.inputs, "target": arrays.targets}[mask_align]
-    whole = examples.where(F.col("start") == 0)
-    tokens = arrays.head(F.col("tokens"), block_size + 1)
-    mask = arrays.head(F.col("loss_mask"), block_size + 1)
     kept = [c for c in examples.columns if c not in ("tokens", "loss_mask", "start")]
+    if overflow == "windows":
+        last = F.greatest(F.size("tokens") - 2, F.lit(0))
+        whole = examples.withColumn("_at", F.explode(F.sequence(F.lit(0), last, F.lit(block_size))))
+        tokens = F.slice("tokens", F.col("_at") + 1, F.lit(block_size + 1))
+        mask = F.slice("loss_mask", F.col("_at") + 1, F.lit(block_size + 1))
+        kept.append((F.col("start") + F.col("_at")).alias("start"))
+    else:
+        whole = examples.where(F.col("start") == 0)
+        tokens = arrays.head(F.col("tokens"), block_size + 1)
+        mask = arrays.head(F.col("loss_mask"), block_size + 1)
     return whole.select(
         *kept,
         arrays.pad(arrays.inputs(tokens), block_size, C.PAD_TOKEN).alias("x"),

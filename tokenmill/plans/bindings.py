@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tokenmill.sources import readers
 
 BLOCK = 256  # training block
-REQUEST_BLOCK = 64  # short enough that requests are truncated
+SFT_BLOCK = 2048  # between the lengths of the examples, so some are cut and some are padded
+REQUEST_BLOCK = 64  # short enough that contexts are cut; for the request queries only
 TOP_K, TOP_P = 5, 0.9
 EVAL_EVERY = 2
 RUNNING_EVERY = 10

@@ -85,20 +85,24 @@ CHAT = f"""{TURNS}, coded as (
   from coded group by conv_id having bool_or(role = 'assistant')
 )"""
 
-SINGLE = """
-single as (
-  select conv_id,
-    arg_min(text, turn) filter (where role in ('user', 'human')) as instruction,
-    coalesce(arg_min(text, turn) filter (where role = 'system'), '') as input,
-    arg_min(text, turn) filter (where role in ('assistant', 'gpt')) as output
-  from conversations group by conv_id
+SINGLE = f"""
+spoken as (
+  select conv_id, turn, {_ROLE} as role, coalesce(text, '') as text from conversations
+), talk as (
+  select conv_id, text as output, role, lag(role) over w as asked_role, lag(text) over w as instruction, lag(turn) over w as asked
+  from spoken where role in ('user', 'assistant') window w as (partition by conv_id order by turn)
+), systems as (
+  select conv_id, arg_min(text, turn) as input from spoken where role = 'system' group by conv_id
+), single as (
+  select conv_id || ':' || asked as pair_id, instruction, coalesce(input, '') as input, output
+  from talk left join systems using (conv_id) where role = 'assistant' and asked_role = 'user'
 ), asked as (
-  select conv_id, instruction, input, output,
+  select pair_id, instruction, input, output,
     '### Instruction:' || chr(10) || instruction
       || case when trim(input, ' ' || chr(9) || chr(10) || chr(13)) = '' then ''
          else chr(10) || chr(10) || '### Input:' || chr(10) || input end
       || chr(10) || chr(10) || '### Response:' || chr(10) as prompt
-  from single where instruction is not null and output is not null
+  from single
 )"""
 
 SIZES = f"""
@@ -146,35 +150,37 @@ CHAT_DATASET = f"""{CHAT}, {SIZES}, {_dataset(
 )}"""
 
 SINGLE_CODED = f"""{SINGLE}, single_coded as (
-  select conv_id, {_bytes('prompt')} as p, list_append({_bytes('output')}, {EOT}) as r from asked
+  select pair_id, {_bytes('prompt')} as p, list_append({_bytes('output')}, {EOT}) as r from asked
 ), single_chat as (
-  select conv_id, list_concat(p, r) as tokens,
+  select pair_id, list_concat(p, r) as tokens,
     list_concat(list_transform(p, lambda t: 0), list_transform(r, lambda t: 1)) as mask
   from single_coded
 )"""
 
 SINGLE_DATASET = f"""{SINGLE_CODED}, {SIZES}, {_dataset(
-    "select 'single:' || cast(conv_id as varchar) as example_id, 'single' as source, tokens, mask from single_chat"
+    "select 'single:' || cast(pair_id as varchar) as example_id, 'single' as source, tokens, mask from single_chat"
 )}"""
 
 SUMMARY = """select example_id, source, split, cast(len(tokens) as bigint) as n_tokens,
   cast(list_sum(mask) as bigint) as n_trainable from dataset"""
 
 TENSORS = f"""{CHAT}, cut as (
-  select conv_id, tokens[1:{B.BLOCK + 1}] as t, mask[1:{B.BLOCK + 1}] as k from chat
+  select conv_id, w * {B.SFT_BLOCK} as start, tokens[w * {B.SFT_BLOCK} + 1:(w + 1) * {B.SFT_BLOCK} + 1] as t,
+    mask[w * {B.SFT_BLOCK} + 1:(w + 1) * {B.SFT_BLOCK} + 1] as k
+  from chat, range(greatest((len(tokens) + {B.SFT_BLOCK} - 2) // {B.SFT_BLOCK}, 1)) as r(w)
 ), tensors as (
-  select conv_id,
-    list_transform(range({B.BLOCK}), lambda i: case when i + 1 < len(t) then t[i + 1] else {C.PAD_TOKEN} end) as x,
-    list_transform(range({B.BLOCK}), lambda i: case when i + 1 < len(t) then t[i + 2] else {C.IGNORE_INDEX} end) as y,
-    list_transform(range({B.BLOCK}), lambda i: case when i + 1 < len(t) then k[i + 1] else 0 end) as m,
-    list_transform(range({B.BLOCK}), lambda i: case when i + 1 < len(t) then k[i + 2] else 0 end) as m_target
+  select conv_id, start,
+    list_transform(range({B.SFT_BLOCK}), lambda i: case when i + 1 < len(t) then t[i + 1] else {C.PAD_TOKEN} end) as x,
+    list_transform(range({B.SFT_BLOCK}), lambda i: case when i + 1 < len(t) then t[i + 2] else {C.IGNORE_INDEX} end) as y,
+    list_transform(range({B.SFT_BLOCK}), lambda i: case when i + 1 < len(t) then k[i + 1] else 0 end) as m,
+    list_transform(range({B.SFT_BLOCK}), lambda i: case when i + 1 < len(t) then k[i + 2] else 0 end) as m_target
   from cut
 ), targets as (
-  select conv_id, x, 'input' as align,
-    list_transform(range({B.BLOCK}), lambda i: case when m[i + 1] = 0 then {C.IGNORE_INDEX} else y[i + 1] end) as y from tensors
+  select conv_id, start, x, 'input' as align,
+    list_transform(range({B.SFT_BLOCK}), lambda i: case when m[i + 1] = 0 then {C.IGNORE_INDEX} else y[i + 1] end) as y from tensors
   union all
-  select conv_id, x, 'target' as align,
-    list_transform(range({B.BLOCK}), lambda i: case when m_target[i + 1] = 0 then {C.IGNORE_INDEX} else y[i + 1] end) from tensors
+  select conv_id, start, x, 'target' as align,
+    list_transform(range({B.SFT_BLOCK}), lambda i: case when m_target[i + 1] = 0 then {C.IGNORE_INDEX} else y[i + 1] end) from tensors
 )"""
 
 ITEMS = """
@@ -216,10 +222,10 @@ def _scored(requests: str, name: str) -> str:
 {name}_coded as (
   select *, {_bytes('context')} as c, {_bytes('continuation')} as k from {requests}
 ), {name}_cut as (
-  select * exclude (c, k), list_concat(c, k)[-{B.REQUEST_BLOCK}:] as t, len(k) as n_k from {name}_coded
+  select * exclude (c, k), list_concat(c, k) as t, len(k) as n_k from {name}_coded
 ), {name}_tokens as (
   select item_id, choice_idx, t[i + 1] as next, case when i = 0 then {EOT} else t[i] end as prev
-  from (select *, unnest(range(greatest(len(t) - n_k, 0), len(t))) as i from {name}_cut)
+  from (select *, unnest(range(len(t) - n_k, len(t))) as i from {name}_cut)
 ), {name} as (
   select r.*, coalesce(s.score, 0) as score from {requests} r left join (
     select item_id, choice_idx,
@@ -244,14 +250,22 @@ cloze_picks as (
   from scored_clozes group by item_id
 )"""
 
-LAST_WORD_PICKS = f"""
-best_next as (
+def _last_word_picks() -> str:
+    """The likeliest piece behind the context's last one, counted over the training documents."""
+    return f"""
+train_pieces as (
+  select doc_id, unnest(list_append(p, '{C.END_OF_TEXT_PIECE}')) as piece, unnest(range(len(p) + 1)) as i
+  from (select doc_id, {_presplit()} as p from docs where split = 'train')
+), piece_pairs as (
+  select coalesce(lag(piece) over (partition by doc_id order by i), '{C.END_OF_TEXT_PIECE}') as prev, piece as next from train_pieces
+), best_next as (
   select prev, next from (
-    select prev, next, row_number() over (partition by prev order by n desc, next) as place from scores
+    select prev, next, row_number() over (partition by prev order by count(*) desc, next) as place from piece_pairs group by prev, next
   ) where place = 1
 ), lastword_picks as (
   select item_id, coalesce((b.next = wanted)::int, 0) as hit from (
-    select item_id, coalesce({_bytes('context')}[-1], {EOT}) as prev, {_bytes('continuation')}[1] as wanted from lastwords
+    select item_id, coalesce({_presplit('context')}[-1], '{C.END_OF_TEXT_PIECE}') as prev, {_presplit('continuation')}[1] as wanted
+    from lastwords
   ) left join best_next b using (prev)
 )"""
 
@@ -270,6 +284,10 @@ log as (
   select user_id as run, event_id as step, {_METRIC} as metric, value, ts as logged_at from events
 )"""
 
+RESUMED = f"""{LOG}, resumed as (
+  select run, step // 1000 as step, metric, arg_max(value, {{'at': logged_at, 'value': value}}) as value from log group by 1, 2, 3
+)"""
+
 LATEST = f"""{LOG}, latest as (
   select run, metric, step, value from (
     select *, row_number() over (partition by run, metric order by step desc, logged_at desc) as place from log
@@ -295,9 +313,9 @@ files as (
 )"""
 
 
-def _presplit() -> str:
+def _presplit(text: str = "text") -> str:
     """Pieces without a look-ahead: first mark where a run of blanks gives up its last blank."""
-    marked = "regexp_replace(text, '(\\s+)(\\s\\S)', '\\1' || chr(57344) || '\\2', 'g')"
+    marked = f"regexp_replace({text}, '(\\s+)(\\s\\S)', '\\1' || chr(57344) || '\\2', 'g')"
     pattern = "''(?:[sdmt]|ll|ve|re)| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}\\x{E000}]+|\\s+"
     return f"regexp_extract_all({marked}, '{pattern}')"
 
@@ -344,8 +362,8 @@ from (select doc_id, {_presplit()} as p from documents)""",
     "pack_blocks": _BLOCKS,
     "packed_export": _BLOCKS,
     # ---- instruction data
-    "alpaca_format": f"with {SINGLE} select conv_id, prompt, output as response from asked",
-    "alpaca_tokens": f"""with {SINGLE_CODED} select conv_id, cast(len(tokens) as int) as n_tokens,
+    "alpaca_format": f"with {SINGLE} select pair_id, prompt, output as response from asked",
+    "alpaca_tokens": f"""with {SINGLE_CODED} select pair_id, cast(len(tokens) as int) as n_tokens,
   cast(list_sum(mask) as int) as n_trainable, {_digest('tokens')} as tok_md5, {_digest('mask')} as mask_md5 from single_chat""",
     "chatml_render": f"""with {TURNS} select conv_id, 0::bigint as start, cast(count(*) as int) as n_turns,
   md5(string_agg(shown, '' order by turn)) as text_md5 from turns group by conv_id""",
@@ -353,7 +371,7 @@ from (select doc_id, {_presplit()} as p from documents)""",
   cast(list_sum(mask) as int) as n_trainable, {_digest('tokens')} as tok_md5, {_digest('mask')} as mask_md5 from chat""",
     "sft_skipped": """with per as (select conv_id, bool_or(role in ('assistant', 'gpt')) as kept from conversations group by 1)
 select count(*) filter (where kept) as n_kept, count(*) filter (where not kept) as n_skipped from per""",
-    "chat_prompt": f"""with {SINGLE} select conv_id,
+    "chat_prompt": f"""with {SINGLE} select pair_id,
   '{S}system' || chr(10) || '{C.DEFAULT_SYSTEM}{E}' || chr(10) || '{S}user' || chr(10)
   || case when trim(input, ' ' || chr(9) || chr(10) || chr(13)) = '' then instruction
      else trim(instruction || chr(10) || chr(10) || input, ' ' || chr(9) || chr(10) || chr(13)) end
@@ -366,8 +384,8 @@ select count(*) filter (where kept) as n_kept, count(*) filter (where not kept)
     "sft_dataset_single_turn": f"with {SINGLE_DATASET} {SUMMARY}",
     "sft_jsonl_roundtrip": f"""with {CHAT_DATASET} select split, count(*) as n, cast(sum(len(tokens)) as bigint) as n_tokens,
   cast(sum(list_sum(tokens)) as bigint) as tokens_sum, cast(sum(list_sum(mask)) as bigint) as mask_sum from dataset group by split""",
-    "sft_tensors": f"""with {TENSORS} select conv_id, {_digest('x')} as x_md5, {_digest('y')} as y_md5, {_digest('m')} as m_md5 from tensors""",
-    "sft_targets": f"""with {TENSORS} select conv_id, align,
+    "sft_tensors": f"""with {TENSORS} select conv_id, {_digest('x')} as x_md5, {_digest('y')} as y_md5, {_digest('m')} as m_md5 from tensors where start = 0""",
+    "sft_targets": f"""with {TENSORS} select conv_id, start::bigint as start, align,
   cast(len(list_filter(y, lambda t: t <> {C.IGNORE_INDEX})) as int) as n_targets, {_digest('y')} as y_md5 from targets""",
     "batch_plan": f"""with {SPLIT}, plan as (
   select (cast(sum(len(tokens)) as bigint) - 1) // {B.BLOCK} as n from docs where split = 'train'
@@ -391,9 +409,11 @@ select count(*) filter (where kept) as n_kept, count(*) filter (where not kept)
     "lastword_requests": f"""with {LAST_WORDS} select item_id, context, continuation,
   {_digest(_bytes('context') + f'[-{B.REQUEST_BLOCK - 1}:]')} as context_md5 from lastwords""",
     "loglik_requests": f"""with {ITEMS}, coded as (
-  select item_id, choice_idx, list_concat({_bytes('context')}, {_bytes('continuation')})[-{B.REQUEST_BLOCK}:] as t,
-    octet_length(encode(continuation)) as k from choices
-) select item_id, choice_idx, cast(len(t) as int) as n_tokens, cast(greatest(len(t) - k, 0) as int) as cont_start,
+  select item_id, choice_idx, octet_length(encode(continuation)) as k,
+    list_concat(list_filter({_bytes('context')}, lambda b, i:
+      i > octet_length(encode(context)) + octet_length(encode(continuation)) - {B.REQUEST_BLOCK}), {_bytes('continuation')}) as t
+  from choices
+) select item_id, choice_idx, cast(len(t) as int) as n_tokens, cast(len(t) - k as int) as cont_start,
   {_digest('t')} as tok_md5 from coded""",
     "bigram_model": f"with {SPLIT}, {BIGRAMS} select prev, next, n, micro / 1000000 as logprob from scores",
     "loglik_scores": f"""with {SPLIT}, {BIGRAMS}, {ITEMS}, {_scored('choices', 'scored_choices')}
@@ -402,39 +422,43 @@ select item_id, choice_idx, score from scored_choices""",
 {_accuracy('choice_picks', 'choice')} union all {_accuracy('choice_picks', 'labelled')}""",
     "cloze_accuracy": f"""with {SPLIT}, {BIGRAMS}, {CLOZES}, {_scored('clozes', 'scored_clozes')}, {CLOZE_PICKS}
 {_accuracy('cloze_picks', 'cloze')}""",
-    "lastword_accuracy": f"""with {SPLIT}, {BIGRAMS}, {LAST_WORDS}, {LAST_WORD_PICKS} {_accuracy('lastword_picks', 'lastword')}""",
+    "lastword_accuracy": f"""with {SPLIT}, {BIGRAMS}, {LAST_WORDS}, {_last_word_picks()} {_accuracy('lastword_picks', 'lastword')}""",
     "running_accuracy": f"""with {SPLIT}, {BIGRAMS}, {ITEMS}, {_scored('choices', 'scored_choices')}, {CHOICE_PICKS},
-{CLOZES}, {_scored('clozes', 'scored_clozes')}, {CLOZE_PICKS}, {LAST_WORDS}, {LAST_WORD_PICKS}, hits as (
+{CLOZES}, {_scored('clozes', 'scored_clozes')}, {CLOZE_PICKS}, {LAST_WORDS}, {_last_word_picks()}, hits as (
   select 'choice' as task, * from choice_picks union all select 'cloze', * from cloze_picks
   union all select 'lastword', * from lastword_picks
 ), numbered as (
   select task, row_number() over w as n, avg(hit) over w as acc from hits
   window w as (partition by task order by item_id rows unbounded preceding)
 ) select task, n, acc from numbered where n % {B.RUNNING_EVERY} = 0""",
-    "masked_loss": f"""with {SPLIT}, {BIGRAMS}, {TENSORS}, looked as (
-  select conv_id, unnest(x) as prev, unnest(y) as next from targets where align = 'input'
-) select q.conv_id, -cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) filter (where q.next <> {C.IGNORE_INDEX}) as bigint)
-    / nullif(count(*) filter (where q.next <> {C.IGNORE_INDEX}), 0) / 1000000 as loss
+    "masked_loss": f"""with {SPLIT}, {BIGRAMS}, {CHAT}, looked as (
+  select conv_id, unnest(tokens[1:len(tokens) - 1]) as prev, unnest(tokens[2:]) as next, unnest(mask[1:len(mask) - 1]) as counts from chat
+) select q.conv_id, -cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) filter (counts = 1) as bigint)
+    / nullif(count(*) filter (counts = 1), 0) / 1000000 as loss
 from looked q left join scores m using (prev, next) left join floors f using (prev) group by q.conv_id""",
     "val_loss": f"""with {STREAM}, {BIGRAMS}, looked as (
   select block_id // {C.BATCH_SIZE} as batch, unnest(x) as prev, unnest(y) as next from blocks where split = 'val'
 ), batches as (
   select batch, cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) as bigint) as total, count(*) as n
   from looked q left join scores m using (prev, next) left join floors f using (prev)
-  where batch < {C.EVAL_ITERS} group by batch
+  group by batch
 ) select cast(sum(cast(round(-total / n) as bigint)) as bigint) / count(*) / 1000000 as mean_of_means,
   -cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000 as token_mean,
   round(exp(-cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000), 6) as perplexity from batches""",
     "sft_val_loss": f"""with {SPLIT.replace('docs as', 'split_docs as')}, {BIGRAMS.replace('from docs', 'from split_docs')}, {CHAT_DATASET},
-ordered as (
-  select *, row_number() over (order by {_shuffled('sft', 'example_id')}, example_id) - 1 as rank from dataset where split = 'val'
+windows as (
+  select d.*, w, {_shuffled('sft', 'example_id')} as key
+  from dataset d, range(greatest((len(tokens) + {B.SFT_BLOCK} - 2) // {B.SFT_BLOCK}, 1)) as r(w) where split = 'val'
+), ordered as (
+  select *, row_number() over (order by key, example_id, w) - 1 as rank from windows
 ), looked as (
-  select rank // {C.BATCH_SIZE} as batch, unnest(tokens[1:{B.BLOCK}]) as prev, unnest(tokens[2:{B.BLOCK + 1}]) as next,
-    unnest(mask[1:{B.BLOCK}]) as counts, len(tokens) as n, unnest(range({B.BLOCK})) as i from ordered
+  select rank // {C.BATCH_SIZE} as batch, unnest(tokens[w * {B.SFT_BLOCK} + 1:least((w + 1) * {B.SFT_BLOCK}, len(tokens) - 1)]) as prev,
+    unnest(tokens[w * {B.SFT_BLOCK} + 2:(w + 1) * {B.SFT_BLOCK} + 1]) as next,
+    unnest(mask[w * {B.SFT_BLOCK} + 1:least((w + 1) * {B.SFT_BLOCK}, len(tokens) - 1)]) as counts from ordered
 ), batches as (
   select batch, cast(sum(coalesce(m.micro, f.micro, (select micro from unseen))) as bigint) as total, count(*) as n
   from looked q left join scores m using (prev, next) left join floors f using (prev)
-  where batch < {C.SFT_EVAL_ITERS} and counts = 1 and next is not null group by batch
+  where counts = 1 group by batch
 ) select cast(sum(cast(round(-total / n) as bigint)) as bigint) / count(*) / 1000000 as mean_of_means,
   -cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000 as token_mean,
   round(exp(-cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000), 6) as perplexity from batches""",
@@ -446,22 +470,23 @@ ordered as (
 ) select prev, next, w::double / cast(sum(w) over (partition by prev) as double) as p
 from massed where before <= {B.TOP_P}::double * everything::double""",
     # ---- metrics
-    "metric_resolved": f"""with {LOG}, resumed as (select run, step // 1000 as step, metric, value, logged_at from log)
-select run, step, metric, arg_max(value, logged_at) as value from resumed group by 1, 2, 3""",
+    "metric_resolved": f"with {RESUMED} select run, step, metric, value from resumed",
     "metric_latest": f"with {LATEST} select run, metric, step, value from latest",
     "metric_wide": f"with {LATEST} select run, "
     + ", ".join(f"max(value) filter (where metric = '{m}') as {m.removeprefix('eval/')}" for m in B.METRICS.values())
     + " from latest group by run",
     "metric_report": f"with {LATEST} select run, {_LABEL} as label, {_TEXT} as text from latest",
-    "best_checkpoints": f"""with {LOG}, past as (
+    "best_checkpoints": f"""with {RESUMED}, past as (
   select *, min(case when step % {B.EVAL_EVERY} = 0 then value end) over (
-    partition by run, metric order by step rows between unbounded preceding and 1 preceding) as lowest from log
+    partition by run, metric order by step rows between unbounded preceding and 1 preceding) as lowest from resumed
 ), marked as (
   select *, step % {B.EVAL_EVERY} = 0 and (lowest is null or value < lowest) as is_best from past
 ) select run, metric, step, value, is_best, is_best or (step % {C.SAVE_EVERY} = 0 and step > 0) as is_saved from marked""",
-    "throughput": f"""with {LOG}, past as (
-  select *, lag(step) over w as s0, lag(logged_at) over w as t0 from log window w as (partition by run order by step)
-) select run, step, round(((step - s0) * {C.TOKENS_PER_STEP})::double / ((epoch_us(logged_at) - epoch_us(t0)) / 1000000), 4) as tokens_per_sec
+    "throughput": f"""with {LOG}, steps as (
+  select run, step // 1000 as step, max(logged_at) as logged_at from log group by 1, 2
+), past as (
+  select *, lag(step) over w as s0, lag(logged_at) over w as t0 from steps window w as (partition by run order by step)
+) select run, step, round(((step - s0) * {C.TOKENS_PER_STEP})::double / nullif((epoch_us(logged_at) - epoch_us(t0)) / 1000000, 0), 4) as tokens_per_sec
 from past""",
     "scaling_gap": f"""with {LOG}, predicted as (
   select *, (step * {C.TOKENS_PER_STEP})::double as d,

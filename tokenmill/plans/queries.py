@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill import constants as C
 from tokenmill import schemas
 from tokenmill.functions import arrays, formats, text
 from tokenmill.functions.tokenizers import BpeTokenizer, ByteTokenizer, PieceTokenizer, ranks_from_merges
@@ -22,7 +21,7 @@ from tokenmill.streaming import corpus as corpus_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-BYTES = ByteTokenizer()
+BYTES, PIECES = ByteTokenizer(), PieceTokenizer()
 
 
 def query(build: Query) -> Query:
@@ -56,7 +55,7 @@ def tokenize_bytes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tokenize_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = spread(readers.documents(spark, folder), "doc_id")
-    coded = docs.select("doc_id", PieceTokenizer().encode(F.col("text")).alias("p"))
+    coded = docs.select("doc_id", PIECES.encode(F.col("text")).alias("p"))
     return coded.select(
         "doc_id", F.size("p").alias("n_pieces"), F.md5(F.array_join("p", "|")).alias("pieces_md5")
     )
@@ -108,12 +107,12 @@ def alpaca_format(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def alpaca_tokens(spark: SparkSession, folder: str) -> DataFrame:
     examples = instruct.single_turn_examples(instruct.single_turn(readers.turns(spark, folder)), BYTES)
-    return _example_digests(examples).drop("start")
+    return _example_digests(examples, "pair_id").drop("start")
 
 
-def _example_digests(examples: DataFrame) -> DataFrame:
+def _example_digests(examples: DataFrame, id_column: str = "conv_id") -> DataFrame:
     return examples.select(
-        "conv_id",
+        id_column,
         "start",
         F.size("tokens").alias("n_tokens"),
         F.size(F.filter("loss_mask", lambda m: m == 1)).alias("n_trainable"),
@@ -141,7 +140,7 @@ def sft_skipped(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def chat_prompt(spark: SparkSession, folder: str) -> DataFrame:
     rows = instruct.single_turn(readers.turns(spark, folder))
-    return rows.select("conv_id", text.chat_prompt(F.col("instruction"), F.col("input")).alias("prompt"))
+    return rows.select("pair_id", text.chat_prompt(F.col("instruction"), F.col("input")).alias("prompt"))
 
 
 @query
@@ -197,14 +196,14 @@ def sft_jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _tensors(spark: SparkSession, folder: str, align: str = "input") -> DataFrame:
+def _tensors(spark: SparkSession, folder: str, align: str = "input", overflow: str = "windows") -> DataFrame:
     examples = instruct.chat_examples(readers.turns(spark, folder), BYTES)
-    return tensors.sft_tensors(examples, bindings.BLOCK, align)
+    return tensors.sft_tensors(examples, bindings.SFT_BLOCK, align, overflow)
 
 
 @query
 def sft_tensors(spark: SparkSession, folder: str) -> DataFrame:
-    return _tensors(spark, folder).select(
+    return _tensors(spark, folder, overflow="truncate").select(
         "conv_id", *[arrays.digest(F.col(c)).alias(f"{c}_md5") for c in ("x", "y", "m")]
     )
 
@@ -213,7 +212,7 @@ def sft_tensors(spark: SparkSession, folder: str) -> DataFrame:
 def sft_targets(spark: SparkSession, folder: str) -> DataFrame:
     aligned = [
         tensors.sft_targets(_tensors(spark, folder, align)).select(
-            "conv_id", F.lit(align).alias("align"), "n_targets", arrays.digest(F.col("y")).alias("y_md5")
+            "conv_id", "start", F.lit(align).alias("align"), "n_targets", arrays.digest(F.col("y")).alias("y_md5")
         )
         for align in ("input", "target")
     ]
@@ -271,7 +270,7 @@ def cloze_requests(spark: SparkSession, folder: str) -> DataFrame:
 def lastword_requests(spark: SparkSession, folder: str) -> DataFrame:
     asked = _last_words(spark, folder)
     # the context keeps room for one more token
-    kept = arrays.last(BYTES.encode(F.col("context")), bindings.REQUEST_BLOCK - 1)
+    kept = requests.last_word_context(BYTES.encode(F.col("context")), bindings.REQUEST_BLOCK)
     return asked.select("item_id", "context", "continuation", arrays.digest(kept).alias("context_md5"))
 
 
@@ -297,7 +296,7 @@ def _fit(spark: SparkSession, folder: str) -> scoring.ScoreTable:
 
 def _scored(asked: DataFrame, scores: scoring.ScoreTable) -> DataFrame:
     kept = [c for c in asked.columns if c not in ("context", "continuation")]
-    return scoring.loglik_scores(requests.loglik_requests(asked, BYTES, bindings.REQUEST_BLOCK), scores, kept)
+    return scoring.loglik_scores(requests.loglik_requests(asked, BYTES), scores, kept)
 
 
 @query
@@ -326,8 +325,13 @@ def cloze_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def lastword_accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    guessed = picks.pick_last_word(_last_words(spark, folder), _fit(spark, folder), BYTES)
-    return picks.accuracy(guessed, "lastword")
+    return picks.accuracy(_guessed_words(spark, folder), "lastword")
+
+
+def _guessed_words(spark: SparkSession, folder: str) -> DataFrame:
+    # pieces: the first token of " word" is the word, not its space
+    scores = scoring.fit_bigram(_train_docs(spark, folder), PIECES)
+    return picks.pick_last_word(_last_words(spark, folder), scores, PIECES)
 
 
 @query
@@ -336,7 +340,7 @@ def running_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     picked = {
         "choice": picks.pick_choice(_scored(_choices(spark, folder), scores)),
         "cloze": picks.pick_option(_scored(_clozes(spark, folder), scores)),
-        "lastword": picks.pick_last_word(_last_words(spark, folder), scores, BYTES),
+        "lastword": _guessed_words(spark, folder),
     }
     each = [p.select(F.lit(task).alias("task"), "item_id", "hit") for task, p in picked.items()]
     hits = cut_lineage(each[0].unionByName(each[1]).unionByName(each[2]))
@@ -359,9 +363,9 @@ def val_loss(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sft_val_loss(spark: SparkSession, folder: str) -> DataFrame:
     val = _chat_dataset(spark, folder).where(F.col("split") == "val")
-    targets = tensors.sft_targets(tensors.sft_tensors(val, bindings.BLOCK))
-    placed = positions(targets, sampling.KEYS, "block_id")
-    loss = scoring.val_loss(placed, _fit(spark, folder), eval_iters=C.SFT_EVAL_ITERS)
+    targets = tensors.sft_targets(tensors.sft_tensors(val, bindings.SFT_BLOCK, overflow="windows"))
+    placed = positions(cut_lineage(targets), [*sampling.KEYS, "start"], "block_id")
+    loss = scoring.val_loss(placed, _fit(spark, folder))
     return loss.select("mean_of_means", "token_mean", F.round("perplexity", 6).alias("perplexity"))
 
 
@@ -401,12 +405,13 @@ def metric_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def best_checkpoints(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.best_checkpoints(_log(spark, folder), eval_every=bindings.EVAL_EVERY)
+    log = bindings.resumed_log(bindings.events(spark, folder))
+    return metrics.best_checkpoints(log, eval_every=bindings.EVAL_EVERY)
 
 
 @query
 def throughput(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.throughput(_log(spark, folder))
+    return metrics.throughput(bindings.resumed_log(bindings.events(spark, folder)))
 
 
 @query
@@ -439,6 +444,7 @@ def version_compare(spark: SparkSession, folder: str) -> DataFrame:
     latest = metrics.metric_latest(_log(spark, folder)).select(
         F.expr("run div 2").alias("pair"), "metric", F.col("run") % 2 == 1, F.col("value")
     ).toDF("pair", "metric", "second", "value")
+    latest = cut_lineage(latest)  # one row per run and metric: the log is read once
     return metrics.version_compare(latest.where(~F.col("second")), latest.where("second"), ["pair", "metric"])
 
 

@@ -9,11 +9,13 @@ BEST = "run BIGINT, metric STRING, step BIGINT, value DOUBLE"
 
 
 def best_so_far(log: DataFrame) -> DataFrame:
-    """(run, metric, step, value): the lowest value, at the earliest step it was reached."""
-    place = F.struct("value", "step")
-    return log.groupBy("run", "metric").agg(
-        F.min_by("step", place).alias("step"), F.min("value").alias("value")
-    )
+    """(run, metric, step, value): the lowest value, at the earliest step it was reached.
+
+    NULL and NaN are never best; a metric without any other value has no row.
+    """
+    valued = log.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    best = valued.groupBy("run", "metric").agg(F.min(F.struct("value", "step")).alias("_best"))
+    return best.select("run", "metric", F.col("_best.step").alias("step"), F.col("_best.value").alias("value"))
 
 
 def track_best(log: DataFrame, target: str, checkpoint: str) -> None:
