@@ -184,6 +184,7 @@ def test_last_word_context_keeps_room_for_one_token(spark):
 
 def _candidates(spark, counts, **options):
     rows = spark.createDataFrame([(0, i, n - 1) for i, n in enumerate(counts)], "prev int, next int, n bigint")
+    options.setdefault("vocabulary", len(counts))
     return {r.next: r.p for r in scoring.nucleus_candidates(rows, **options).collect()}
 
 
@@ -195,6 +196,15 @@ def test_nucleus_and_ties(spark):
     assert hot == pytest.approx({0: 81 / 82, 1: 1 / 82})
 
 
+def test_unseen_tokens_tie_at_the_border(spark):
+    rows = spark.createDataFrame([(0, 5, 7), (0, 6, 1)], "prev int, next int, n bigint")
+    got = {r.next: (r.n_tokens, r.p) for r in scoring.nucleus_candidates(rows, 3, 1.0, vocabulary=10).collect()}
+    assert got == {5: (1, 8 / 18), 6: (1, 2 / 18), None: (8, 1 / 18)}
+    cut = {r.next: (r.n_tokens, r.p) for r in scoring.nucleus_candidates(rows, 3, 0.75, vocabulary=10).collect()}
+    assert cut == {5: (1, 8 / 14), 6: (1, 2 / 14), None: (4, 1 / 14)}
+    assert None not in {r.next for r in scoring.nucleus_candidates(rows, 2, 1.0, vocabulary=10).collect()}
+
+
 def test_best_next_token_takes_the_smallest_among_equals(spark):
     scores = _fit(spark, ["ab", "ac", "ad", "ad", "ac"])
     assert {r.prev: r.next for r in scoring.next_token(scores).collect()}[ord("a")] == ord("c")

@@ -18,16 +18,22 @@ def test_corpus_job_equals_its_query(spark, tiny, tmp_path):
 
 def test_instruction_jobs(spark, tiny, tmp_path):
     turns, docs = readers.turns(spark, tiny), readers.documents(spark, tiny)
-    chat = {(r.split, r.source): r.n for r in jobs.prepare_chat(turns, docs, BYTES, f"{tmp_path}/chat").collect()}
+    chat = {(r.split, r.source): r.n for r in jobs.prepare_chat(turns, docs, BYTES, f"{tmp_path}/chat", 200_000, 150, 100).collect()}
     single = jobs.prepare_single_turn(instruct.single_turn(turns), docs, BYTES, f"{tmp_path}/one", 80, 40)
     single = {(r.split, r.source): r.n for r in single.collect()}
-    assert sum(n for (_, source), n in chat.items() if source == "corpus") == 200
+    assert sum(n for (_, source), n in chat.items() if source == "corpus") == 100
     assert sum(n for (_, source), n in single.items() if source == "corpus") == 40
     for counts in (chat, single):
         total = sum(counts.values())
         assert sum(n for (split, _), n in counts.items() if split == "val") == max(1, int(total * 0.02))
 
 
+def test_a_blend_must_not_reach_validation_text(spark, tiny, tmp_path):
+    turns, docs = readers.turns(spark, tiny), readers.documents(spark, tiny)
+    with pytest.raises(ValueError, match="validation"):
+        jobs.prepare_chat(turns, docs, BYTES, f"{tmp_path}/chat", 10, 20_000, 10)
+
+
 def test_evaluation_job_appends_to_a_metric_log(spark, tiny, tmp_path):
     scores = scoring.fit_bigram(readers.documents(spark, tiny), BYTES)
     rows = jobs.evaluate(

@@ -102,15 +102,31 @@ def pack_blocks(
     With ``blocks_per_file`` there is a ``file`` column too, and the blocks of a file come in
     one task by the same shuffle.
     """
+    keys = ["split", "block_id", *(["file"] if blocks_per_file else [])]
+    # a block needs one token more, so the last token of the block before begins here too
+    blocks = _gathered(store, block_size, 1, blocks_per_file).where(F.size("block") == block_size + 1)
+    return blocks.select(
+        *keys, arrays.inputs(F.col("block")).alias("x"), arrays.targets(F.col("block")).alias("y")
+    )
+
+
+def flat_records(store: DataFrame, block_size: int, blocks_per_file: int) -> DataFrame:
+    """(split, file, block_id, record): the stream of each split, every token once, the last record short."""
+    blocks = _gathered(store, block_size, 0, blocks_per_file)
+    return blocks.select("split", "file", "block_id", F.col("block").alias("record"))
+
+
+def _gathered(store: DataFrame, block_size: int, extra: int, blocks_per_file: int | None) -> DataFrame:
+    """(split, block_id[, file], block): tokens from each multiple of ``block_size``, ``extra`` beyond the next."""
     size, start, n = F.lit(block_size), F.col("tok_start"), F.col("n_tokens")
-    first = F.expr(f"greatest(tok_start - 1, 0) div {block_size}")
+    first = F.expr(f"greatest(tok_start - {extra}, 0) div {block_size}")
     final = F.expr(f"(tok_start + n_tokens - 1) div {block_size}")
-    touched = store.select(
+    touched = store.where("n_tokens > 0").select(
         "split", "tokens", "tok_start", "n_tokens", F.explode(F.sequence(first, final)).alias("block_id")
     )
     origin = F.col("block_id") * size
     skip = F.greatest(origin - start, F.lit(0))
-    take = F.least(origin + size + 1 - start, n) - skip
+    take = F.least(origin + size + extra - start, n) - skip
     slices = touched.select(
         "split",
         "block_id",
@@ -121,12 +137,9 @@ def pack_blocks(
     if blocks_per_file:
         keys.append("file")
         slices = slices.withColumn("file", F.expr(f"block_id div {blocks_per_file}")).repartition("split", "file")
-    blocks = slices.groupBy(*keys).agg(
+    return slices.groupBy(*keys).agg(
         F.flatten(F.sort_array(F.collect_list(F.struct("at", "part")))["part"]).alias("block")
     )
-    return blocks.where(F.size("block") == block_size + 1).select(
-        *keys, arrays.inputs(F.col("block")).alias("x"), arrays.targets(F.col("block")).alias("y")
-    )
 
 
 def validation_blocks(

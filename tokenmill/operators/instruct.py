@@ -15,6 +15,7 @@ from tokenmill import constants as C
 from tokenmill.functions import arrays, text
 from tokenmill.functions.tokenizers import document_tokens
 from tokenmill.operators import sampling
+from tokenmill.operators.corpus import first_validation_doc
 from tokenmill.operators.ordering import ROWS_PER_SEGMENT, SEGMENT, Running, running, shuffled_before
 from tokenmill.operators.sampling import Size
 
@@ -214,9 +215,10 @@ def sft_dataset(
     """Instruction examples and a corpus blend, shuffled by key, the first part for validation.
 
     ``example_ids`` lists the ids of ``examples``; the border is found on ids alone and every
-    row then knows its split. Blend rows train on every token.
+    row then knows its split. Blend rows train on every token; their documents must end before
+    the corpus's validation part.
     """
-    blended = sampling.blend_predicate(docs, head, take)
+    blended = sampling.blend_predicate(docs, head, take, before=first_validation_doc(docs))
     blend_ids = docs.where(blended).select(_example_id("corpus", "doc_id"))
     ids = example_ids.select(_example_id(source, example_ids.columns[0])).unionByName(blend_ids)
     border = sampling.border(

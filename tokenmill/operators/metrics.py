@@ -147,16 +147,16 @@ def parse_log(lines: DataFrame) -> DataFrame:
     return wide.unpivot("log", list(C.LOG_PATTERNS), "metric", "value")
 
 
-def results_json(parsed: DataFrame) -> DataFrame:
-    """(log, json): one object per log, missing metrics as explicit nulls."""
+def results_json(parsed: DataFrame, named: bool = False) -> DataFrame:
+    """(log, json): one object per log, with its name if asked for; missing metrics are explicit nulls."""
     wide = parsed.groupBy("log").pivot("metric", list(C.LOG_PATTERNS)).agg(F.first("value"))
-    names = [F.col(m) for m in C.LOG_PATTERNS]
+    names = [*([F.col("log")] if named else []), *(F.col(m) for m in C.LOG_PATTERNS)]
     return wide.select("log", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def long_results(results: DataFrame) -> DataFrame:
-    """(metric, value) of a results object, to compare two of them."""
-    return results.unpivot([], list(C.LOG_PATTERNS), "metric", "value")
+def long_results(results: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, metric, value) of results objects, to compare two of them."""
+    return results.unpivot(keys or [], list(C.LOG_PATTERNS), "metric", "value")
 
 
 def version_compare(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:

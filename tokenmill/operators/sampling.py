@@ -62,9 +62,14 @@ def ranked_sample(ids: DataFrame, id_column: str, n: Size, stage: str) -> DataFr
     return positions(sample, KEYS, "rank", even_range=(0, top)).drop(*KEYS)
 
 
-def blend_predicate(docs: DataFrame, head: Size, take: Size, stage: str = "blend") -> Column:
+def blend_predicate(
+    docs: DataFrame, head: Size, take: Size, stage: str = "blend", before: tuple | None = None
+) -> Column:
     """Predicate on ``doc_id``: a seeded sample of ``take`` among the first ``head`` documents."""
-    first = in_head(docs, "doc_id", head)
+    behind = kth_key(docs, ["doc_id"], head)
+    first = precedes([F.col("doc_id")], behind)
+    if before is not None and (behind is None or behind > before):
+        raise ValueError("the blend's documents reach into the validation part of the corpus")
     return first & in_sample(docs.where(first), "doc_id", take, stage)
 
 

@@ -170,25 +170,42 @@ def val_loss(
 
 
 def nucleus_candidates(
-    scores: DataFrame, top_k: int, top_p: float, temperature: float = 1.0
+    scores: DataFrame, top_k: int, top_p: float, temperature: float = 1.0, vocabulary: int = C.VOCAB_SIZE
 ) -> DataFrame:
-    """(prev, next, p): the tokens a sampler may draw behind each token.
+    """(prev, next, n_tokens, p): the tokens a sampler may draw behind each token, ``p`` for each of them.
 
     The k best stay, with all that tie with the k-th; then those whose mass before them is
-    within ``top_p``; the rest is renormalised. Groups are bounded by the vocabulary.
+    within ``top_p``; the rest is renormalised. Where fewer than k tokens were seen, all unseen
+    ones tie at the border: they are one row, with ``next`` NULL and their number. Groups are
+    bounded by the vocabulary.
     """
     context = Window.partitionBy("prev")
     by_count = context.orderBy(F.desc("n"))
-    best = scores.withColumn("_rank", F.rank().over(by_count)).where(F.col("_rank") <= top_k)
+    ranked = scores.select(
+        "prev", "next", "n", F.rank().over(by_count).alias("_rank"), F.count(F.lit(1)).over(context).alias("_seen")
+    ).where(F.col("_rank") <= top_k)
     # softmax of log-probabilities over a temperature; whole numbers at temperature 1
     weight = F.col("n") + 1 if temperature == 1.0 else F.pow(F.col("n") + 1, F.lit(1.0 / temperature))
-    ordered = context.orderBy(F.desc("_weight"), "next").rowsBetween(Window.unboundedPreceding, -1)
-    massed = best.withColumn("_weight", weight.cast("double")).select(
+    best = ranked.select("prev", "next", weight.cast("double").alias("_weight"), F.lit(1).cast("bigint").alias("n_tokens"), "_seen")
+    unseen = best.where((F.col("_seen") < top_k) & (F.col("_seen") < vocabulary)).select("prev", "_seen").distinct()
+    rest = unseen.select(
+        "prev",
+        F.lit(None).cast(scores.schema["next"].dataType).alias("next"),
+        F.lit(1.0).alias("_weight"),
+        (F.lit(vocabulary) - F.col("_seen")).cast("bigint").alias("n_tokens"),
+        "_seen",
+    )
+    mass = F.sum(F.col("_weight") * F.col("n_tokens"))
+    ordered = context.orderBy(F.desc("_weight"), F.col("next").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    massed = best.unionByName(rest).select(
         "prev",
         "next",
         "_weight",
-        F.coalesce(F.sum("_weight").over(ordered), F.lit(0.0)).alias("_before"),
-        F.sum("_weight").over(context).alias("_all"),
+        "n_tokens",
+        F.coalesce(mass.over(ordered), F.lit(0.0)).alias("_before"),
+        mass.over(context).alias("_all"),
     )
-    kept = massed.where(F.col("_before") <= F.lit(top_p) * F.col("_all"))
-    return kept.select("prev", "next", (F.col("_weight") / F.sum("_weight").over(context)).alias("p"))
+    # of a row of equal tokens so many begin within the mass
+    within = F.floor((F.lit(top_p) * F.col("_all") - F.col("_before")) / F.col("_weight")) + 1
+    kept = massed.withColumn("n_tokens", F.least(F.col("n_tokens"), within)).where(F.col("n_tokens") > 0)
+    return kept.select("prev", "next", "n_tokens", (F.col("_weight") / mass.over(context)).alias("p"))

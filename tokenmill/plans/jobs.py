@@ -1,4 +1,5 @@
-"""Whole jobs, from input tables to written results. Sizes default to those of the formats."""
+"""Whole jobs, from input tables to written results. Sizes of samples are given by the caller (the
+published ones are in ``constants``): none is drawn in silence."""
 
 from __future__ import annotations
 
@@ -30,8 +31,8 @@ def prepare_single_turn(
     docs: DataFrame,
     tokenizer,
     path: str,
-    head: Size = C.SINGLE_TURN_HEAD,
-    take: Size = C.SINGLE_TURN_BLEND,
+    head: Size,
+    take: Size,
 ) -> DataFrame:
     """Write single-turn examples with a corpus blend; returns examples per split and source."""
     return _write_sft(instruct.single_turn_dataset(rows, docs, tokenizer, head, take), path)
@@ -42,9 +43,9 @@ def prepare_chat(
     docs: DataFrame,
     tokenizer,
     path: str,
-    cap: Size = C.CHAT_CAP,
-    head: Size = C.CHAT_HEAD,
-    take: Size = C.CHAT_BLEND,
+    cap: Size,
+    head: Size,
+    take: Size,
 ) -> DataFrame:
     """Write sampled multi-turn examples with a corpus blend; returns examples per split and source."""
     return _write_sft(instruct.chat_dataset(turns, docs, tokenizer, cap, head, take), path)
@@ -70,7 +71,7 @@ def evaluate(
     limit: int | None = None,
 ) -> DataFrame:
     """Accuracy of each task as rows of a metric log. Items come by task name, in the shape of
-    their kind; ``limit`` is the number of valid last-word items to score."""
+    their kind; ``limit`` is the number of valid items of each task to score, all without it."""
 
     def scored(asked: DataFrame) -> DataFrame:
         kept = [c for c in asked.columns if c not in ("context", "continuation")]
@@ -78,13 +79,13 @@ def evaluate(
 
     picked = {}
     for task, items in (choices or {}).items():
-        picked[task] = picks.pick_choice(scored(requests.choice_requests(items)))
+        picked[task] = picks.pick_choice(scored(requests.choice_requests(items, limit=limit)))
     for task, items in (labelled or {}).items():
-        picked[task] = picks.pick_labelled(scored(requests.labelled_choice_requests(items)))
+        picked[task] = picks.pick_labelled(scored(requests.labelled_choice_requests(items, limit)))
     for task, items in (last_words or {}).items():
-        picked[task] = picks.pick_last_word(requests.last_word_requests(items, limit), scores, tokenizer)
+        picked[task] = picks.pick_last_word(requests.last_word_requests(items, limit), scores, tokenizer, block_size)
     for task, items in (clozes or {}).items():
-        picked[task] = picks.pick_option(scored(requests.cloze_requests(items)))
+        picked[task] = picks.pick_option(scored(requests.cloze_requests(items, limit)))
 
     rows = None
     for task, chosen in picked.items():

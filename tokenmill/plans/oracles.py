@@ -347,6 +347,14 @@ _BLOCKS = f"with {STREAM} select split, block_id, {_digest('x')} as x_md5, {_dig
 _FLOOR = C.SCALING_E + C.SCALING_A / C.SCALING_PARAMETERS**C.SCALING_ALPHA
 _PERCENT = "case when {0} is null then 'TBD' else printf('%.2f%%', {0}) end"
 
+_PARSED = f"""with {LOG}, firsts as (
+  select run, metric, arg_min(value, step) as value from log group by 1, 2
+), wanted as (
+  select run as log, name as metric, 'eval/' || name || case name when 'val_loss' then '' else '_acc' end as metric_key
+  from (select distinct run from log) cross join (select unnest({list(C.LOG_PATTERNS)!r}) as name)
+) select log, w.metric, cast(case when f.metric like '%acc' then printf('%.2f', f.value * 100) else printf('%.4f', f.value) end as double) as value
+from wanted w left join firsts f on f.run = w.log and f.metric = w.metric_key"""
+
 ORACLES: dict[str, str] = {
     # ---- corpus
     "corpus_stats": f"""with {SPLIT}, sized as (
@@ -462,15 +470,24 @@ windows as (
 ) select cast(sum(cast(round(-total / n) as bigint)) as bigint) / count(*) / 1000000 as mean_of_means,
   -cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000 as token_mean,
   round(exp(-cast(sum(total) as bigint) / cast(sum(n) as bigint) / 1000000), 6) as perplexity from batches""",
-    "nucleus_candidates": f"""with {SPLIT}, {BIGRAMS}, best as (
-  select prev, next, n + 1 as w, rank() over (partition by prev order by n desc) as place from scores
+    "nucleus_candidates": f"""with {SPLIT}, {BIGRAMS}, ranked as (
+  select prev, next, n + 1 as w, 1 as n_tokens, rank() over (partition by prev order by n desc) as place,
+    count(*) over (partition by prev) as seen from scores
+), best as (
+  select prev, next, w, n_tokens from ranked where place <= {B.TOP_K}
+  union all
+  select prev, null, 1, {V} - any_value(seen) from ranked group by prev having any_value(seen) < {B.TOP_K}
 ), massed as (
-  select prev, next, w, sum(w) over (partition by prev order by w desc, next rows unbounded preceding) - w as before,
-    sum(w) over (partition by prev) as everything from best where place <= {B.TOP_K}
-) select prev, next, w::double / cast(sum(w) over (partition by prev) as double) as p
-from massed where before <= {B.TOP_P}::double * everything::double""",
+  select prev, next, w, n_tokens,
+    sum(w * n_tokens) over (partition by prev order by w desc, next nulls last rows unbounded preceding) - w * n_tokens as before,
+    sum(w * n_tokens) over (partition by prev) as everything from best
+), kept as (
+  select prev, next, w, least(n_tokens, cast(floor(({B.TOP_P}::double * everything::double - before::double) / w) as bigint) + 1)::bigint as n_tokens
+  from massed
+) select prev, next, n_tokens, w::double / cast(sum(w * n_tokens) over (partition by prev) as double) as p from kept where n_tokens > 0""",
     # ---- metrics
     "metric_resolved": f"with {RESUMED} select run, step, metric, value from resumed",
+    "metric_append": f"with {RESUMED} select run, step, metric, value from resumed",
     "metric_latest": f"with {LATEST} select run, metric, step, value from latest",
     "metric_wide": f"with {LATEST} select run, "
     + ", ".join(f"max(value) filter (where metric = '{m}') as {m.removeprefix('eval/')}" for m in B.METRICS.values())
@@ -495,13 +512,8 @@ from past""",
 ) select run, step, round(d / 1e9, 6) as tokens_b, value as actual, round(p, 4) as predicted, round(value - p, 4) as gap from predicted""",
     "pending_checkpoints": f"with {FILES} select path, iter from waiting",
     "next_checkpoint": f"with {FILES} select path, iter from waiting order by iter limit 1",
-    "parse_eval_log": f"""with {LOG}, firsts as (
-  select run, metric, arg_min(value, step) as value from log group by 1, 2
-), wanted as (
-  select run as log, name as metric, 'eval/' || name || case name when 'val_loss' then '' else '_acc' end as metric_key
-  from (select distinct run from log) cross join (select unnest({list(C.LOG_PATTERNS)!r}) as name)
-) select log, w.metric, cast(case when f.metric like '%acc' then printf('%.2f', f.value * 100) else printf('%.4f', f.value) end as double) as value
-from wanted w left join firsts f on f.run = w.log and f.metric = w.metric_key""",
+    "parse_eval_log": _PARSED,
+    "eval_log_roundtrip": _PARSED,
     "version_compare": f"""with {LATEST}, joined as (
   select coalesce(a.pair, b.pair) as pair, coalesce(a.metric, b.metric) as metric, a.value as v1, b.value as v2
   from (select run // 2 as pair, metric, value from latest where run % 2 = 0) a

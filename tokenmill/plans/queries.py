@@ -431,12 +431,37 @@ def next_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
     return checkpoints.next_pending(bindings.checkpoint_files(events), bindings.done_list(events))
 
 
+def _report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    line = formats.report_line(F.col("metric"), F.col("value"))
+    return _log(spark, folder).select(F.col("run").alias("log"), F.col("step").alias("line_no"), line.alias("line"))
+
+
 @query
 def parse_eval_log(spark: SparkSession, folder: str) -> DataFrame:
-    log = _log(spark, folder)
-    line = formats.report_line(F.col("metric"), F.col("value"))
-    lines = log.select(F.col("run").alias("log"), F.col("step").alias("line_no"), line.alias("line"))
-    return metrics.parse_log(lines)
+    return metrics.parse_log(_report_lines(spark, folder))
+
+
+@query
+def eval_log_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Report lines to log files, these to result objects in files, and back to metrics."""
+    logs, results = fresh_path(spark, "logs"), fresh_path(spark, "results")
+    lines = _report_lines(spark, folder).repartition("log").sortWithinPartitions("log", "line_no")
+    lines.select("log", "line").write.partitionBy("log").text(logs)
+    read = readers.text_log(spark, logs)
+    named = read.withColumn("log", F.regexp_extract("log", r"/log=(\d+)/", 1).cast("bigint"))
+    writers.write_results(metrics.results_json(metrics.parse_log(named), named=True), results)
+    return metrics.long_results(readers.results_lines(spark, results), ["log"])
+
+
+@query
+def metric_append(spark: SparkSession, folder: str) -> DataFrame:
+    """A log written in two appends, as before and after a resume, then resolved."""
+    target, log = fresh_path(spark, "metrics"), bindings.resumed_log(bindings.events(spark, folder))
+    halves = F.pmod(F.xxhash64("run", "step", "metric", "logged_at"), F.lit(2)) == 0
+    for part in (halves, ~halves):
+        writers.append_metrics(log.where(part), target)
+    written = spark.read.schema(schemas.METRIC_LOG).parquet(target)
+    return metrics.resolve_resumed(written).drop("logged_at")
 
 
 @query

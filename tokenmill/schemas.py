@@ -3,7 +3,7 @@
 DOCUMENTS = "doc_id BIGINT, text STRING"
 TURNS = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 CONVERSATIONS = "conv_id BIGINT, conversations ARRAY<STRUCT<`from`: STRING, value: STRING>>"
-INSTRUCTIONS = "conv_id BIGINT, instruction STRING, input STRING, output STRING"
+INSTRUCTIONS = "pair_id STRING, instruction STRING, input STRING, output STRING"
 SFT = "tokens ARRAY<INT>, loss_mask ARRAY<INT>"
 SFT_FILE = "example_id STRING, source STRING, start BIGINT, tokens ARRAY<INT>, loss_mask ARRAY<INT>"
 CHOICE_ITEMS = "item_id BIGINT, ctx STRING, endings ARRAY<STRING>, label INT"

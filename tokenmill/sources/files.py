@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
+HADOOP_S3 = ("s3a://", "s3n://")
+
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """Arrow file system and inner path; a path without a scheme is a mounted shared folder."""
+    """Arrow file system and inner path. Hadoop's names of the object store are Arrow's ``s3``."""
+    for scheme in HADOOP_S3:
+        path = "s3://" + path.removeprefix(scheme) if path.startswith(scheme) else path
     if "://" in path or path.startswith("file:"):
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark itself takes where none is given, so tasks write where Spark looks."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = store.makeQualified(target).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

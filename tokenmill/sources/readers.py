@@ -60,6 +60,32 @@ def result_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RESULTS).option("multiLine", True).json(path)
 
 
+def results_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Result objects as ``write_results`` leaves them, one per line with the name of its log."""
+    return json_rows(spark, path, "log BIGINT, " + schemas.RESULTS)
+
+
+def choice_items(spark: SparkSession, path: str) -> DataFrame:
+    return json_rows(spark, path, schemas.CHOICE_ITEMS)
+
+
+def labelled_items(spark: SparkSession, path: str) -> DataFrame:
+    return json_rows(spark, path, schemas.LABELLED_ITEMS)
+
+
+def last_word_items(spark: SparkSession, path: str) -> DataFrame:
+    return json_rows(spark, path, schemas.LAST_WORD_ITEMS)
+
+
+def cloze_items(spark: SparkSession, path: str) -> DataFrame:
+    return json_rows(spark, path, schemas.CLOZE_ITEMS)
+
+
+def instructions(spark: SparkSession, path: str) -> DataFrame:
+    """Single-turn instruction rows, (pair_id, instruction, input, output)."""
+    return json_rows(spark, path, schemas.INSTRUCTIONS)
+
+
 def rank_table(spark: SparkSession, path: str) -> dict[bytes, int]:
     """Byte-pair ranks from lines of ``base64 rank``; bounded by 16-bit token ids."""
     lines = spark.read.text(path).limit(C.MAX_TOKEN_ID + 2).collect()
@@ -69,7 +95,6 @@ def rank_table(spark: SparkSession, path: str) -> dict[bytes, int]:
 
 
 READ_BYTES = 16 << 20
-MAX_READ_TASKS = 1 << 17
 
 
 def packed_blocks(spark: SparkSession, folder: str, read_bytes: int = READ_BYTES) -> DataFrame:
@@ -83,8 +108,7 @@ def packed_blocks(spark: SparkSession, folder: str, read_bytes: int = READ_BYTES
         "skip", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.col("per_read")))
     )
     ranges = ranges.withColumn("take", F.least(F.col("per_read"), F.col("records") - F.col("skip")))
-    tasks = min(max(ranges.count(), 1), MAX_READ_TASKS)
-    spread = ranges.repartition(tasks)  # by number: rows are few and short, their work is not
+    spread = ranges.repartition(max(ranges.count(), 1))  # by number: rows are few and short, their work is not
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

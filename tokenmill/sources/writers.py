@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from tokenmill import constants as C
 from tokenmill import schemas
 from tokenmill.operators import sampling
-from tokenmill.operators.corpus import pack_blocks
+from tokenmill.operators.corpus import flat_records, pack_blocks
 from tokenmill.operators.ordering import SHUFFLE_KEY_LIMIT
-from tokenmill.sources.files import filesystem, is_complete
+from tokenmill.sources.files import filesystem, is_complete, qualified
+
+
+#: Examples in one JSON file, some 100 MB of tokens as text.
+ROWS_PER_FILE = 20_000
 
 
 def write_token_store(store: DataFrame, path: str) -> None:
@@ -22,15 +26,16 @@ def write_token_store(store: DataFrame, path: str) -> None:
     store.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def write_sft_json(dataset: DataFrame, path: str, files: int | None = None) -> None:
+def write_sft_json(dataset: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """One example per line, one folder per split, files in shuffled order.
 
-    The shuffle key is uniform, so equal ranges of it are equal files: no sampling pass.
+    The shuffle key is uniform, so equal ranges of it are equal files: no sampling pass. Range
+    number i goes to partition i. Counting reads ids, not tokens.
     """
-    files = files or dataset.sparkSession.sparkContext.defaultParallelism
+    files = max(1, -(-dataset.select(*sampling.KEYS).count() // rows_per_file))
     span = -(-SHUFFLE_KEY_LIMIT // files)
-    placed = dataset.withColumn("_file", F.expr(f"`{sampling.KEYS[0]}` div {span}L"))
-    placed = placed.repartition(files, "_file").sortWithinPartitions("split", *sampling.KEYS, "start")
+    number = F.expr(f"int(`{sampling.KEYS[0]}` div {span}L)")
+    placed = dataset.repartitionById(files, number).sortWithinPartitions("split", *sampling.KEYS, "start")
     columns = ["split", "example_id", "source", "start", "tokens", "loss_mask"]
     placed.select(*columns).write.mode("overwrite").partitionBy("split").json(path)
 
@@ -71,33 +76,41 @@ def export_blocks(
     returns the part list.
 
     A record is a block and, with ``overlap``, the next token, so that it stands alone. Without
-    it the parts of a split in block order are its flat token stream. Each task attempt writes
-    files of its own; the part list names those of the attempts that were committed.
+    it the parts of a split in block order are its flat token stream, whole: a last record may be
+    shorter and is a part of its own. Each task attempt writes files of its own; the part list names
+    those of the attempts that were committed.
     """
-    blocks = pack_blocks(store, block_size, blocks_per_file)
-    record = F.concat("x", F.slice("y", -1, 1)) if overlap else F.col("x")
+    folder = qualified(store.sparkSession, folder)
     order = ["split", "file", "block_id"]
-    placed = blocks.select(*order, record.alias("record")).sortWithinPartitions(*order)
+    if overlap:
+        blocks = pack_blocks(store, block_size, blocks_per_file)
+        records = blocks.select(*order, F.concat("x", F.slice("y", -1, 1)).alias("record"))
+    else:
+        records = flat_records(store, block_size, blocks_per_file)
+    placed = records.sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt, target, current, done = uuid.uuid4().hex, None, None, []
         try:
             for batch in batches:
                 splits, numbers, ids = (batch.column(i).to_pylist() for i in range(3))
+                widths = batch.column(3).value_lengths().to_pylist()
                 tokens = batch.column(3).flatten().to_numpy()
                 if tokens.size and not 0 <= tokens.min() <= tokens.max() <= C.MAX_TOKEN_ID:
                     raise ValueError("token id does not fit 16 bits")
-                width = tokens.size // batch.num_rows if batch.num_rows else 0
-                rows = tokens.astype("<u2").reshape(batch.num_rows, width)
-                for begin, end in _stretches(splits, numbers):
-                    if (splits[begin], numbers[begin]) != current:
+                tokens, at = tokens.astype("<u2"), 0
+                for begin, end in _stretches(splits, numbers, widths):
+                    part = splits[begin], numbers[begin], widths[begin]
+                    if part != current:
                         if target is not None:
                             target.close()
-                        current = splits[begin], numbers[begin]
-                        path = f"{folder}/{current[0]}-{current[1]:08d}-{attempt}.bin"
+                        current = part
+                        path = f"{folder}/{part[0]}-{part[1]:08d}-{part[2]}-{attempt}.bin"
                         target = _open(path)
-                        done.append([current[0], path, ids[begin], 0, width])
-                    target.write(rows[begin:end].tobytes())
+                        done.append([part[0], path, ids[begin], 0, part[2]])
+                    size = (end - begin) * part[2]
+                    target.write(tokens[at : at + size].tobytes())
+                    at += size
                     done[-1][3] += end - begin
         finally:
             if target is not None:
