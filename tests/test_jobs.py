@@ -59,3 +59,14 @@ def test_evaluation_needs_a_task(spark, tiny):
     scores = scoring.fit_bigram(readers.documents(spark, tiny).limit(5), BYTES)
     with pytest.raises(ValueError):
         jobs.evaluate(scores, BYTES, 1, 1, dt.datetime(2024, 1, 1))
+
+
+def test_own_tables_are_removed(spark, tiny):
+    import os
+
+    from tokenmill import session
+
+    with session.own_tables(spark) as folder:
+        kept = session.cut_lineage(readers.documents(spark, tiny).select("doc_id"))
+        assert kept.count() == 200 and os.path.isdir(folder)
+    assert not os.path.exists(folder)

@@ -41,8 +41,6 @@ ROLES = {
 
 BATCH_SIZE = 4
 ACCUMULATION_STEPS = 32
-EVAL_ITERS = 100
-SFT_EVAL_ITERS = 50
 PRETRAIN_STEPS = 60_000
 SFT_STEPS = 4_000
 SAVE_EVERY = 500
@@ -56,17 +54,14 @@ SCALING_B = 410.7
 SCALING_BETA = 0.28
 SCALING_PARAMETERS = 350e6
 
-# metric name -> pattern of its line in an evaluation log (matched without regard to case)
-LOG_PATTERNS = {
-    "hellaswag": r"hellaswag\s+(\d+\.\d+)%",
-    "lambada": r"lambada\s+(\d+\.\d+)%",
-    "arc_easy": r"arc easy\s+(\d+\.\d+)%",
-    "arc_challenge": r"arc challenge\s+(\d+\.\d+)%",
-    "winogrande": r"winogrande\s+(\d+\.\d+)%",
-    "val_loss": r"val loss\s+(\d+\.\d+)",
-}
+RESULT_METRICS = ("hellaswag", "lambada", "arc_easy", "arc_challenge", "winogrande", "val_loss")
 MISSING_TEXT = "TBD"
 # ---- end of fixed values ------------------------------------------------------------
 
 TOKENS_PER_STEP = BATCH_SIZE * ACCUMULATION_STEPS * BLOCK_SIZE
 EXAMPLES_PER_STEP = BATCH_SIZE * ACCUMULATION_STEPS
+
+# metric name -> pattern of its line in an evaluation log, as ``formats`` writes it (matched without regard to case)
+LOG_PATTERNS = {
+    name: name.replace("_", " ") + r"\s+(\d+\.\d+)" + ("" if name.endswith("loss") else "%") for name in RESULT_METRICS
+}

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_tables: ContextVar[str | None] = ContextVar("tables", default=None)
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and the bench. On a cluster, bring the cluster's own session."""
@@ -41,8 +47,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing has used yet."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path that nothing has used yet, under the shared folder or the open ``own_tables``."""
+    return os.path.join(_tables.get() or shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables made inside go to a folder of their own, which is removed at the end.
+
+    Frames that read them must be written or collected inside.
+    """
+    folder = os.path.join(shared_dir(spark), f"tables-{uuid.uuid4().hex}")
+    outer = _tables.set(folder)
+    try:
+        yield folder
+    finally:
+        _tables.reset(outer)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -62,6 +84,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     shuffled for this. ``df`` should be a scan with narrow steps; the keys should be unique.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming:
+        return df
+    # asking for partitions would run the stages below an exchange
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if re.search(r"\b(Join|Aggregate|Repartition\w*|Window|Sort)\b", plan) or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
