@@ -21,7 +21,7 @@ class Training:
 
     max_documents: int = 3000
     max_languages: int = 200
-    max_bytes: int = 100_000
+    max_bytes: int = 30_000
     stretch: int = 400
     stretches: int = 4
     bucket_bits: int = 15

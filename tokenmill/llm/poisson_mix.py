@@ -8,8 +8,8 @@ from pyspark.sql.window import Window
 
 from tokenmill.session import cut_lineage
 
-#: Up to so many sources the rates are broadcast; their number is counted first.
-BROADCAST_SOURCES = 10_000
+#: Up to so many values in all sources' step arrays (16 MB) they are broadcast; they are counted first.
+BROADCAST_STEPS = 2_000_000
 #: 13 hex digits are 52 bits, which a double holds exactly.
 HEX_DIGITS, STEPS = 13, 2.0**52
 
@@ -80,7 +80,7 @@ def poisson_mix(
     dealt by the hash of (seed, id, text, copy) and sorted by it, which is a global shuffle.
 
     Sizes are summed in tasks and cover all rows. A hot source is only a rate that many rows look up,
-    by broadcast if the sources were counted to be few, else by a join that may split it. A null
+    by broadcast if what it looks up was counted to be small, else by a join that may split it. A null
     source is a source; rows equal in id and text draw equal counts; null and empty texts count as
     rows of size 0 and follow their source's rate; of a source of empty texts only no row is drawn.
     Existing columns ``copy`` and ``mix_key`` are replaced.
@@ -88,7 +88,8 @@ def poisson_mix(
     sizes = cut_lineage(source_sizes(docs, source_col, text_col))
     wanted = smoothed_weights(sizes) if weights is None else weights
     steps = cut_lineage(poisson_steps(repetition_rates(sizes, wanted, epochs)))
-    if steps.count() <= BROADCAST_SOURCES:
+    n_steps = steps.agg(F.sum(F.size("steps") + F.octet_length(F.coalesce("source", F.lit(""))))).first()[0] or 0
+    if n_steps <= BROADCAST_STEPS:
         steps = F.broadcast(steps)
     kept = docs.drop(*({"copy", "mix_key"} - {id_col, source_col, text_col}))
     matched = kept.join(
