@@ -35,11 +35,14 @@ def shingle_of(words: str, at: Column, size: int) -> Column:
     return F.xxhash64(F.lit(size), *(F.get(words, at + i) for i in range(size)))
 
 
-def each_shingle(rows: DataFrame, words: str, size: int) -> DataFrame:
-    """``rows`` for each place of a shingle, with ``at`` and ``h``."""
-    long_enough = rows.where(F.size(words) >= size)
-    placed = long_enough.withColumn("at", F.explode(F.sequence(F.lit(0), F.size(words) - F.lit(size))))
-    return placed.withColumn("h", shingle_of(words, F.col("at"), size))
+def each_shingle(rows: DataFrame, words: str, size: int, with_rows: bool = False) -> DataFrame:
+    """``rows`` for each place of a shingle, with ``at`` and ``h``; ``with_rows``: and once at -1, where ``h`` is null."""
+    first = -1 if with_rows else 0
+    last = F.size(words) - F.lit(size)
+    kept = rows if with_rows else rows.where(F.size(words) >= size)
+    placed = kept.withColumn("at", F.explode(F.sequence(F.lit(first), F.greatest(last, F.lit(first)))))
+    h = shingle_of(words, F.col("at"), size)
+    return placed.withColumn("h", F.when(F.col("at") >= 0, h) if with_rows else h)
 
 
 def document_key(id_col: str, text_col: str) -> Column:
@@ -81,7 +84,7 @@ def benchmark_overlap(
     distinct = windows.dropDuplicates(["window_id"]).select("window_id", "words", "n", "size")
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # numbers up to ``shingle``
 
-    found = []
+    found, rows = [], None
     for size in sizes:
         sought = each_shingle(distinct.where(F.col("size") == size).withColumnRenamed("words", "held"), "held", size)
         sought = sought.select("window_id", "held", "n", F.col("at").alias("offset"), "h")
@@ -97,8 +100,12 @@ def benchmark_overlap(
         prefix = cut_lineage(
             ranked.withColumn("r", F.row_number().over(rarity)).where("r = 1 and n_seen > 0").drop("r", "n_seen")
         )
+        # the first pass over the documents also gives each row and its number of words
+        read = worded.select(id_col, "key", "words") if rows is None else worded.select("key", "words")
         if prefix.count() <= broadcast_rows:
-            places = each_shingle(worded.select("key", "words"), "words", size).join(F.broadcast(prefix), "h")
+            # outer only in the one row at -1: every other place needs its shingle in the table
+            places = each_shingle(read, "words", size, with_rows=rows is None)
+            places = places.join(F.broadcast(prefix), "h", "left").where("at < 0 or window_id is not null")
         else:
             places = (
                 each_shingle(worded.select("key", "words"), "words", size)
@@ -109,7 +116,15 @@ def benchmark_overlap(
         start = F.col("at") - F.col("offset")
         inside = (start >= 0) & (start + F.col("n") <= F.size("words"))
         same = F.when(inside, F.slice("words", start + 1, F.col("n")) == F.col("held")).otherwise(False)
-        found.append(places.where(same).select("key", start.alias("start"), "n", "window_id"))
+        hit = places.where(F.col("at") >= 0).where(same).select("key", start.alias("start"), "n", "window_id")
+        if rows is None and id_col in places.columns:
+            n_words = F.size("words").cast("bigint").alias("n_words")
+            both = cut_lineage(
+                places.where((F.col("at") < 0) | same).select(id_col, "key", n_words, "at", start.alias("start"), "n", "window_id")
+            )
+            rows = both.where("at < 0").select(id_col, "key", "n_words")
+            hit = both.where("at >= 0").select("key", "start", "n", "window_id")
+        found.append(hit)
 
     if not found:
         return worded.select(
@@ -130,9 +145,10 @@ def benchmark_overlap(
     listed = (
         hits.select("key", "window_id").distinct().join(owners, "window_id").groupBy("key").agg(F.collect_set("item").alias("items"))
     )
+    if rows is None:
+        rows = worded.select(id_col, "key", F.size("words").cast("bigint").alias("n_words"))
     return (
-        worded.select(id_col, "key", F.size("words").cast("bigint").alias("n_words"))
-        .join(covered, "key", "left")
+        rows.join(covered, "key", "left")
         .join(listed, "key", "left")
         .select(
             id_col,
