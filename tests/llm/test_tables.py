@@ -25,7 +25,7 @@ def brute_overlap(text, items, window=10):
     return len(doc), len(hit), tuple(sorted(str(o) for o in owners if o is not None))
 
 
-@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
 def test_overlap_equals_brute_force(spark, frame, odd_rows, broadcast_rows):
     rng = random.Random(8)
     vocabulary = ["aa", "Bb", "c1", "é", "dd"]

@@ -12,8 +12,8 @@ from tokenmill.session import cut_lineage
 #: Words of a window and of a shingle; shorter items are windows, and shorter windows shingles, of their own length.
 WINDOW, SHINGLE = 10, 3
 
-#: Shingle tables up to so many rows (two or three numbers each, some 100 MB) are broadcast; they are counted first.
-BROADCAST_ROWS = 2_000_000
+#: Tables of up to so many shingles, with up to so many bytes of window words, are broadcast; both are counted first.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def item_windows(items: DataFrame, window: int, shingle: int, item_col: str, text_col: str) -> DataFrame:
@@ -45,6 +45,11 @@ def each_shingle(rows: DataFrame, words: str, size: int, with_rows: bool = False
     return placed.withColumn("h", F.when(F.col("at") >= 0, h) if with_rows else h)
 
 
+def is_small(prefix: DataFrame, broadcast_rows: int) -> bool:
+    n, size = prefix.agg(F.count("*"), F.sum(F.octet_length(F.array_join("held", " ")))).first()  # one row
+    return n <= broadcast_rows and (size or 0) <= BROADCAST_BYTES
+
+
 def document_key(id_col: str, text_col: str) -> Column:
     """Names a row by id and text; rows equal in both have equal results."""
     return F.md5(F.to_json(F.struct(F.col(id_col).cast("string").alias("i"), F.md5(text_col).alias("t"))))
@@ -102,7 +107,7 @@ def benchmark_overlap(
         )
         # the first pass over the documents also gives each row and its number of words
         read = worded.select(id_col, "key", "words") if rows is None else worded.select("key", "words")
-        if prefix.count() <= broadcast_rows:
+        if is_small(prefix, broadcast_rows):
             # outer only in the one row at -1: every other place needs its shingle in the table
             places = each_shingle(read, "words", size, with_rows=rows is None)
             places = places.join(F.broadcast(prefix), "h", "left").where("at < 0 or window_id is not null")
