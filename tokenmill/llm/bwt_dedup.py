@@ -79,6 +79,12 @@ def cut(data: bytes, place: int, length: int, anchor: int) -> tuple[int, bytes]:
     return max(0, back - place), data[max(0, place - back) : place + length]
 
 
+def name_of(piece: bytes, lead: int) -> int:
+    """64 bits that tell apart the pieces of one anchor, itself known by 64 bits of its own."""
+    named = hashlib.blake2b(piece, digest_size=8, salt=lead.to_bytes(4, "little")).digest()
+    return int.from_bytes(named, "little", signed=True)
+
+
 def transform(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positional transform of aligned rows: for each column, its symbols and the rows, sorted by what lies before."""
     n, width = matrix.shape
@@ -171,8 +177,8 @@ def remove_repeats(
 
     1. Every window has an anchor chosen by its own bytes; each anchor of a text gives a piece, all
        that windows with this anchor can hold, named by a digest. Texts stay where they are.
-    2. Pieces are counted by anchor and digest, summed in tasks first. Copies are one piece with a count from
-       here on. Pieces whose anchor comes once are done with.
+    2. Anchors are counted, summed in tasks first; pieces whose anchor comes once are done with. The others
+       are counted by digest: copies are one piece with a count from here on.
     3. One representative of each other piece is cut from its text, and pieces meet by anchor, with
        anchors in the same column. Shards of them are transformed; the transforms are merged,
        and repeated intervals are read off the merged order.
@@ -199,13 +205,13 @@ def remove_repeats(
                 names.append(hashes)
                 for place in at.tolist():
                     lead, piece = cut(data, place, length, anchor)
-                    digests.append(hashlib.blake2b(piece, digest_size=16, salt=lead.to_bytes(4, "little")).digest())
+                    digests.append(name_of(piece, lead))
             if parents:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(parents)),
                         pa.array(np.concatenate(names).view(np.int64)),
-                        pa.array(digests, pa.binary()),
+                        pa.array(digests, pa.int64()),
                         pa.array(np.concatenate(places)),
                     ],
                     names=["key", "anchor", "digest", "place"],
@@ -213,14 +219,16 @@ def remove_repeats(
 
     key_type = keyed.schema["key"].dataType.simpleString()
     places = cut_lineage(
-        keyed.select("key", "text").mapInArrow(find, f"key {key_type}, anchor bigint, digest binary, place bigint")
+        keyed.select("key", "text").mapInArrow(find, f"key {key_type}, anchor bigint, digest bigint, place bigint")
     )
+    repeated = places.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    places = cut_lineage(places.join(repeated, "anchor"))
     pieces = places.groupBy("anchor", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("where")
     )
     pieces = cut_lineage(pieces)
-    sizes = pieces.groupBy("anchor").agg(F.sum("n").alias("all"), F.count("*").alias("different"))
-    again = pieces.join(sizes.where("all > 1"), "anchor")
+    sizes = pieces.groupBy("anchor").agg(F.count("*").alias("different"))
+    again = pieces.join(sizes, "anchor")
     wanted = again.groupBy(F.col("where.key").alias("key")).agg(
         F.collect_list(F.struct("anchor", "digest", "n", "different", F.col("where.place").alias("place"))).alias("cuts")
     )
@@ -239,11 +247,11 @@ def remove_repeats(
                 yield sliced(made)
 
     def sliced(made: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         names = ["anchor", "digest", "n", "different", "lead", "piece"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
 
-    fields = "anchor bigint, digest binary, n bigint, different bigint, lead int, piece binary"
+    fields = "anchor bigint, digest bigint, n bigint, different bigint, lead int, piece binary"
     cut_pieces = cut_lineage(keyed.join(wanted, "key").select("text", "cuts").mapInArrow(slices, fields))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +260,7 @@ def remove_repeats(
             flags = repeated_windows(parts, leads, counts, length, anchor, shard_pieces)
             found = [(r[0], r[1], runs_of(f)) for r, f in zip(rows, flags) if f.any()]
             columns = list(zip(*found)) if found else [(), (), ()]
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "digest", "runs"])
 
         rows: list[tuple] = []
@@ -270,10 +278,10 @@ def remove_repeats(
     columns = ("anchor", "digest", "n", "lead", "piece")
     usual = cut_pieces.where(F.col("different") <= merge_pieces).select(*columns)
     usual = usual.repartition("anchor").sortWithinPartitions("anchor", "digest")
-    runs = usual.mapInArrow(merge, "anchor bigint, digest binary, runs array<bigint>")
+    runs = usual.mapInArrow(merge, "anchor bigint, digest bigint, runs array<bigint>")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
             for name, digest, n, lead, piece in zip(*(column.to_pylist() for column in batch.columns)):
                 made = [
@@ -286,7 +294,7 @@ def remove_repeats(
                     )
 
     crowded = cut_pieces.where(F.col("different") > merge_pieces).select(*columns).dropDuplicates(["anchor", "digest"])
-    each = crowded.mapInArrow(windows, "anchor bigint, digest binary, n bigint, at bigint, window binary")
+    each = crowded.mapInArrow(windows, "anchor bigint, digest bigint, n bigint, at bigint, window binary")
     twice = each.groupBy("anchor", "at", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
     rest = (
         each.join(twice, ["anchor", "at", "window"])
