@@ -221,13 +221,14 @@ def remove_repeats(
     places = cut_lineage(
         keyed.select("key", "text").mapInArrow(find, f"key {key_type}, anchor bigint, digest bigint, place bigint")
     )
-    repeated = places.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    # a table, so that the join reads two plain shuffles and may split a hot anchor
+    repeated = cut_lineage(places.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"))
     places = cut_lineage(places.join(repeated, "anchor"))
     pieces = places.groupBy("anchor", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("where")
     )
     pieces = cut_lineage(pieces)
-    sizes = pieces.groupBy("anchor").agg(F.count("*").alias("different"))
+    sizes = cut_lineage(pieces.groupBy("anchor").agg(F.count("*").alias("different")))
     again = pieces.join(sizes, "anchor")
     wanted = again.groupBy(F.col("where.key").alias("key")).agg(
         F.collect_list(F.struct("anchor", "digest", "n", "different", F.col("where.place").alias("place"))).alias("cuts")
