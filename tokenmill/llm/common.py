@@ -65,8 +65,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating stars: each node ties its larger neighbours to the least one it knows, then its
     smaller ones, until nothing changes. Rounds grow with the logarithm of the longest path. A
-    round groups by node with sums made in tasks, and joins where a hot node may be split; its
-    edges are written to the shared folder, so a lost executor repeats one round at most.
+    round groups by node with sums made in tasks; these and the edges are written to the shared
+    folder, so the joins read plain shuffles in which a hot node may be split, and a lost
+    executor repeats one step at most.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = cut_lineage(pairs)
@@ -74,11 +75,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         # larger neighbours
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = cut_lineage(large.where("a <> b").distinct())
         # smaller ones and the node itself
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        down = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         pairs = cut_lineage(small.union(down.select("a", F.col("m").alias("b"))).distinct())
         seen = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()  # one row
