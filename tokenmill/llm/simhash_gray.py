@@ -105,8 +105,8 @@ def upper_nodes(fps: DataFrame, max_bits: int, node_size: int) -> DataFrame:
 
 
 def with_size(rows: DataFrame) -> DataFrame:
-    """Node sizes are counted in tasks first; the join may split a large node."""
-    return rows.join(rows.groupBy("node").agg(F.count("*").alias("size")), "node")
+    """Node sizes are counted in tasks first; as a table of their own, so that the join may split a large node."""
+    return rows.join(cut_lineage(rows.groupBy("node").agg(F.count("*").alias("size"))), "node")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
