@@ -111,6 +111,73 @@ def test_similar_documents_need_like_texts(frame):
     assert found == {1: 1, 2: 1, 3: 3, 4: 1}
 
 
+def shingle_set(text, k=5):
+    words = (text or "").encode().lower().split()
+    return frozenset(b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
+
+
+def brute_similar(rows, similarity=0.8):
+    """(id, component) by every pair of sets."""
+    sets = sorted({shingle_set(t) for _, t in rows}, key=sorted)
+    root = list(range(len(sets)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                root[top(i)] = top(j)
+    at = {s: top(i) for i, s in enumerate(sets)}
+    ids = {}
+    for i, t in rows:
+        ids.setdefault(at[shingle_set(t)], []).append(i)
+    least = {k: min((i for i in v if i is not None), default=None) for k, v in ids.items()}
+    return Counter((i, least[at[shingle_set(t)]]) for i, t in rows)
+
+
+def families(rng, n):
+    """Texts of a template with few or many words changed, so that near ones fail and far ones pass at 0.8."""
+    rows = []
+    for _ in range(n):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((60, 150, 400)))]
+        for changes in (0, 1, 2, 3, 4, 5, 6, 7):
+            words = base.copy()
+            for at in rng.sample(range(len(base)), changes * len(base) // 150):
+                words[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+def components(found):
+    return Counter((r.doc_id, r.component) for r in found.collect())
+
+
+def hide_behind_nearest(rng):
+    """A text x, one y that is near by fingerprint and unlike, and a like z farther away, with one chance to be seen."""
+    bits = lambda t: simhash_gray.majority(simhash_gray.shingle_hasher(5)(t)) % 2**64
+    like = lambda a, b: len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a) | shingle_set(b))
+    while True:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        changed = []
+        for n in (3, 7):
+            words = base.copy()
+            for at in rng.sample(range(150), n):
+                words[at] = f"x{rng.randrange(10**6)}"
+            changed.append(" ".join(words))
+        x, (z, y) = " ".join(base), changed
+        if like(x, z) >= 0.8 > max(like(x, y), like(y, z)) and bits(x) ^ bits(y) and (bits(x) ^ bits(y)).bit_count() < (bits(x) ^ bits(z)).bit_count() <= 10:
+            return x, y, z
+
+
+def test_a_rejected_nearest_one_hides_nothing(frame):
+    rng = random.Random(11)
+    rows = [(i, t) for i, t in enumerate(t for _ in range(40) for t in hide_behind_nearest(rng))]
+    assert components(simhash_gray.similar_documents(frame(rows))) == brute_similar(rows)
+
+
 def brute_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
