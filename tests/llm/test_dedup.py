@@ -178,6 +178,15 @@ def test_a_rejected_nearest_one_hides_nothing(frame):
     assert components(simhash_gray.similar_documents(frame(rows))) == brute_similar(rows)
 
 
+def test_similar_documents_equal_brute_force_for_any_node_size(frame, odd_rows):
+    rng = random.Random(12)
+    rows = families(rng, 25) + odd_rows[:-2]
+    want = brute_similar(rows)
+    for node_size, list_size in ((32_768, 4096), (16, 4)):  # small: nodes are divided, lists are dealt into chunks
+        found = simhash_gray.similar_documents(frame(rows), max_bits=10, node_size=node_size, list_size=list_size)
+        assert components(found) == want
+
+
 def brute_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
