@@ -1,5 +1,7 @@
+import itertools
 import random
 import re
+import threading
 from collections import Counter
 
 import numpy as np
@@ -69,6 +71,28 @@ def test_random_strings(frame, text, random_spans):
     assert sum(s.kind == "random" for s in row.secrets) == random_spans
 
 
+def test_identifiers_are_told_in_one_pass(spark, frame):
+    slug = "com/towards-data-science/the-complete-guide-to-time-series-analysis-and-forecasting-with-many-more-words-behind-it-and-a-hash-70d476bfe775"
+    texts = [slug, "v1" + "-" * 4000 + "x1Y2z3", "abcdefghij" * 20 + "1x2", "Ab" * 2000 + "1x2", "a_" * 3000 + "x1Y2z3"]
+    timer = threading.Timer(90, spark.sparkContext.cancelAllJobs)  # a rule that backtracks does not end
+    timer.start()
+    try:
+        rows = secret_scan.secret_scan(frame(list(enumerate(texts)))).collect()
+    finally:
+        timer.cancel()
+    assert len(rows) == len(texts) and not next(r for r in rows if r.doc_id == 0).secrets
+
+
+def test_identifiers_are_the_same_strings():
+    part = r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
+    plain = re.compile(rf"(?:{part}{{1,2}}|(?:[A-Z]?[a-z]{{2,}}|[A-Z]{{2,}})+[0-9]*)(?:[_/=+-]+{part}{{0,2}})*")
+    quick = re.compile(secret_scan.IDENTIFIER)
+    rng = random.Random(8)
+    texts = ["".join(t) for n in range(1, 8) for t in itertools.product("aB1-", repeat=n)]
+    texts += ["".join(rng.choice("abAB12_/=") for _ in range(rng.randint(8, 14))) for _ in range(50_000)]
+    assert all(bool(plain.fullmatch(t)) == bool(quick.fullmatch(t)) for t in texts)
+
+
 def test_secret_scan_of_odd_rows(frame, odd_rows):
     assert secret_scan.secret_scan(frame(odd_rows)).count() == len(odd_rows)
     assert secret_scan.secret_scan(frame([])).count() == 0

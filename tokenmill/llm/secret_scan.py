@@ -20,6 +20,12 @@ HEX = r"[0-9a-f]{24,}"
 DIGEST_DIGITS = (32, 40, 56, 64, 96, 128)
 PRESPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# identifiers: parts (a word, a number, or a word with a number behind it) between separators, the first one may be
+# more words; possessive throughout, and what a part takes first is never too much, so a match is one pass
+PART = r"(?:[A-Z]?+[a-z]++|[A-Z]++|[0-9]++)"
+WORDS = r"(?:[A-Z]*+[a-z]{2,}+|[A-Z]{2,}+)++[0-9]*+"
+IDENTIFIER = rf"(?:{PART}{{1,2}}+(?![A-Za-z0-9])|{WORDS})(?:[_/=+-]++{PART}{{0,2}}+)*+"
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
@@ -59,9 +65,7 @@ def secret_scan(
         run = re.compile(rf"[A-Za-z0-9+/_=-]{{{min_length},}}")
         digest = re.compile("|".join(rf"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in digests))
         uuid = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
-        # parts that are a word, a number, or a word with a number behind it
-        part = r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
-        identifier = re.compile(rf"(?:{part}{{1,2}}|(?:[A-Z]?[a-z]{{2,}}|[A-Z]{{2,}})+[0-9]*)(?:[_/=+-]+{part}{{0,2}})*")
+        identifier = re.compile(IDENTIFIER)
 
         def is_random(text: str) -> bool:
             if not any(c.isdigit() for c in text) or not any(c.isalpha() for c in text):
