@@ -187,6 +187,13 @@ def test_similar_documents_equal_brute_force_for_any_node_size(frame, odd_rows):
         assert components(found) == want
 
 
+def test_one_fingerprint_is_not_one_text(frame):
+    texts = ["a " * 100 + " ".join(f"{salt}{i}" for i in range(20)) for salt in "bcc"]
+    rows = list(enumerate(texts))
+    assert len({r.fp for r in simhash_gray.fingerprints(frame(rows), 5).collect()}) == 1
+    assert components(simhash_gray.similar_documents(frame(rows))) == Counter([(0, 0), (1, 1), (2, 1)])
+
+
 def brute_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
