@@ -173,10 +173,97 @@ select pair_id, part, turn, role, head || text || '<|im_end|>' || chr(10) as ren
 from made
 """
 
+DIVERGENCE = r"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+),
+words as (select row, lang, source, unnest(terms) as term from docs),
+kept as materialized (
+  select lang, term, count(*) as all_n from words group by lang, term having count(distinct row) >= 3
+),
+counted as materialized (select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all),
+lang_size as (select lang, count(*) as terms, sum(all_n) as lang_total from kept group by lang),
+groups as (
+  select lang, source, coalesce(any_value(total), 0) as total
+  from (select distinct lang, source from docs) left join (
+    select lang, source, sum(n) as total from counted group by lang, source) using (lang, source)
+  group by lang, source
+),
+priced as materialized (
+  select lang, source, term, n, all_n, 1 + (1000000000::hugeint * (coalesce(n, 0) + 1)) // (total + terms) as p,
+    1 + (1000000000::hugeint * (all_n + 1)) // (lang_total + terms) as q
+  from groups join lang_size using (lang) join kept using (lang) left join counted using (lang, source, term)
+),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join priced x on x.lang = a.lang and x.source = a.source
+  left join priced y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  where x.term is null or y.term is not null
+  group by a.lang, a.source, b.source
+),
+every as (
+  select lang, source, 'pair' as part, item, value from pairs
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from priced where n > 0 and p > q
+)
+select * from (
+  select lang, source, part, item, value,
+    (row_number() over (partition by lang, source, part order by value desc, item))::integer as rank from every
+) where part = 'pair' or rank <= 200
+"""
+
+
+def rounds(n: int) -> str:
+    """Assignment to the nearest entry and the moved codebook, ``n`` times; the last assignment is ``near{n}``."""
+    made = []
+    for i in range(n + 1):
+        made.append(f"""near{i} as materialized (
+  select r, p, struct_extract(best, 'd') as d, struct_extract(best, 'e') as e from (
+    select r, p, min(struct_pack(d := list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), e := e)) as best
+    from parts join book{i} using (p) group by r, p))""")
+        if i < n:
+            made.append(f"""sums{i} as (
+  select p, e, i, sum(x[i]::hugeint) as s, count(*) as k
+  from near{i} join parts using (r, p), range(1, len(x) + 1) as t(i) group by p, e, i
+),
+means{i} as (select p, e, list(((s - (s % k + k) % k) // k)::double order by i) as c from sums{i} group by p, e),
+book{i + 1} as materialized (select p, e, coalesce(m.c, b.c) as c from book{i} b left join means{i} m using (p, e))""")
+    return ",\n".join(made)
+
+
+VECTOR_CODES = f"""
+with kept as materialized (
+  select vec_id, label, row_number() over (order by vec_id) - 1 as r,
+    list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+),
+parts as materialized (
+  select r, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] as x from kept, range(4) as t(p)
+),
+book0 as materialized (select p, r as e, x as c from parts where r < 256),
+{rounds(4)},
+coded as (
+  select r, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from near4 group by r
+),
+entries as (
+  select sha256(string_agg(c[i]::bigint::varchar, ',' order by p, e, i)) as codebooks_sha256
+  from book4, range(1, len(c) + 1) as t(i)
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from kept join coded using (r), entries
+"""
+
 ORACLES = {
     "op5_decontaminate": DECONTAMINATE,
     "op3_url_rules": URL_RULES,
     "op8_poisson_mix": POISSON_MIX,
     "op9_preference_format": PREFERENCE,
     "op1_license_scan": LICENSE,
+    "op12_source_divergence": DIVERGENCE,
+    "op13_vector_codes": VECTOR_CODES,
 }

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.llm.bwt_dedup import remove_repeats
 from tokenmill.llm.common import table
 from tokenmill.llm.decontaminate import benchmark_overlap
+from tokenmill.llm.divergence import source_divergence
 from tokenmill.llm.fertility import token_quality
 from tokenmill.llm.language_id import identify
 from tokenmill.llm.license_scan import license_scan
+from tokenmill.llm.pieces import decode_ids, encode_texts
 from tokenmill.llm.poisson_mix import poisson_mix
 from tokenmill.llm.preference import preference_rows, swapped_replies
 from tokenmill.llm.secret_scan import KINDS, secret_scan
 from tokenmill.llm.simhash_gray import near_duplicates
 from tokenmill.llm.url_rules import judge_urls
+from tokenmill.llm.vector_codes import vector_codes
+from tokenmill.session import cut_lineage
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +124,32 @@ def op10_bwt_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_piece_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_texts(table(spark, folder, "documents"))
+    spelled = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    named = coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"), "ids")
+    decoded = decode_ids(named, keep=("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found, books = vector_codes(table(spark, folder, "embeddings"), keep=("label",))
+    found = cut_lineage(found)
+    totals = cut_lineage(found.groupBy("label").agg(F.sum("error").alias("label_error")))
+    entries = ",".join(str(value) for book in books for entry in book.tolist() for value in entry)
+    return found.join(totals, found["label"].eqNullSafe(totals["label"])).select(
+        "vec_id",
+        F.array_join(F.transform("code", lambda e: F.lower(F.lpad(F.hex(e), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(entries.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_fertility": op2_token_fertility,
@@ -129,4 +161,7 @@ QUERIES = {
     "op8_poisson_mix": op8_poisson_mix,
     "op9_preference_format": op9_preference_format,
     "op10_bwt_dedup": op10_bwt_dedup,
+    "op11_piece_codes": op11_piece_codes,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_vector_codes": op13_vector_codes,
 }
