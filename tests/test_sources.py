@@ -45,11 +45,17 @@ def test_packed_records_round_trip(spark, docs, tmp_path, scheme):
         assert back.exceptAll(blocks).count() == 0 and back.count() == blocks.count()
 
 
+def _tokens(part):
+    """A part's tokens; parts of single records share a file."""
+    path, count = part.path.removeprefix("file://"), part.records * part.record_tokens
+    return np.fromfile(path, "<u2", count, offset=2 * part.first_token)
+
+
 def test_flat_export_is_the_token_stream(spark, docs, tmp_path):
     store = corpus.token_store(docs, ByteTokenizer())
     writers.export_blocks(store, f"{tmp_path}/flat", 64, blocks_per_file=1000, overlap=False)
     parts = spark.read.parquet(f"{tmp_path}/flat/manifest").where("split = 'train'").orderBy("first_block").collect()
-    stream = np.concatenate([np.fromfile(p.path.removeprefix("file://"), "<u2") for p in parts])
+    stream = np.concatenate([_tokens(p) for p in parts])
     rows = store.where("split = 'train'").orderBy("tok_start").select("tokens").collect()
     whole = np.concatenate([r.tokens for r in rows])
     assert np.array_equal(stream, whole)
@@ -60,7 +66,7 @@ def test_a_short_flat_stream_loses_nothing(spark, tmp_path):
         rows = [("train", list(range(n)), n, 0)]
         store = spark.createDataFrame(rows, "split string, tokens array<int>, n_tokens bigint, tok_start bigint")
         parts = writers.export_blocks(store, f"{tmp_path}/f{n}", 8, blocks_per_file=3, overlap=False)
-        read = [np.fromfile(p.path.removeprefix("file://"), "<u2") for p in parts.orderBy("first_block").collect()]
+        read = [_tokens(p) for p in parts.orderBy("first_block").collect()]
         assert np.concatenate(read).tolist() == list(range(n))
 
 

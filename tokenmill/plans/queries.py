@@ -86,13 +86,14 @@ def _block_digests(blocks: DataFrame) -> DataFrame:
 
 @query
 def pack_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return _block_digests(corpus.pack_blocks(_store(spark, folder), bindings.BLOCK))
+    records = corpus.block_records(readers.documents(spark, folder), BYTES, bindings.BLOCK)
+    return _block_digests(records.select("split", "block_id", *corpus.inputs_and_targets(F.col("record"))))
 
 
 @query
 def packed_export(spark: SparkSession, folder: str) -> DataFrame:
     target = fresh_path(spark, "packed")
-    writers.export_blocks(_store(spark, folder), target, bindings.BLOCK, blocks_per_file=4096)
+    writers.export_corpus(readers.documents(spark, folder), BYTES, target, bindings.BLOCK)
     return _block_digests(readers.packed_blocks(spark, target))
 
 

@@ -18,4 +18,4 @@ CLOZE_ITEMS = "item_id BIGINT, sentence STRING, option1 STRING, option2 STRING,
 METRIC_LOG = "run BIGINT, step BIGINT, metric STRING, value DOUBLE, logged_at TIMESTAMP_NTZ"
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 RESULTS = ", ".join(f"{name} DOUBLE" for name in RESULT_METRICS)
-PACKED_PARTS = "split STRING, path STRING, first_block BIGINT, records BIGINT, record_tokens INT"
+PACKED_PARTS = "split STRING, path STRING, first_block BIGINT, records BIGINT, record_tokens INT, first_token BIGINT"

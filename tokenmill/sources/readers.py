@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill import constants as C
 from tokenmill import schemas
 from tokenmill.functions.tokenizers import parse_ranks
-from tokenmill.sources.files import filesystem
+from tokenmill.operators.corpus import inputs_and_targets
+from tokenmill.sources import packed
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -94,44 +91,9 @@ def rank_table(spark: SparkSession, path: str) -> dict[bytes, int]:
     return parse_ranks(row["value"] for row in lines)
 
 
-READ_BYTES = 16 << 20
-
-
-def packed_blocks(spark: SparkSession, folder: str, read_bytes: int = READ_BYTES) -> DataFrame:
-    """(split, block_id, x, y) from exported records.
-
-    The list of part files is cut into ranges of records; each task seeks to its ranges.
-    """
-    parts = spark.read.schema(schemas.PACKED_PARTS).parquet(f"{folder}/manifest").where("records > 0")
-    per_read = F.greatest(F.lit(1), F.expr(f"{read_bytes} div (2 * record_tokens)"))
-    ranges = parts.withColumn("per_read", per_read).withColumn(
-        "skip", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.col("per_read")))
-    )
-    ranges = ranges.withColumn("take", F.least(F.col("per_read"), F.col("records") - F.col("skip")))
-    spread = ranges.repartition(max(ranges.count(), 1))  # by number: rows are few and short, their work is not
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in batch.to_pylist():
-                width = part["record_tokens"]
-                files, path = filesystem(part["path"])
-                with files.open_input_file(path) as source:
-                    raw = source.read_at(2 * width * part["take"], 2 * width * part["skip"])
-                tokens = np.frombuffer(raw, "<u2").astype("int32").reshape(part["take"], width)
-                first = part["first_block"] + part["skip"]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part["split"]] * part["take"]),
-                        pa.array(np.arange(first, first + part["take"], dtype="int64")),
-                        _lists(tokens[:, :-1]),
-                        _lists(tokens[:, 1:]),
-                    ],
-                    ["split", "block_id", "x", "y"],
-                )
-
-    return spread.mapInArrow(read, "split STRING, block_id BIGINT, x ARRAY<INT>, y ARRAY<INT>")
-
-
-def _lists(rows: np.ndarray) -> pa.ListArray:
-    count, width = rows.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(count + 1, dtype="int32") * width), pa.array(rows.ravel()))
+def packed_blocks(
+    spark: SparkSession, folder: str, read_bytes: int = packed.READ_BYTES, split: str | None = None
+) -> DataFrame:
+    """(split, block_id, x, y) from exported records; a task reads about ``read_bytes`` of the part files."""
+    records = packed.read_records(spark, folder, split, read_bytes)
+    return records.select("split", "block_id", *inputs_and_targets(F.col("record")))

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill import constants as C
-from tokenmill import schemas
 from tokenmill.operators import sampling
-from tokenmill.operators.corpus import flat_records, pack_blocks
+from tokenmill.operators.corpus import block_records, flat_records, pack_blocks
 from tokenmill.operators.ordering import SHUFFLE_KEY_LIMIT
-from tokenmill.sources.files import filesystem, is_complete, qualified
+from tokenmill.sources import packed
+from tokenmill.sources.files import is_complete
 
 
 #: Examples in one JSON file, some 100 MB of tokens as text.
@@ -77,64 +74,19 @@ def export_blocks(
 
     A record is a block and, with ``overlap``, the next token, so that it stands alone. Without
     it the parts of a split in block order are its flat token stream, whole: a last record may be
-    shorter and is a part of its own. Each task attempt writes files of its own; the part list names
-    those of the attempts that were committed.
+    shorter and is a part of its own. See ``export_corpus`` where the documents are at hand.
     """
-    folder = qualified(store.sparkSession, folder)
     order = ["split", "file", "block_id"]
     if overlap:
         blocks = pack_blocks(store, block_size, blocks_per_file)
         records = blocks.select(*order, F.concat("x", F.slice("y", -1, 1)).alias("record"))
     else:
         records = flat_records(store, block_size, blocks_per_file)
-    placed = records.sortWithinPartitions(*order)
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        attempt, target, current, done = uuid.uuid4().hex, None, None, []
-        try:
-            for batch in batches:
-                splits, numbers, ids = (batch.column(i).to_pylist() for i in range(3))
-                widths = batch.column(3).value_lengths().to_pylist()
-                tokens = batch.column(3).flatten().to_numpy()
-                if tokens.size and not 0 <= tokens.min() <= tokens.max() <= C.MAX_TOKEN_ID:
-                    raise ValueError("token id does not fit 16 bits")
-                tokens, at = tokens.astype("<u2"), 0
-                for begin, end in _stretches(splits, numbers, widths):
-                    part = splits[begin], numbers[begin], widths[begin]
-                    if part != current:
-                        if target is not None:
-                            target.close()
-                        current = part
-                        path = f"{folder}/{part[0]}-{part[1]:08d}-{part[2]}-{attempt}.bin"
-                        target = _open(path)
-                        done.append([part[0], path, ids[begin], 0, part[2]])
-                    size = (end - begin) * part[2]
-                    target.write(tokens[at : at + size].tobytes())
-                    at += size
-                    done[-1][3] += end - begin
-        finally:
-            if target is not None:
-                target.close()
-        if done:
-            columns = [pa.array(column) for column in zip(*done, strict=True)]
-            columns[4] = columns[4].cast(pa.int32())
-            yield pa.RecordBatch.from_arrays(columns, ["split", "path", "first_block", "records", "record_tokens"])
-
-    placed.mapInArrow(write, schemas.PACKED_PARTS).write.mode("overwrite").parquet(f"{folder}/manifest")
-    return store.sparkSession.read.schema(schemas.PACKED_PARTS).parquet(f"{folder}/manifest")
-
-
-def _stretches(*columns: list) -> Iterator[tuple[int, int]]:
-    """Begin and end of each run of rows that agree in all columns."""
-    begin = 0
-    rows = list(zip(*columns, strict=True))
-    for row in range(1, len(rows) + 1):
-        if row == len(rows) or rows[row] != rows[begin]:
-            yield begin, row
-            begin = row
-
-
-def _open(path: str) -> pa.NativeFile:
-    store, inner = filesystem(path)
-    store.create_dir(inner.rsplit("/", 1)[0])
-    return store.open_output_stream(inner)
+    packed.write_records(records.sortWithinPartitions(*order), folder)
+    return packed.parts(store.sparkSession, folder)
+
+
+def export_corpus(docs: DataFrame, tokenizer, folder: str, block_size: int, overlap: bool = True, **options) -> DataFrame:
+    """As ``export_blocks`` from documents, with one shuffle of texts; a file holds the blocks of one segment."""
+    packed.write_records(block_records(docs, tokenizer, block_size, 1 if overlap else 0, **options), folder)
+    return packed.parts(docs.sparkSession, folder)
