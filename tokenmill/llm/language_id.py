@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.llm.common import map_texts
+from tokenmill.session import cut_lineage
 
 GRAMS = (2, 3, 4)
+#: Characters of a text that are looked at at once.
+PORTION = 1 << 20
 #: Odd multipliers of a gram's places; any would do, but a model belongs to its own.
 PLACES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and rates of training. The sample is bounded; everything is learned from it."""
+    """Bounds and rates of training. The sample is bounded; everything is learned from it.
+
+    ``max_documents`` rows, or one of each language where there are more; of a text longer than
+    ``max_chars`` one stretch of that length, at a hashed place.
+    """
 
     max_documents: int = 3000
-    max_languages: int = 200
-    max_bytes: int = 30_000
+    max_chars: int = 30_000
     stretch: int = 400
     stretches: int = 4
     bucket_bits: int = 15
@@ -71,11 +78,28 @@ def gram_buckets(text: str, letters: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(found).astype(np.int64)
 
 
-def logits_of(buckets: np.ndarray, scores: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    total = np.zeros(scores.shape[1])
-    for at in range(0, len(buckets), 1 << 16):
-        total += scores[buckets[at : at + (1 << 16)]].sum(axis=0, dtype=np.float64)
-    return total / max(len(buckets), 1) + bias
+def logits_of(portions: Iterable[np.ndarray], scores: np.ndarray, bias: np.ndarray) -> np.ndarray | None:
+    """Mean score of all buckets of a text's portions; None without any."""
+    total, n = np.zeros(scores.shape[1]), 0
+    for buckets in portions:
+        n += len(buckets)
+        for at in range(0, len(buckets), 1 << 16):
+            total += scores[buckets[at : at + (1 << 16)]].sum(axis=0, dtype=np.float64)
+    return total / n + bias if n else None
+
+
+def portions(text: str, letters: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """``gram_buckets`` of a whole text, a long one cut between words; a word longer than a portion is cut with an overlap."""
+    at, longest = 0, max(GRAMS)
+    while at < len(text):
+        end = min(at + PORTION, len(text))
+        if end < len(text):
+            cut = next((k for k in range(end, max(at, end - PORTION // 2), -1) if not text[k - 1].isalpha()), None)
+            yield gram_buckets(text[at : cut or end], letters, bits)
+            at = cut or end - longest + 1
+        else:
+            yield gram_buckets(text[at:end], letters, bits)
+            return
 
 
 def softmax(values: np.ndarray) -> np.ndarray:
@@ -118,9 +142,9 @@ def fit(rows: list[tuple[str, str]], how: Training = Training()) -> Model:
     scores = embedding @ output
     values, truth = [], []
     for text, label in tuning:
-        buckets = gram_buckets(text, letters, how.bucket_bits)
-        if len(buckets):
-            values.append(logits_of(buckets, scores, bias))
+        logits = logits_of(portions(text, letters, how.bucket_bits), scores, bias)
+        if logits is not None:
+            values.append(logits)
             truth.append(label)
     temperature, threshold = 1.0, 0.0
     if values:
@@ -144,34 +168,27 @@ def training_rows(
 ) -> list[tuple[str, str]]:
     """At most ``max_documents`` labelled rows outside the held-out part, as many of each language as there are, up to its share.
 
-    Which ones is told by a hash of id and text. Languages are those with the most rows, up to
-    ``max_languages``; texts above ``max_bytes`` are not learned from.
+    Which ones is told by a hash of id and text: a hashed draw thins the rows to about that share, ranks within a
+    language cut it exactly, however often one row is repeated.
     """
-    fit_for = (
-        docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-        .where(F.octet_length(text_col).between(1, how.max_bytes))
-        .select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    fit_for = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+    fit_for = fit_for.where(F.length(text_col) > 0).select(
+        F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    counts = fit_for.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(how.max_languages).collect()
-    if not counts:
+    counts = cut_lineage(fit_for.groupBy("lang").agg(F.count("*").alias("n")))
+    languages = counts.count()
+    if not languages:
         return []
-    quota = max(1, how.max_documents // len(counts))
-    chance = F.lit(None).cast("double")
-    for row in counts:  # one branch per language, at most ``max_languages``
-        share = min(1.0, (quota + 4 * quota**0.5) / row["count"])
-        chance = F.when(F.col("lang") == row["lang"], F.lit(share)).otherwise(chance)
+    quota = max(1, how.max_documents // languages)
+    chance = F.least(F.lit(1.0), F.lit(quota + 4 * quota**0.5) / F.col("n"))
     draw = F.pmod(F.xxhash64("i", "text"), F.lit(1 << 40))
-    drawn = (
-        fit_for.withColumn("draw", draw).where(F.col("draw") < chance * float(1 << 40)).select("lang", "draw", "i", "text")
-    )
-    rows = sorted(drawn.collect(), key=lambda r: (r["draw"], r["i"], r["lang"]))
-    taken: dict[str, int] = {}
-    chosen = []
-    for row in rows:
-        if taken.get(row["lang"], 0) < quota:
-            taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-            chosen.append((row["text"], row["lang"]))
-    return chosen
+    drawn = fit_for.withColumn("draw", draw).join(counts, "lang").where(F.col("draw") < chance * float(1 << 40))
+    spare = F.greatest(F.length("text") - how.max_chars, F.lit(0))
+    place = (1 + F.pmod(F.xxhash64("text"), spare.cast("bigint") + 1)).cast("int")
+    drawn = drawn.select("lang", "draw", "i", F.substring("text", place, F.lit(how.max_chars)).alias("text"))
+    order = Window.partitionBy("lang").orderBy("draw", "i", "text")
+    rows = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= quota).collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["draw"], r["i"], r["lang"]))]
 
 
 def identify(
@@ -186,7 +203,7 @@ def identify(
     The model is fitted on the driver from ``training_rows``: the one bounded sample, and with it the
     memory of training. Held-out rows (crc32 of the id as text, modulo 4, is 2) are never
     learned from; language, source and id are no inputs of a prediction. Each whole text is
-    scored in tasks. ``score`` is the calibrated probability of the predicted language (a
+    scored in tasks, a long one in portions. ``score`` is the calibrated probability of the predicted language (a
     temperature fitted on training rows that the weights have not seen); ``rejected`` marks a score under
     the one that all but 0.5 % of right predictions among those rows reach.
 
@@ -195,20 +212,24 @@ def identify(
     stay; other columns are not read.
     """
     rows = training_rows(docs, how, id_col, text_col, lang_col)
-    model = docs.sparkSession.sparkContext.broadcast(fit(rows, how) if rows else None)
+    # plain values, so workers need not have this package to read them
+    made = fit(rows, how) if rows else None
+    plain = (made.languages, made.scores, made.bias, made.temperature, made.threshold) if made else None
+    model = docs.sparkSession.sparkContext.broadcast((letter_table(), plain))
     bits = how.bucket_bits
 
     def setup():
-        letters, known = letter_table(), model.value
+        letters, known = model.value
 
         def predict(text: str) -> tuple:
-            buckets = gram_buckets(text, letters, bits) if known else ()
-            if not len(buckets):
+            logits = logits_of(portions(text, letters, bits), known[1], known[2]) if known else None
+            if logits is None:
                 return "und", 0.0, True
-            shares = softmax(logits_of(buckets, known.scores, known.bias) / known.temperature)
+            languages, _, _, temperature, threshold = known
+            shares = softmax(logits / temperature)
             best = int(shares.argmax())
             score = min(1.0, float(shares[best]))
-            return known.languages[best], score, score < known.threshold
+            return languages[best], score, score < threshold
 
         return predict
 

@@ -32,7 +32,8 @@ TEMPLATES = [
 ]
 
 CONTAINMENT = Fraction(4, 5)
-BLOCK_LINES = 3
+#: A block is so many times as long as its template, in words.
+STRETCH = 2
 
 
 def tokens_of(text: str) -> frozenset[bytes]:
@@ -75,21 +76,22 @@ def license_scan(
     docs: DataFrame,
     templates: list[tuple[str, str]] = TEMPLATES,
     threshold: Fraction = CONTAINMENT,
-    block_lines: int = BLOCK_LINES,
+    stretch: int = STRETCH,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``id_col``, ``n_words``, ``places``: (label, word) of every phrase, ``blocks``: (label, line, lines, containment).
+    """``id_col``, ``n_words``, ``places``: (label, word) of every phrase, ``blocks``: (label, word, words, containment).
 
-    Blocks are all runs of 1 to ``block_lines`` consecutive \\n-lines. A block is reported for a
-    template if it holds at least ``threshold`` of the template's distinct words; of the runs that
-    report a template from one first line the shortest is kept.
+    Blocks are all runs of ``stretch`` times as many consecutive words as the template has, however they are divided
+    into lines; at the end of a text they are shorter. A block is found if it holds at least ``threshold`` of the template's distinct
+    words. Reported are those that begin with one of these words: ``words`` until enough are together, and
+    the ``containment`` of the whole block.
 
     First pass: how many documents hold each template word (all documents, summed in tasks), which
-    gives the global order, rarest first. Second pass: a text is looked into only where a line
-    holds one of a template's prefix words; then the length filter (a block with fewer distinct
-    words than needed can't match), the positional filter (what is left behind the matched
-    position can't reach the need) and the exact count. Templates are a short list given by the
+    gives the global order, rarest first. Second pass: a text is looked into only for templates of which it
+    holds one of the rarest words, the prefix; then the length filter (it needs as many distinct words of the template as a block), the positional
+    filter (words of the template behind the first one that it holds must reach the need) and the exact count in
+    windows that move over the places of the template's words. Templates are a short list given by the
     caller, and only they and their counts reach the driver. No shuffle of texts.
 
     Null and empty texts have no words and no places. Rows with equal ids each keep a result;
@@ -99,36 +101,43 @@ def license_scan(
     counts = token_frequencies(docs, vocabulary, text_col).collect()  # one row per template word at most
     order = {row["token"].encode(): row["n_docs"] for row in counts}
     ranked, index = prefix_index(templates, order, threshold)
+    lengths = [len(re.findall(ALNUM_WORD, text.encode().lower())) for _, text in templates]
     phrases = [(phrase.encode().split(), label) for phrase, label in PHRASES.items()]
 
     def setup():
         word = re.compile(ALNUM_WORD)
-        rank = {t: i for i, t in enumerate(sorted(vocabulary, key=lambda t: (order.get(t, 0), t)))}
-        probes = frozenset(index)
+        wanted = frozenset(vocabulary)
         endings = {}
         for phrase, label in phrases:
             endings.setdefault(phrase[-1], []).append((phrase, label))
 
-        def matches(lines: list[frozenset], first: int) -> dict[int, tuple[int, float]]:
-            """Template -> (number of lines, containment) of blocks that start at line ``first``."""
-            found, seen = {}, set()
-            for extra in range(min(block_lines, len(lines) - first)):
-                seen |= lines[first + extra]
-                block = sorted(seen & rank.keys(), key=rank.__getitem__)
-                place = {t: j for j, t in enumerate(block)}
-                tried = set()
-                for j, token in enumerate(block):
-                    for number, i in index.get(token, ()):
-                        label, tokens, need = ranked[number]
-                        if number in found or number in tried or len(seen) < need:
-                            continue
-                        tried.add(number)  # the first shared prefix word decides: none is shared before it
-                        if 1 + min(len(tokens) - i - 1, len(block) - j - 1) < need:
-                            continue
-                        shared = sum(t in place for t in tokens)
-                        if shared >= need:
-                            found[number] = (extra + 1, shared / len(tokens))
-            return found
+        def found_in(places: dict[bytes, list[int]]) -> list[dict]:
+            """Blocks of all templates in a text with these places of template words."""
+            blocks = []
+            held = sorted({number for token in places.keys() & index.keys() for number, _ in index[token]})
+            for number in held:
+                label, tokens, need = ranked[number]
+                there = [i for i, token in enumerate(tokens) if token in places]
+                if len(there) < need or len(tokens) - there[0] < need:
+                    continue
+                hits = sorted((at, i) for i in there for at in places[tokens[i]])
+                counts, distinct, end, size = [0] * len(tokens), 0, 0, stretch * lengths[number]
+                for begin, (at, token) in enumerate(hits):
+                    while end < len(hits) and hits[end][0] < at + size:
+                        distinct += counts[hits[end][1]] == 0
+                        counts[hits[end][1]] += 1
+                        end += 1
+                    if distinct >= need:
+                        seen, reach = set(), at
+                        for place, i in hits[begin:end]:
+                            seen.add(i)
+                            if len(seen) >= need:
+                                reach = place
+                                break
+                        blocks.append({"label": label, "word": at, "words": reach - at + 1, "containment": distinct / len(tokens)})
+                    counts[token] -= 1
+                    distinct -= counts[token] == 0
+            return blocks
 
         def scan(text: str) -> tuple:
             data = text.encode().lower()
@@ -143,19 +152,18 @@ def license_scan(
                         first = at - len(phrase) + 1
                         if first >= 0 and words[first : at + 1] == phrase:
                             places.append({"label": label, "word": first})
-            if not probes.isdisjoint(held):
-                lines = [frozenset(word.findall(line)) for line in data.split(b"\n")]
-                hits = [k for k, line in enumerate(lines) if not probes.isdisjoint(line)]
-                starts = sorted({s for k in hits for s in range(max(0, k - block_lines + 1), k + 1)})
-                for start in starts:
-                    for number, (n, share) in sorted(matches(lines, start).items()):
-                        blocks.append({"label": ranked[number][0], "line": start, "lines": n, "containment": share})
+            if not index.keys().isdisjoint(held):
+                at_words: dict[bytes, list[int]] = {}
+                for k, w in enumerate(words):
+                    if w in wanted:
+                        at_words.setdefault(w, []).append(k)
+                blocks = found_in(at_words)
             return len(words), sorted(places, key=lambda p: (p["word"], p["label"])), blocks
 
         return scan
 
     fields = (
         "n_words bigint, places array<struct<label:string,word:bigint>>, "
-        "blocks array<struct<label:string,line:bigint,lines:bigint,containment:double>>"
+        "blocks array<struct<label:string,word:bigint,words:bigint,containment:double>>"
     )
     return map_texts(docs, id_col, text_col, fields, setup)

@@ -1,6 +1,6 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-from tokenmill.llm.license_scan import BLOCK_LINES, CONTAINMENT, PHRASES, TEMPLATES
+from tokenmill.llm.license_scan import PHRASES, TEMPLATES
 
 WORDS = r"""regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -17,27 +17,25 @@ def quoted(text: str) -> str:
 LICENSE = f"""
 with phrases(phrase, label) as (values {", ".join(f"({quoted(p)}, {quoted(v)})" for p, v in PHRASES.items())}),
 templates as (
-  select label, list_distinct({words("notice")}) as tokens
+  select label, list_distinct({words("notice")}) as tokens, 2 * len({words("notice")}) as size
   from (values {", ".join(f"({quoted(v)}, {quoted(t)})" for v, t in TEMPLATES)}) as t(label, notice)
 ),
 docs as (
-  select doc_id, row_number() over () as row, {words("text")} as words,
-    list_transform(string_split(coalesce(text, ''), chr(10)), lambda line: {words("line")}) as lines
-  from documents
+  select doc_id, row_number() over () as row, {words("text")} as words from documents
 ),
 places as (
   select row, label, i - 1 as word
   from docs, phrases, range(1, len(words) + 1) as r(i)
   where words[i:i + len(string_split(phrase, ' ')) - 1] = string_split(phrase, ' ')
 ),
-runs as (
-  select distinct row, list_distinct(flatten(lines[i:i + n - 1])) as block
-  from docs, range(1, {BLOCK_LINES + 1}) as s(n), range(1, len(lines) - n + 2) as r(i)
+near as (
+  select row, label, words, tokens, size from docs, templates
+  where 5 * len(list_intersect(tokens, list_distinct(words))) >= 4 * len(tokens)
 ),
 hits as (
-  select row, label, len(list_intersect(tokens, block)) / len(tokens)::double as share
-  from runs, templates
-  where {CONTAINMENT.denominator} * len(list_intersect(tokens, block)) >= {CONTAINMENT.numerator} * len(tokens)
+  select row, label, len(list_intersect(tokens, words[i:i + size - 1])) / len(tokens)::double as share
+  from near, range(1, len(words) + 1) as r(i)
+  where list_contains(tokens, words[i]) and 5 * len(list_intersect(tokens, words[i:i + size - 1])) >= 4 * len(tokens)
 ),
 base as (
   select row, count(*) as n_base, min(word) as first_word, max(word) as last_word,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 
 from pyspark.sql import DataFrame
@@ -78,28 +77,19 @@ def secret_scan(
             found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if m.end(2) - m.start(2) >= 6]
             found += [(m.start(), 1, m.end()) for m in access.finditer(text)]
             found += [(m.start(), 2, m.end()) for m in hexa.finditer(text)]
+            # runs and base spans both in order of their ends: spans that end before a run are behind for good
+            base, at, more = sorted((end, start) for start, _, end in found), 0, []
+            first = [start for _, start in base]  # the least start of this span and all that end later
+            for k in range(len(first) - 2, -1, -1):
+                first[k] = min(first[k], first[k + 1])
             for m in run.finditer(text):
-                if all(m.end() <= start or end <= m.start() for start, _, end in found) and is_random(m.group()):
-                    found.append((m.start(), 3, m.end()))
+                while at < len(base) and base[at][0] <= m.start():
+                    at += 1
+                if (at == len(base) or first[at] >= m.end()) and is_random(m.group()):
+                    more.append((m.start(), 3, m.end()))
+            found += more
             return ([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(found)],)
 
         return spans
 
     return map_texts(docs, id_col, text_col, "secrets array<struct<kind:string,start:bigint,end:bigint>>", setup)
-
-
-def brute_force(text: str | None) -> list[tuple[str, int, int]]:
-    """Base spans by the patterns as they are worded, for tests."""
-    text, found = text or "", []
-    plain = {
-        "assign": (re.compile(ASSIGN, re.I | re.A), lambda m: len(m[2]) >= 6),
-        "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
-        "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
-    }
-    for k, (pattern, fits) in enumerate(plain.values()):
-        found += [(m.start(), k, m.end()) for m in pattern.finditer(text) if fits(m)]
-    return [(KINDS[k], s, e) for s, k, e in sorted(found)]
-
-
-def digest(spans: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
