@@ -83,3 +83,26 @@ def test_best_survives_a_restart_and_equals_batch(spark, tiny, tmp_path):
     flagged = metrics.best_checkpoints(log).where("is_best").drop("is_best", "is_saved")
     want = best.best_so_far(flagged)
     assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 50
+
+
+def _flags(rows):
+    return sorted(str((r.run, r.metric, r.step, r.value, r.is_best, r.is_saved)) for r in rows)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_flags_of_a_stream_equal_the_batch(spark, tiny, tmp_path, parts):
+    """Files in any order of steps, with resumed steps in later files, and a restart between files."""
+    log = bindings.resumed_log(bindings.events(spark, tiny))
+    odd = [(1, 3, "m", 2.0, 1), (1, 3, "m", None, 1), (1, 4, "m", float("nan"), 2), (1, 6, "m", 1.5, 3), (1, 2, "m", 0.5, 4)]
+    odd += [(1, 2, "m", 9.0, 9), (1, 8, "m", 1.0, 5), (None, 2, None, 1.0, 6), (None, 4, None, 1.0, 7), (None, 0, None, 1.0, None)]
+    extra = spark.createDataFrame(odd, "run bigint, step bigint, metric string, value double, t int")
+    extra = extra.selectExpr("run", "step", "metric", "value", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,t) as logged_at")
+    log = log.unionByName(extra)
+    source, target, state = (f"{tmp_path}/{n}" for n in ("in", "out", "state"))
+    rows = sorted(log.collect(), key=lambda r: hash((r.run, r.step, r.value)))
+    for k in range(parts):
+        spark.createDataFrame(rows[k::parts], log.schema).repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        best.track_flags(stream, target, state, eval_every=2)
+    want = metrics.best_checkpoints(log, eval_every=2).collect()
+    assert _flags(best.read_flags(spark, target).collect()) == _flags(want)

@@ -146,16 +146,43 @@ def block_records(
     shuffle; their documents are encoded again, the other ones once. A record has ``extra`` tokens of the next block;
     without any, every token is in one record and the last record of a split may be short.
     """
-    placed = _placed(docs, tokenizer, block_size, extra, fraction, docs_per_segment)
-    ordered = placed.where("n_tokens > 0 and first <= last").sortWithinPartitions("_group", SEGMENT, "doc_id")
-    # a window leaves a segment in one task and in this order; the sort is none, and gaps are noticed
-    inner = _encoded(ordered, tokenizer).select("split", SEGMENT, "tok_start", "first", "last", "tokens")
-    inner = inner.mapInArrow(partial(_cut_blocks, block_size, extra), "split STRING, block_id BIGINT, record ARRAY<INT>")
+    split = with_split(docs.select("doc_id", "text"), fraction)
+    placed = _placed(split, tokenizer, block_size, extra, docs_per_segment)
     pieces = _border_pieces(placed, tokenizer, block_size, extra)
     joined = pieces.groupBy("split", "block_id").agg(_joined().alias("record"))
     if extra:
         joined = joined.where(F.size("record") == block_size + extra)
-    return inner.unionByName(joined.sortWithinPartitions("split", "block_id"))
+    return _inner_blocks(placed, tokenizer, block_size, extra).unionByName(joined.sortWithinPartitions("split", "block_id"))
+
+
+def extend_blocks(
+    docs: DataFrame, tokenizer, block_size: int, start: int, tail_start: int, tail: list[int], docs_per_segment: int = DOCS_PER_SEGMENT
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents behind ``start`` tokens, of which ``tail`` (from ``tail_start`` on) is not in a whole block yet:
+    (doc_id, n_tokens, tok_start), (block_id, record) of the whole blocks, and the same of blocks that lack tokens.
+
+    Records have the next token, as in ``block_records``; the tail goes to its block as one more piece.
+    """
+    whole = docs.select("doc_id", "text", F.lit("all").alias("split"))
+    placed = _placed(whole, tokenizer, block_size, 1, docs_per_segment, start)
+    pieces = _border_pieces(placed, tokenizer, block_size, 1)
+    if tail:
+        kept = docs.sparkSession.createDataFrame(
+            [("all", tail_start // block_size, tail_start, tail)], "split STRING, block_id BIGINT, at BIGINT, part ARRAY<INT>"
+        )
+        pieces = pieces.unionByName(kept)
+    joined = cut_lineage(pieces.groupBy("block_id").agg(_joined().alias("record")))
+    full = F.size("record") == block_size + 1
+    inner = _inner_blocks(placed, tokenizer, block_size, 1).select("block_id", "record")
+    return placed.select("doc_id", "n_tokens", "tok_start"), inner.unionByName(joined.where(full)), joined.where(~full)
+
+
+def _inner_blocks(placed: DataFrame, tokenizer, block_size: int, extra: int) -> DataFrame:
+    """(split, block_id, record) of the blocks inside a segment, cut in its task."""
+    ordered = placed.where("n_tokens > 0 and first <= last").sortWithinPartitions("_group", SEGMENT, "doc_id")
+    # a window leaves a segment in one task and in this order; the sort is none, and gaps are noticed
+    inner = _encoded(ordered, tokenizer).select("split", SEGMENT, "tok_start", "first", "last", "tokens")
+    return inner.mapInArrow(partial(_cut_blocks, block_size, extra), "split STRING, block_id BIGINT, record ARRAY<INT>")
 
 
 def block_pieces(
@@ -167,13 +194,15 @@ def block_pieces(
     docs_per_segment: int = DOCS_PER_SEGMENT,
 ) -> DataFrame:
     """What ``block_records`` sends through its second shuffle: (split, block_id, at, part), a segment's share of a block in one row."""
-    return _border_pieces(_placed(docs, tokenizer, block_size, extra, fraction, docs_per_segment), tokenizer, block_size, extra)
+    split = with_split(docs.select("doc_id", "text"), fraction)
+    return _border_pieces(_placed(split, tokenizer, block_size, extra, docs_per_segment), tokenizer, block_size, extra)
 
 
-def _placed(docs: DataFrame, tokenizer, block_size: int, extra: int, fraction: float, docs_per_segment: int) -> DataFrame:
-    """Documents with their offsets, and the numbers of the first and last block that lie inside their segment."""
-    split = with_split(docs.select("doc_id", "text"), fraction)
+def _placed(split: DataFrame, tokenizer, block_size: int, extra: int, docs_per_segment: int, start: int = 0) -> DataFrame:
+    """Documents (doc_id, text, split) with their offsets from ``start`` on, and the first and last block that lie inside their segment."""
     placed = _with_offsets(split, tokenizer, docs_per_segment, keep_segments=True)
+    if start:
+        placed = placed.withColumns({c: F.col(c) + F.lit(start) for c in ("tok_start", "low", "high")})
     last = F.when(F.col("high") < block_size + extra, F.lit(-1)).otherwise(F.expr(f"(high - {block_size + extra}) div {block_size}"))
     return placed.withColumn("first", F.expr(f"(low + {block_size - 1}) div {block_size}")).withColumn("last", last)
 

@@ -68,27 +68,47 @@ def fit_bigram(docs: DataFrame, tokenizer) -> ScoreTable:
     floors = model.groupBy("prev").agg(F.first("n_prev").alias("n_prev")).select(
         "prev", _micro(F.lit(1.0) / (F.col("n_prev") + C.VOCAB_SIZE)).alias("floor_micro")
     )
+    floors = cut_lineage(floors)  # a table, so that a join may split it and no look-up groups again
     return ScoreTable.of_table(model, floors, round(-math.log(C.VOCAB_SIZE) * MICRO))
 
 
 def score_pairs(pairs: DataFrame, scores: ScoreTable) -> DataFrame:
     """Adds ``logprob_micro`` for (prev, next).
 
-    A score table within the checked size is broadcast. A larger one is shuffled; callers count
-    equal pairs together first (``n_pairs``), so a frequent pair is a few rows, and the join may
-    split what is left of it.
+    A score table within the checked size is broadcast. A larger one is shuffled by both tokens; callers count
+    equal pairs together first (``n_pairs``), so a frequent pair is a few rows. Floors beyond the size are
+    looked up by ``with_floors``.
     """
     known = scores.pairs.select("prev", "next", "logprob_micro")
     if scores.broadcast_pairs:
         found = pairs.join(F.broadcast(known), ["prev", "next"], "left")
     else:
         found = pairs.join(known, ["prev", "next"], "left")
-    floors = F.broadcast(scores.floors) if scores.broadcast_floors else scores.floors
-    floored = found.join(floors, "prev", "left")
+    if scores.broadcast_floors:
+        floored = found.join(F.broadcast(scores.floors), "prev", "left")
+    else:
+        floored = with_floors(found, scores.floors)
     score = F.coalesce("logprob_micro", "floor_micro", F.lit(scores.unseen_micro))
     return floored.withColumn("logprob_micro", score).drop("floor_micro")
 
 
+def with_floors(found: DataFrame, floors: DataFrame) -> DataFrame:
+    """Adds ``floor_micro`` by ``prev``, where the floors are too many to broadcast and some ``prev`` fill much of the rows.
+
+    A ``prev`` with more rows than a task's fair share is a heavy hitter; there are fewer of them than tasks, so only their floors
+    are broadcast and their rows stay where they are. The others are shuffled. Rows are written first: counting and
+    looking up read them twice.
+    """
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = cut_lineage(found)
+    counts = cut_lineage(found.where("prev is not null").groupBy("prev").agg(F.count(F.lit(1)).alias("n")))
+    share = -(-(counts.agg(F.sum("n")).first()[0] or 0) // tasks)
+    heavy = cut_lineage(floors.join(F.broadcast(counts.where(F.col("n") > share).select("prev")), "prev", "left_semi"))
+    named = F.broadcast(heavy.select("prev"))
+    stay = found.join(named, "prev", "left_semi").join(F.broadcast(heavy), "prev", "left")
+    return stay.unionByName(found.join(named, "prev", "left_anti").join(floors, "prev", "left"))
+
+
 def loglik_scores(coded: DataFrame, scores: ScoreTable, keys: list[str]) -> DataFrame:
     """(keys, score): summed log-probability of each continuation; 0 for an empty one."""
     padded = F.concat(F.array(F.lit(C.END_OF_TEXT)), F.col("tokens"))

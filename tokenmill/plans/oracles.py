@@ -344,6 +344,10 @@ from (select doc_id, list_append({_bytes('text')}, {EOT}) as tokens from documen
 
 _BLOCKS = f"with {STREAM} select split, block_id, {_digest('x')} as x_md5, {_digest('y')} as y_md5 from blocks"
 
+# the whole corpus as one stream
+_ONE_STREAM = f"""with {STREAM.replace("else 'val' end", "else 'train' end")}
+select block_id, {_digest('x')} as x_md5, {_digest('y')} as y_md5 from blocks"""
+
 _FLOOR = C.SCALING_E + C.SCALING_A / C.SCALING_PARAMETERS**C.SCALING_ALPHA
 _PERCENT = "case when {0} is null then 'TBD' else printf('%.2f%%', {0}) end"
 
@@ -355,6 +359,16 @@ _PARSED = f"""with {LOG}, firsts as (
 ) select log, w.metric, cast(case when f.metric like '%acc' then printf('%.2f', f.value * 100) else printf('%.4f', f.value) end as double) as value
 from wanted w left join firsts f on f.run = w.log and f.metric = w.metric_key"""
 
+_SCORES = f"""with {SPLIT}, {BIGRAMS}, {ITEMS}, {_scored('choices', 'scored_choices')}
+select item_id, choice_idx, score from scored_choices"""
+
+_FLAGGED = f"""with {RESUMED}, past as (
+  select *, min(case when step % {B.EVAL_EVERY} = 0 then value end) over (
+    partition by run, metric order by step rows between unbounded preceding and 1 preceding) as lowest from resumed
+), marked as (
+  select *, step % {B.EVAL_EVERY} = 0 and (lowest is null or value < lowest) as is_best from past
+) select run, metric, step, value, is_best, is_best or (step % {C.SAVE_EVERY} = 0 and step > 0) as is_saved from marked"""
+
 ORACLES: dict[str, str] = {
     # ---- corpus
     "corpus_stats": f"""with {SPLIT}, sized as (
@@ -424,8 +438,8 @@ select count(*) filter (where kept) as n_kept, count(*) filter (where not kept)
 ) select item_id, choice_idx, cast(len(t) as int) as n_tokens, cast(len(t) - k as int) as cont_start,
   {_digest('t')} as tok_md5 from coded""",
     "bigram_model": f"with {SPLIT}, {BIGRAMS} select prev, next, n, micro / 1000000 as logprob from scores",
-    "loglik_scores": f"""with {SPLIT}, {BIGRAMS}, {ITEMS}, {_scored('choices', 'scored_choices')}
-select item_id, choice_idx, score from scored_choices""",
+    "loglik_scores": _SCORES,
+    "loglik_callback": _SCORES,
     "mc_accuracy": f"""with {SPLIT}, {BIGRAMS}, {ITEMS}, {_scored('choices', 'scored_choices')}, {CHOICE_PICKS}
 {_accuracy('choice_picks', 'choice')} union all {_accuracy('choice_picks', 'labelled')}""",
     "cloze_accuracy": f"""with {SPLIT}, {BIGRAMS}, {CLOZES}, {_scored('clozes', 'scored_clozes')}, {CLOZE_PICKS}
@@ -493,12 +507,7 @@ windows as (
     + ", ".join(f"max(value) filter (where metric = '{m}') as {m.removeprefix('eval/')}" for m in B.METRICS.values())
     + " from latest group by run",
     "metric_report": f"with {LATEST} select run, {_LABEL} as label, {_TEXT} as text from latest",
-    "best_checkpoints": f"""with {RESUMED}, past as (
-  select *, min(case when step % {B.EVAL_EVERY} = 0 then value end) over (
-    partition by run, metric order by step rows between unbounded preceding and 1 preceding) as lowest from resumed
-), marked as (
-  select *, step % {B.EVAL_EVERY} = 0 and (lowest is null or value < lowest) as is_best from past
-) select run, metric, step, value, is_best, is_best or (step % {C.SAVE_EVERY} = 0 and step > 0) as is_saved from marked""",
+    "best_checkpoints": _FLAGGED,
     "throughput": f"""with {LOG}, steps as (
   select run, step // 1000 as step, max(logged_at) as logged_at from log group by 1, 2
 ), past as (
@@ -523,10 +532,18 @@ from past""",
   {_PERCENT.format('v1')} || ' | ' || {_PERCENT.format('v2')} || ' | ' ||
   case when v1 is null or v2 is null then 'TBD' else case when v2 > v1 then '+' else '' end || printf('%.2f%%', v2 - v1) end as text
 from joined""",
+    "mapped_turns": """select conv_id, turn, upper(role) as role, (place - 1)::integer as place, part as sentence
+from (select conv_id, turn, role, unnest(string_split(text, '.')) as raw, generate_subscripts(string_split(text, '.'), 1) as place
+  from conversations where trim(coalesce(text, ''), ' ') <> ''), lateral (select trim(raw, ' ') as part) where part <> ''""",
+    "checkpoint_listing": """select printf('ckpt_%07d.pt', s_suppkey * 500) as file, (s_suppkey * 500)::bigint as iter from supplier""",
     # ---- streams
+    "stream_checkpoint_files": """select printf('ckpt_%07d.pt', s_suppkey * 500) as file, (s_suppkey * 500)::bigint as iter
+from supplier where (s_suppkey * 500) % 5000 = 0 and s_suppkey <> 0""",
     "stream_corpus_tokens": _TOKENIZED,
     "stream_checkpoint_pickup": """select printf('ckpt_%07d.pt', event_id * 500) as path, event_id * 500 as iter
 from events where (event_id * 500) % 5000 = 0 and event_id <> 0""",
+    "stream_pack_blocks": _ONE_STREAM,
+    "stream_best_flags": _FLAGGED,
     "stream_best_metric": f"""with {LOG} select run, metric, arg_min(step, struct_pack(v := value, s := step)) as step,
   min(value) as value from log group by 1, 2""",
 }

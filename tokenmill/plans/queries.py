@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill import constants as C
 from tokenmill import schemas
-from tokenmill.functions import arrays, formats, text
+from tokenmill.functions import arrays, formats, rows, text
 from tokenmill.functions.tokenizers import BpeTokenizer, ByteTokenizer, PieceTokenizer, ranks_from_merges
-from tokenmill.operators import checkpoints, corpus, instruct, metrics, picks, requests, sampling, scoring, tensors
+from tokenmill.operators import callbacks, checkpoints, corpus, instruct, metrics, picks, requests, sampling, scoring, tensors
 from tokenmill.operators.ordering import positions
 from tokenmill.plans import bindings
 from tokenmill.session import cut_lineage, fresh_path, spread
-from tokenmill.sources import readers, writers
+from tokenmill.sources import files, readers, writers
 from tokenmill.streaming import best as best_stream
 from tokenmill.streaming import checkpoints as checkpoint_stream
 from tokenmill.streaming import corpus as corpus_stream
+from tokenmill.streaming import packing as packing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -233,6 +236,19 @@ def data_budget(spark: SparkSession, folder: str) -> DataFrame:
     return instruct.data_budget(_chat_dataset(spark, folder))
 
 
+@query
+def mapped_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """A row function over all turns: drops turns without a word, gives one row per sentence, replaces columns."""
+
+    def sentences(row: dict):
+        if not (row["text"] or "").strip(" "):
+            return None
+        parts = [p.strip(" ") for p in row["text"].split(".")]
+        return [{"role": row["role"].upper(), "place": i, "sentence": p} for i, p in enumerate(parts) if p]
+
+    return rows.map_rows(readers.turns(spark, folder), sentences, "role STRING, place INT, sentence STRING", ["text"])
+
+
 # ---- evaluation ---------------------------------------------------------------------
 
 
@@ -311,6 +327,34 @@ def loglik_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(_choices(spark, folder), _fit(spark, folder)).select("item_id", "choice_idx", "score")
 
 
+@query
+def loglik_callback(spark: SparkSession, folder: str) -> DataFrame:
+    """The scores of ``loglik_scores`` from a scorer function instead of a table."""
+    scores = _fit(spark, folder)
+    # at most one row per pair of byte tokens
+    rows = scores.pairs.select("prev", "next", "logprob_micro").toArrow()
+    floors = scores.floors.toArrow()
+    known = {(p, n): micro for p, n, micro in zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True)}
+    least = dict(zip(floors.column("prev").to_pylist(), floors.column("floor_micro").to_pylist(), strict=True))
+    table = spark.sparkContext.broadcast((known, least, scores.unseen_micro))
+    end, micro = C.END_OF_TEXT, scoring.MICRO
+
+    def make_scorer():
+        pairs, floor, unseen = table.value
+
+        def scorer(tokens, lengths, starts):
+            totals = []
+            for row, length, start in zip(tokens.tolist(), lengths.tolist(), starts.tolist(), strict=True):
+                before = [end, *row][start:length]
+                totals.append(sum(pairs.get(p, floor.get(p[0], unseen)) for p in zip(before, row[start:length], strict=True)))
+            return np.array(totals) / micro
+
+        return scorer
+
+    asked = requests.loglik_requests(_choices(spark, folder), BYTES)
+    return callbacks.callback_scores(asked, make_scorer, ["item_id", "choice_idx"])
+
+
 @query
 def mc_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     scores = _fit(spark, folder)
@@ -498,6 +542,52 @@ def stream_checkpoint_pickup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("path STRING, iter BIGINT").parquet(target).select("path", "iter")
 
 
+def _checkpoint_folder(spark: SparkSession, folder: str) -> str:
+    """One checkpoint file for each supplier, numbered by 500 steps, and one that is no numbered checkpoint."""
+    target = fresh_path(spark, "checkpoints")
+    numbers = readers.table(spark, folder, "supplier", "s_suppkey").select((F.col("s_suppkey") * 500).alias("iter"))
+    names = numbers.select(F.format_string("ckpt_%07d.pt", F.col("iter").cast("bigint")).alias("name"))
+    files.make_files(names.union(spark.createDataFrame([("latest.pt",)], "name STRING")), target, b"weights")
+    return target
+
+
+@query
+def checkpoint_listing(spark: SparkSession, folder: str) -> DataFrame:
+    found = readers.checkpoint_files(spark, _checkpoint_folder(spark, folder))
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.select(name.alias("file"), checkpoints.iteration(F.col("path")).cast("bigint").alias("iter"))
+
+
+@query
+def stream_checkpoint_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Pickup of checkpoint files as they lie in a folder, some per batch."""
+    source, target = _checkpoint_folder(spark, folder), fresh_path(spark, "picked")
+    stream = checkpoint_stream.checkpoint_stream(spark, source, files_per_batch=400)
+    checkpoint_stream.pick_up(stream, target, target + "-state")
+    picked = spark.read.schema("path STRING, iter BIGINT").parquet(target)
+    return picked.select(F.element_at(F.split("path", "/"), -1).alias("file"), "iter")
+
+
+@query
+def stream_pack_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks of the whole corpus as one stream, by incremental packing."""
+    target = fresh_path(spark, "stream-blocks")
+    docs = corpus_stream.document_stream(spark, folder, "documents.parquet")
+    packing_stream.pack_stream(docs, BYTES, target, target + "-state", bindings.BLOCK)
+    x, y = corpus.inputs_and_targets(F.col("record"))
+    found = packing_stream.read_blocks(spark, target).select("block_id", x, y)
+    return found.select("block_id", arrays.digest(F.col("x")).alias("x_md5"), arrays.digest(F.col("y")).alias("y_md5"))
+
+
+@query
+def stream_best_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of ``best_checkpoints``, flagged as they arrive."""
+    target = fresh_path(spark, "flags")
+    log = bindings.resumed_log(_event_stream(spark, folder))
+    best_stream.track_flags(log, target, target + "-state", eval_every=bindings.EVAL_EVERY)
+    return best_stream.read_flags(spark, target)
+
+
 @query
 def stream_best_metric(spark: SparkSession, folder: str) -> DataFrame:
     target = fresh_path(spark, "best")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,7 @@ from tokenmill.operators import sampling
 from tokenmill.operators.corpus import block_records, flat_records, pack_blocks
 from tokenmill.operators.ordering import SHUFFLE_KEY_LIMIT
 from tokenmill.sources import packed
-from tokenmill.sources.files import is_complete
+from tokenmill.sources.files import claimed, is_complete, move, remove
 
 
 #: Examples in one JSON file, some 100 MB of tokens as text.
@@ -55,14 +57,29 @@ def input_fingerprint(spark: SparkSession, path: str) -> str:
     return f"{count}-{int(total) % (1 << 64):016x}" if count else "empty"
 
 
-def build_once(spark: SparkSession, folder: str, fingerprint: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table built from these inputs: read if a committed one is there, else built.
+def build_once(
+    spark: SparkSession, folder: str, fingerprint: str, build: Callable[[], DataFrame], stale: float = 600, poll: float = 2
+) -> DataFrame:
+    """The table built from these inputs: read if a committed one is there, else built, by one builder at a time.
 
-    A write that broke off has no success marker and is replaced.
+    A builder claims the name by creating a file that must not exist, refreshes it while it builds aside, and
+    publishes by a rename. Others wait and read. A claim that was not refreshed for ``stale`` seconds is taken
+    over; of several that try, the rename of the old claim lets one through. A write that broke off has no success marker
+    and is replaced.
     """
     path = f"{folder}/{fingerprint}"
-    if not is_complete(spark, path):
-        build().write.mode("overwrite").parquet(path)
+    while not is_complete(spark, path):
+        with claimed(spark, f"{path}.claim", stale) as mine:
+            if not mine:
+                time.sleep(poll)
+            elif not is_complete(spark, path):
+                staged = f"{path}.staged-{uuid.uuid4().hex}"
+                try:
+                    build().write.parquet(staged)
+                    remove(spark, path)
+                    move(spark, staged, path)
+                finally:
+                    remove(spark, staged)
     return spark.read.parquet(path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenmill import constants as C
 from tokenmill.operators import checkpoints
-from tokenmill.sources.files import exists
+from tokenmill.session import cut_lineage
 
 
 def checkpoint_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
@@ -33,23 +33,20 @@ def pick_up(
 ) -> None:
     """Hand each evaluable checkpoint to ``evaluate``, then list it as done.
 
-    A batch that fails before it is listed is handed over again: at least once. Each batch
-    writes its own part of the list, so a repeated batch replaces it.
+    Paths that were handed over are stream state, keyed by path, so a batch looks up its own paths and does not read
+    the list. A batch that fails before it is listed is handed over again: at least once. Each
+    batch writes its own part of the list, so a repeated batch replaces it.
     """
+    found = checkpoints.evaluable(files, every).dropDuplicates(["path"])
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"batch_id={batch_id}"
-        found = checkpoints.evaluable(batch, every).dropDuplicates(["path"])
-        if exists(spark, done_path):
-            done = spark.read.schema("path STRING, iter BIGINT, batch_id BIGINT").parquet(done_path)
-            found = found.join(done.where(done.batch_id != batch_id).select("path"), "path", "left_anti")
+        batch = cut_lineage(batch)  # evaluated and listed from one read of the state
         if evaluate is not None:
-            evaluate(found)
-        found.write.mode("overwrite").parquet(f"{done_path}/{own}")
+            evaluate(batch)
+        batch.write.mode("overwrite").parquet(f"{done_path}/batch_id={batch_id}")
 
     query = (
-        files.writeStream.foreachBatch(take)
+        found.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
