@@ -214,3 +214,20 @@ def test_model_of_the_tables_sums_to_its_tokens(spark, tiny):
     docs = readers.documents(spark, tiny)
     total = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0]
     assert scoring.bigram_counts(docs, BYTES).agg(F.sum("n")).first()[0] == total
+
+
+def test_loss_of_examples_needs_no_tensors(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        n = rng.choice([0, 1, 2, 5, 33])
+        rows.append((i, 0, [rng.randrange(6) for _ in range(n)], [rng.randrange(2) for _ in range(n)]))
+    examples = spark.createDataFrame(rows, "id bigint, start bigint, tokens array<int>, loss_mask array<int>")
+    pairs = spark.createDataFrame([(p, n, 3, -1000 * (p + n)) for p in range(5) for n in range(4)], "prev int, next int, n bigint, logprob_micro bigint")
+    floors = spark.createDataFrame([(p, -7_000_000) for p in range(5)], "prev int, floor_micro bigint")
+    scores = scoring.ScoreTable.of_table(pairs, floors, -9_000_000)
+    windows = tensors.sft_targets(tensors.sft_tensors(examples, 8, overflow="windows"))
+    want = {r.id: r.loss for r in scoring.masked_loss(windows, scores, ["id"]).collect()}
+    assert {r.id: r.loss for r in scoring.masked_loss_of_examples(examples, scores, ["id"]).collect()} == want

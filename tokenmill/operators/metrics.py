@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenmill import constants as C
 from tokenmill.functions import formats
 from tokenmill.operators.ordering import ROWS_PER_SEGMENT, Running, running
+from tokenmill.session import cut_lineage
 
 
 def resolve_resumed(log: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def best_checkpoints(
     evaluated = F.col("step") % eval_every == 0
     value = F.when(evaluated, F.col("value"))
     past = running(
-        resolve_resumed(log).select("run", "metric", "step", "value"),
+        cut_lineage(resolve_resumed(log).select("run", "metric", "step", "value")),  # read more than once
         ["step"],
         [Running("_lowest", "min", value)],
         group=["run", "metric"],
@@ -84,7 +85,7 @@ def throughput(
     A step that was logged more than once counts at its latest time.
     """
     past = running(
-        log.groupBy("run", "step").agg(F.max("logged_at").alias("logged_at")),
+        cut_lineage(log.groupBy("run", "step").agg(F.max("logged_at").alias("logged_at"))),
         ["step"],
         [Running("_past", "last", F.struct("step", "logged_at"))],
         group=["run"],

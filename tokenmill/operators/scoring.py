@@ -153,6 +153,25 @@ def masked_loss(targets: DataFrame, scores: ScoreTable, keys: list[str]) -> Data
     return scored.groupBy(*keys).agg((-total / F.nullif(n, F.lit(0)) / MICRO).alias("loss"))
 
 
+def masked_loss_of_examples(examples: DataFrame, scores: ScoreTable, keys: list[str]) -> DataFrame:
+    """``masked_loss`` of whole examples (tokens, loss_mask, mask taken at the input position), without tensors.
+
+    Each token but the last of a row predicts the next one, as in the windows of ``sft_tensors``, so the pairs are taken
+    from the tokens as they are and only those that count leave the row.
+    """
+    behind = F.size("tokens") - 1
+    inner = F.greatest(behind, F.lit(0))
+    trios = F.arrays_zip(
+        F.slice("tokens", F.lit(1), inner).alias("prev"),
+        F.slice("tokens", F.lit(2), inner).alias("next"),
+        F.slice("loss_mask", F.lit(1), inner).alias("counts"),
+    )
+    pairs = _unfold(examples, keys, F.filter(trios, lambda t: t["counts"] == 1))
+    scored = score_pairs(_counted(pairs, keys), scores)
+    total, n = _weighed()
+    return scored.groupBy(*keys).agg((-total / F.nullif(n, F.lit(0)) / MICRO).alias("loss"))
+
+
 def _weighed() -> tuple[Column, Column]:
     """Sum of log-probabilities and number of targets, over counted pairs."""
     is_target = F.col("next").isNotNull()

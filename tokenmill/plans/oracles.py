@@ -502,6 +502,7 @@ windows as (
     # ---- metrics
     "metric_resolved": f"with {RESUMED} select run, step, metric, value from resumed",
     "metric_append": f"with {RESUMED} select run, step, metric, value from resumed",
+    "metric_snapshot": f"with {RESUMED} select run, step, metric, value from resumed",
     "metric_latest": f"with {LATEST} select run, metric, step, value from latest",
     "metric_wide": f"with {LATEST} select run, "
     + ", ".join(f"max(value) filter (where metric = '{m}') as {m.removeprefix('eval/')}" for m in B.METRICS.values())

@@ -16,7 +16,7 @@ from tokenmill.operators import callbacks, checkpoints, corpus, instruct, metric
 from tokenmill.operators.ordering import positions
 from tokenmill.plans import bindings
 from tokenmill.session import cut_lineage, fresh_path, spread
-from tokenmill.sources import files, readers, writers
+from tokenmill.sources import files, metric_log, readers, writers
 from tokenmill.streaming import best as best_stream
 from tokenmill.streaming import checkpoints as checkpoint_stream
 from tokenmill.streaming import corpus as corpus_stream
@@ -394,8 +394,8 @@ def running_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def masked_loss(spark: SparkSession, folder: str) -> DataFrame:
-    targets = tensors.sft_targets(_tensors(spark, folder))
-    return scoring.masked_loss(targets, _fit(spark, folder), ["conv_id"])
+    examples = instruct.chat_examples(readers.turns(spark, folder), BYTES)
+    return scoring.masked_loss_of_examples(examples, _fit(spark, folder), ["conv_id"])
 
 
 @query
@@ -509,6 +509,18 @@ def metric_append(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.resolve_resumed(written).drop("logged_at")
 
 
+@query
+def metric_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The log in four appends, compacted after the second and the third, read as snapshot and tail."""
+    target, log = fresh_path(spark, "metric-log"), bindings.resumed_log(bindings.events(spark, folder))
+    part = F.pmod(F.xxhash64("run", "step", "metric", "logged_at"), F.lit(4))
+    for k in range(4):
+        metric_log.append(log.where(part == k), target)
+        if k in (1, 2):
+            metric_log.compact(spark, target)
+    return metrics.resolve_resumed(metric_log.read(spark, target)).drop("logged_at")
+
+
 @query
 def version_compare(spark: SparkSession, folder: str) -> DataFrame:
     latest = metrics.metric_latest(_log(spark, folder)).select(

@@ -60,6 +60,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what lies in a folder; none if it is not there."""
+    store, target = _hadoop(spark, path)
+    return [f.getPath().toString() for f in store.listStatus(target)] if store.exists(target) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder if it is there."""
     store, target = _hadoop(spark, path)

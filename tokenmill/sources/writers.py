@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenmill.operators import sampling
 from tokenmill.operators.corpus import block_records, flat_records, pack_blocks
 from tokenmill.operators.ordering import SHUFFLE_KEY_LIMIT
+from tokenmill.session import cut_lineage
 from tokenmill.sources import packed
 from tokenmill.sources.files import claimed, is_complete, move, remove
 
@@ -29,8 +30,9 @@ def write_sft_json(dataset: DataFrame, path: str, rows_per_file: int = ROWS_PER_
     """One example per line, one folder per split, files in shuffled order.
 
     The shuffle key is uniform, so equal ranges of it are equal files: no sampling pass. Range
-    number i goes to partition i. Counting reads ids, not tokens.
+    number i goes to partition i. The dataset is written once before, so counting it does not run its plan again.
     """
+    dataset = cut_lineage(dataset)
     files = max(1, -(-dataset.select(*sampling.KEYS).count() // rows_per_file))
     span = -(-SHUFFLE_KEY_LIMIT // files)
     number = F.expr(f"int(`{sampling.KEYS[0]}` div {span}L)")
