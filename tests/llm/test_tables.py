@@ -155,3 +155,36 @@ def test_each_side_can_be_rebuilt(spark, tiny):
 def test_preference_of_empty_tables(spark):
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert preference.preference_rows(preference.swapped_replies(empty)).count() == 0
+
+
+def test_joins_by_a_hot_key_read_plain_shuffles(spark):
+    """So that adaptive execution may split them: neither side is an aggregate that is dealt by the key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = spark.createDataFrame([(i, "http://a.net/x" if i % 3 else f"http://b{i}.org/") for i in range(300)], "page_id bigint, url string")
+        rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+        judged = url_rules.judge_urls(pages, rules)
+        turns = [(7 if i % 3 else i, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(300)]
+        talks = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+        paired = preference.preference_rows(preference.swapped_replies(talks))
+        for found in (judged, paired):
+            found.collect()
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Aggregate" not in plan
+        assert judged.where("verdict = 'block'").count() == 200 and paired.where("pair_id = 7").count() >= 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_odd_conversations_and_urls(spark):
+    rows = [(None, 0, "user", "x"), (1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 1, "assistant", "a"), (3, 0, "assistant", None), (4, 0, None, None)]
+    talks = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    sides = Counter((r.pair_id, r.side, r.turn) for r in preference.swapped_replies(talks).collect())
+    # repeated rows stay; conversation 1 has no next one with a reply, so its rejected side lacks the reply
+    assert sides == {(1, "chosen", 0): 1, (1, "rejected", 0): 1, (1, "chosen", 1): 2, (3, "chosen", 0): 1, (4, "chosen", 0): 1, (4, "rejected", 0): 1}
+    assert {r.pair_id for r in preference.preference_rows(preference.swapped_replies(talks)).collect()} == {1, 3, 4}
+    long = "http://a.net/" + "x/" * 200_000
+    pages = spark.createDataFrame([(1, long), (1, long), (2, "http://" + "a." * 300 + "net/"), (3, None)], "page_id bigint, url string")
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    found = Counter((r.page_id, r.verdict) for r in url_rules.judge_urls(pages, rules).collect())
+    assert found == {(1, "block"): 2, (2, "block"): 1, (3, "allow"): 1}

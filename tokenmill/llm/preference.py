@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenmill.session import cut_lineage
+
 # fixed values: chat markup
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
@@ -43,6 +45,8 @@ def preference_rows(turns: DataFrame) -> DataFrame:
         )
         .agg(F.max(side == "chosen").alias("in_chosen"), F.max(side == "rejected").alias("in_rejected"))
     )
+    # tables of their own, so that joins may split a long conversation's rows
+    messages = cut_lineage(messages)
     trained = F.col("role") == TRAINED_ROLE
     bounds = messages.groupBy("pair_id").agg(
         F.min(F.when(F.col("in_chosen") != F.col("in_rejected"), F.col("turn"))).alias("cut"),
@@ -61,7 +65,7 @@ def preference_rows(turns: DataFrame) -> DataFrame:
     rendered = F.concat(header(F.col("role")), F.col("text"), F.lit(CLOSE))
     counted = trained & (F.col("part") != "prompt")
     return (
-        messages.join(bounds, "pair_id")
+        messages.join(cut_lineage(bounds), "pair_id")
         .select("pair_id", F.explode(part).alias("part"), "turn", "role", "text", usable.alias("usable"))
         .select(
             "pair_id",
@@ -80,8 +84,9 @@ def preference_rows(turns: DataFrame) -> DataFrame:
 def swapped_replies(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations: each as chosen, and as rejected with the last reply of conversation ``conv_id + 1``.
 
-    A conversation without a reply of its own, or without a next one that has a reply, keeps its
-    chosen side and has a rejected one without that reply.
+    A conversation without a reply of its own, or without a next one that has a reply (also where ids have a gap), keeps its
+    chosen side and has a rejected one without that reply. Rows with a null ``conv_id`` go; of several last replies
+    at one turn the greatest text is swapped in; repeated rows stay. Other columns are not read.
     """
     known = conversations.where(F.col("conv_id").isNotNull())
     replies = (
@@ -91,7 +96,7 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     )
     own = replies.select("conv_id", F.col("reply.turn").alias("last_turn"))
     other = replies.select((F.col("conv_id") - 1).alias("conv_id"), F.col("reply.text").alias("other"))
-    facts = own.join(other, "conv_id", "left")
+    facts = cut_lineage(own.join(other, "conv_id", "left"))
     rows = known.select("conv_id", "turn", "role", "text").join(facts, "conv_id", "left")
     is_last = F.coalesce((F.col("role") == TRAINED_ROLE) & (F.col("turn") == F.col("last_turn")), F.lit(False))
     sides = F.when(

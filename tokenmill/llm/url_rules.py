@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenmill.llm.common import ascii_lower
+from tokenmill.session import cut_lineage
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -82,7 +83,7 @@ def judge_urls(
     names = ("host", "path", "rule", "verdict")
     kept = pages.drop(*(n for n in names if n != url_col))
     parsed = kept.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-    urls = parsed.select("host", "path").distinct()
+    urls = cut_lineage(parsed.select("host", "path").distinct())
     stacks = rule_stacks(rules)
     n_rules = stacks.count()
     sweep_size = max(pages_per_sweep, n_rules)
@@ -117,8 +118,9 @@ def judge_urls(
         .groupBy("host", "path")
         .agg(F.min(F.struct((-F.length("r.rule")).alias("n"), "r.rule", "r.verdict")).alias("best"))
     )
+    # as a table of its own, so that the join may split the rows of a hot URL
     return (
-        parsed.join(best, ["host", "path"], "left")
+        parsed.join(cut_lineage(best), ["host", "path"], "left")
         .withColumns({"rule": F.col("best.rule"), "verdict": F.coalesce("best.verdict", F.lit(default))})
         .select(*kept.columns, *names)
     )
