@@ -223,6 +223,25 @@ def test_fertility_rejects_one_word_and_byte_texts(frame):
     assert clean[3].kept
 
 
+def test_fertility_tells_noise_from_prose(frame, documents):
+    """Both kinds of errors: of noise of four kinds nothing is kept, of the given prose nothing is lost to the bands."""
+    import base64
+
+    rng, letters = random.Random(12), "abcdefghijklmnopqrstuvwxyz"
+    word = lambda signs, low, high: "".join(rng.choice(signs) for _ in range(rng.randint(low, high)))
+    noise = [" ".join(word(letters, 2, 10) for _ in range(150)) for _ in range(20)]
+    noise += [" ".join(word(letters + letters.upper() + "0123456789", 4, 12) for _ in range(150)) for _ in range(20)]
+    noise += ["\n".join(base64.b64encode(rng.randbytes(54)).decode() for _ in range(40)) for _ in range(20)]
+    noise += [" ".join(f"{rng.randrange(256):02x}" for _ in range(300)) for _ in range(20)]
+    noise += [" ".join(rng.choices(["buy", "now", "cheap"], k=300)) for _ in range(20)]
+    assert not any(r.kept for r in fertility.token_quality(frame(list(enumerate(noise)))).collect())
+    prose = [r for r in fertility.token_quality(documents).collect() if not r.base_failed]
+    assert len(prose) > 100 and all(r.kept for r in prose)
+    marked = "tiếng việt được viết bằng chữ cái la tinh với nhiều dấu và người ta đọc nó mỗi ngày trên báo hay trong sách của mình " * 2
+    row = fertility.token_quality(frame([(1, marked)])).first()
+    assert row.script == "latin-marked"
+
+
 def test_language_id_on_held_out_rows(documents):
     rows = language_id.identify(documents)
     joined = rows.join(documents.select("doc_id", "lang"), "doc_id").where("held_out").collect()

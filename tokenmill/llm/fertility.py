@@ -27,18 +27,26 @@ SCRIPT_RANGES = [
 
 @dataclass(frozen=True)
 class Band:
-    """What a text of a script may measure; the entropy share is held only from ``entropy_from`` tokens on."""
+    """What a text of a script may measure.
+
+    The entropy share is held only from ``entropy_from`` tokens on, and so is ``min_long_chars``, the least characters per token of
+    a text long enough for the measure to be steady; ``min_chars`` is for any.
+    """
 
     min_chars: float = 1.0
+    min_long_chars: float = 0.0
     max_chars: float = 12.0
     max_byte_share: float = 0.6
     min_entropy_share: float = 0.35
     entropy_from: int = 100
 
 
-#: English-centred vocabularies split other scripts finely, so these have wider bands.
+#: English-centred vocabularies split other scripts finely, so these have wider bands, as has Latin script of which an eighth of the
+#: letters or more has marks. Measured in Latin script on the given prose (2,263 texts): 1.65 to 2.67 characters a token;
+#: random letters 1.47 to 1.58, base64 1.27 to 1.52, hex dumps 1.27 to 1.38, random letters and digits 1.25 to 1.31.
 BANDS = {
-    "latin": Band(min_chars=1.25, max_byte_share=0.25),
+    "latin": Band(min_chars=1.25, min_long_chars=1.6, max_byte_share=0.25),
+    "latin-marked": Band(min_chars=1.25, max_byte_share=0.25),
     "greek": Band(min_chars=0.5),
     "cyrillic": Band(min_chars=0.5),
     "other": Band(min_chars=0.2, max_byte_share=0.98),
@@ -120,6 +128,7 @@ def token_quality(
         names = ["common", *(name for _, name in SCRIPT_RANGES)]
         known = frozenset(splitter.IdToPiece(i) for i in range(splitter.GetPieceSize()))
         ordinary = frozenset(map(chr, range(0x21, 0x7F))) & known
+        ascii_letters = re.compile("[^A-Za-z]+")
         opens_word = np.zeros(max(ranks.value.values()) + 1, bool)
         for token, rank in ranks.value.items():
             opens_word[rank] = token.startswith(b" ")
@@ -143,6 +152,8 @@ def token_quality(
                 by_script[name] += n
             del by_script["common"]
             name, n = min(by_script.items(), key=lambda item: (-item[1], item[0]))
+            if name == "latin" and 8 * (n - len(ascii_letters.sub("", text))) >= n:
+                return "latin-marked"
             return name if n else "other"
 
         def judge(text: str) -> tuple:
@@ -171,6 +182,7 @@ def token_quality(
             band = bands.get(script, bands["other"])
             inside = (
                 band.min_chars <= per_char <= band.max_chars
+                and (n_tokens < band.entropy_from or per_char >= band.min_long_chars)
                 and bytes_share <= band.max_byte_share
                 and (n_tokens < band.entropy_from or share >= band.min_entropy_share)
             )
