@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from tokenmill.llm import bwt_dedup, simhash_gray
+from tokenmill.llm import bwt_dedup, similar, simhash_gray
 from tokenmill.llm.common import connected_components
 
 
@@ -107,7 +107,7 @@ def test_similar_documents_need_like_texts(frame):
     changed[150] = "other"
     far = [f"w{rng.randrange(10**6)}" for _ in range(300)]
     rows = [(1, " ".join(base)), (2, " ".join(changed)), (3, " ".join(far)), (4, " ".join(base))]
-    found = {r.doc_id: r.component for r in simhash_gray.similar_documents(frame(rows)).collect()}
+    found = {r.doc_id: r.component for r in similar.similar_documents(frame(rows)).collect()}
     assert found == {1: 1, 2: 1, 3: 3, 4: 1}
 
 
@@ -175,7 +175,7 @@ def hide_behind_nearest(rng):
 def test_a_rejected_nearest_one_hides_nothing(frame):
     rng = random.Random(11)
     rows = [(i, t) for i, t in enumerate(t for _ in range(40) for t in hide_behind_nearest(rng))]
-    assert components(simhash_gray.similar_documents(frame(rows))) == brute_similar(rows)
+    assert components(similar.similar_documents(frame(rows))) == brute_similar(rows)
 
 
 def test_similar_documents_equal_brute_force_for_any_node_size(frame, odd_rows):
@@ -183,7 +183,7 @@ def test_similar_documents_equal_brute_force_for_any_node_size(frame, odd_rows):
     rows = families(rng, 25) + odd_rows[:-2]
     want = brute_similar(rows)
     for node_size, list_size in ((32_768, 4096), (16, 4)):  # small: nodes are divided, lists are dealt into chunks
-        found = simhash_gray.similar_documents(frame(rows), max_bits=10, node_size=node_size, list_size=list_size)
+        found = similar.similar_documents(frame(rows), max_bits=10, node_size=node_size, list_size=list_size)
         assert components(found) == want
 
 
@@ -191,7 +191,7 @@ def test_one_fingerprint_is_not_one_text(frame):
     texts = ["a " * 100 + " ".join(f"{salt}{i}" for i in range(20)) for salt in "bcc"]
     rows = list(enumerate(texts))
     assert len({r.fp for r in simhash_gray.fingerprints(frame(rows), 5).collect()}) == 1
-    assert components(simhash_gray.similar_documents(frame(rows))) == Counter([(0, 0), (1, 1), (2, 1)])
+    assert components(similar.similar_documents(frame(rows))) == Counter([(0, 0), (1, 1), (2, 1)])
 
 
 def brute_repeats(texts, length):

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -67,6 +68,71 @@ def test_secrets_are_masked(spark, tiny, docs):
             assert r.n_chars == len(r.text) and "abcdef12345" not in r.text
 
 
+def test_columns_of_any_name_and_type_come_through(spark, tiny, documents):
+    """Names that the stages use inside, a map, a name with a dot; a very long text; null rows."""
+    words = sorted({w for r in documents.collect() for w in r.text.split()})
+    long = " ".join(random.Random(1).choices(words, k=150_000))
+    rows = [(1, prose(60, "oak")), (2, prose(60, "oak")), (3, long), (4, None), (None, prose(50, "ash"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        "*", F.lit("s").alias("source"), F.lit("en").alias("lang"), F.length("text").cast("bigint").alias("n_chars"),
+        *(F.lit(f"own {c}").alias(c) for c in ("_key", "_row", "_hash", "s", "fp", "component", "n_hit", "node", "a.b")),
+        F.create_map(F.lit("k"), F.col("doc_id")).alias("facts"),
+    )
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = cut_lineage(stage(spark, kept, tiny))
+        assert kept.columns == docs.columns, name
+    got = {r.doc_id: r for r in kept.collect()}
+    assert set(got) == {1, 3, None}
+    want = {r.doc_id: r for r in docs.collect()}
+    assert all(got[i] == want[i] for i in got)
+
+
+def test_filtering_stages_equal_brute_force(spark, tiny, docs):
+    """The first three stages in a row against plain loops; of the quality verdict only the bands are the operator's."""
+    from test_dedup import brute_similar
+    from test_scans import brute_counts
+    from test_tables import brute_overlap
+
+    inside = {r.doc_id for r in token_quality(docs).where("kept").collect()}
+    rows = []
+    for r in docs.collect():
+        n_words, _, _, _, repeated = brute_counts(r.text)
+        if n_words >= 20 and 100 * repeated <= 30 * n_words and r.doc_id in inside:
+            rows.append((r.doc_id, r.text))
+    least = {i for _, i in brute_similar(rows)}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{tiny}/benchmark.parquet").collect()]
+    want = sorted({i for i, t in rows if i in least and brute_overlap(t, items)[1] == 0})
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        kept = cut_lineage(stage(spark, kept, tiny))
+    assert sorted(r.doc_id for r in kept.collect()) == want and 50 < len(want) < docs.count()
+
+
+def test_workers_need_not_have_the_package():
+    """Every operator with Python workers, from another folder and without a search path."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from tokenmill.session import local_session
+from tokenmill.llm import queries
+spark = local_session(2, 2)
+spark.sparkContext.setLogLevel("OFF")
+for name in sorted(queries.QUERIES):
+    print(name, queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0, flush=True)
+from tokenmill.llm.similar import similar_documents
+print("similar", similar_documents(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).count() > 0)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True, text=True, timeout=900)
+    lines = [line.split() for line in done.stdout.splitlines() if line.endswith(("True", "False"))]
+    assert len(lines) == 14 and all(ok == "True" for _, ok in lines), done.stderr[-2000:]
+
+
 def test_run_is_its_stages(spark, tiny):
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and len(corpus_pipeline.STAGES) == 5
     got = corpus_pipeline.run(spark, tiny)

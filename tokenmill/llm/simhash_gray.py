@@ -20,10 +20,6 @@ SHINGLE, MAX_BITS = 4, 4
 #: Fingerprints under one upper node at most; beyond it the node is divided. Dividing costs a fingerprint
 #: (d + 1)^2 rows (some 240 microseconds at 10 bits), comparing within a node of this size about as much.
 NODE_SIZE = 32_768
-#: Sets in one list of a first shingle at most; beyond it the list is dealt into chunks.
-LIST_SIZE = 4096
-#: Shingles whose counts are broadcast, at most.
-COMMON = 500_000
 #: Fingerprints in a leaf, and leaves under a node inside a task.
 LEAF = 32
 
@@ -287,258 +283,7 @@ def classes_of(marked: DataFrame, nodes: DataFrame, links: DataFrame, id_col: st
     joined = nodes.join(roots.select(F.col("node").alias(key), "root"), key, "left").select(
         key, "least", F.coalesce("root", key).alias("root")
     )
-    least = joined.groupBy("root").agg(F.min("least").alias("component"))
+    # as a table of its own, so that the join may split a large component
+    least = cut_lineage(joined.groupBy("root").agg(F.min("least").alias("component")))
     classes = joined.join(least, "root").select(key, "component")
     return marked.join(classes, key).select(id_col, "fp", "component")
-
-
-def resemblance(pairs: DataFrame, shingle: int) -> DataFrame:
-    """(a, b, similarity) of (a, b, text_a, text_b): Jaccard measure of the sets of word shingles, exact."""
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spaced = re.compile(rb"[^\x20\x09-\x0D]+")
-
-        def shingles(text: str | None) -> set[bytes]:
-            words = spaced.findall((text or "").encode().lower())
-            n = max(1, len(words) - shingle + 1)
-            return {b" ".join(words[i : i + shingle]) for i in range(n)}
-
-        for batch in batches:
-            values = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                one, other = shingles(x.as_py()), shingles(y.as_py())
-                values.append(len(one & other) / len(one | other))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(values, pa.float64())], names=["a", "b", "similarity"]
-            )
-
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(measure, "a bigint, b bigint, similarity double")
-
-
-def set_of(hashes: np.ndarray | None) -> tuple[np.ndarray, int]:
-    """Distinct shingle hashes, ascending, and their signed 64-bit digest, which names the set; no words are one empty shingle."""
-    import xxhash
-
-    distinct = np.array([xxhash.xxh64_intdigest(b"", 42)], np.uint64) if hashes is None else np.unique(hashes)
-    name = xxhash.xxh64_intdigest(distinct.tobytes(), 42)
-    return distinct, name - (1 << BITS) if name >> (BITS - 1) else name
-
-
-def common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of shingles that are frequent in every 16th document: ``COMMON`` of them at most.
-
-    They only decide in what order ``prefixes`` takes shingles, so the links do not depend on them.
-    """
-    sample = docs.where(F.pmod(F.xxhash64(id_col), F.lit(16)) == 0).select(text_col)
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of = shingle_hasher(shingle)
-        for batch in batches:
-            for text in batch.column(0):
-                distinct, _ = set_of(hashes_of(text.as_py() or ""))
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64))], names=["shingle"])
-
-    counted = sample.mapInArrow(hashes, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
-    counted = cut_lineage(counted.where("n >= 4"))
-    limits = [4**k for k in range(1, 16)]
-    sizes = counted.agg(*(F.count_if(F.col("n") >= limit) for limit in limits)).first()  # one row
-    least = next((limit for limit, size in zip(limits, sizes) if size <= COMMON), limits[-1] * 4)
-    kept = counted.where(F.col("n") >= least).toArrow()
-    order = np.argsort(values := kept.column(0).to_numpy().view(np.uint64))
-    return values[order], kept.column(1).to_numpy()[order]
-
-
-def prefixes(docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """(node, sid, n, at): of each text's set ``sid`` of ``n`` shingles the first ones, with their places from 1.
-
-    All sets are ordered alike, common shingles last. Two sets that reach ``similarity`` have at least
-    ceil(similarity * n) shingles in common, so they meet in the first n - ceil(similarity * n) + 1 of both.
-    """
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, id_col, text_col))
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of = shingle_hasher(shingle)
-        known, counts = common.value
-        for batch in batches:
-            for text in batch.column(0):
-                distinct, sid = set_of(hashes_of(text.as_py() or ""))
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-                    level = np.where(known[at] == distinct, counts[at], 0)
-                    distinct = distinct[np.lexsort((distinct, level))]
-                n = len(distinct)
-                kept = n - int(np.ceil(similarity * n - 1e-6)) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(distinct[:kept].view(np.int64)),
-                        pa.array(np.full(kept, sid, np.int64)),
-                        pa.array(np.full(kept, n, np.int64)),
-                        pa.array(np.arange(1, kept + 1)),
-                    ],
-                    names=["node", "sid", "n", "at"],
-                )
-
-    return docs.select(text_col).mapInArrow(first, "node bigint, sid bigint, n bigint, at bigint")
-
-
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of each run of rows with equal first column; a run may lie across batches."""
-    kept: list[list[np.ndarray]] = []
-    for batch in batches:
-        columns = [c.to_numpy() for c in batch.columns]
-        cuts = (np.flatnonzero(np.diff(columns[0])) + 1).tolist()
-        for start, end in zip([0, *cuts], [*cuts, len(columns[0])]):
-            if start == end:
-                continue
-            if kept and kept[-1][0][0] != columns[0][start]:
-                yield [np.concatenate(c) for c in zip(*kept)] if len(kept) > 1 else kept[0]
-                kept = []
-            kept.append([c[start:end] for c in columns])
-    if kept:
-        yield [np.concatenate(c) for c in zip(*kept)] if len(kept) > 1 else kept[0]
-
-
-def in_portions(parts: Iterator[list[np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Record batches of some 50,000 rows or more, so that many small parts cost little."""
-    held, size = [], 0
-
-    def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
-
-    for part in parts:
-        held.append(part)
-        size += len(part[0])
-        if size > 50_000:
-            yield batch()
-            held, size = [], 0
-    if held:
-        yield batch()
-
-
-def alike_lists(n: np.ndarray, at: np.ndarray, label: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs u < v of sets that have a shingle at places ``at``, differ in label and may reach ``similarity`` by length and place."""
-    for start in range(0, len(n) - 1, 256):
-        u, v = np.arange(start, min(start + 256, len(n)))[:, None], np.arange(start, len(n))[None, :]
-        shared = np.minimum(at[u], at[v]) + np.minimum(n[u] - at[u], n[v] - at[v])
-        ok = (u < v) & (label[u] != label[v]) & (shared * (1 + similarity) >= similarity * (n[u] + n[v]) - 1e-6)
-        ok &= np.minimum(n[u], n[v]) >= similarity * np.maximum(n[u], n[v]) - 1e-6
-        i, j = np.nonzero(ok)
-        if len(i):
-            yield i + start, j + start
-
-
-def prefix_pairs(
-    docs: DataFrame, labels: DataFrame, shingle: int, similarity: float, list_size: int, id_col: str, text_col: str
-) -> DataFrame:
-    """(a, b) with a > b: every two sets with different labels that may reach ``similarity``; ``labels``: (sid, label), else its own.
-
-    Sets under one first shingle make a list. A list beyond ``list_size`` is dealt by hash into chunks,
-    and every two chunks meet in a node of their own, as in ``upper_nodes``.
-    """
-    rows = prefixes(docs, shingle, similarity, id_col, text_col).repartition("node").sortWithinPartitions("node")
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lists() -> Iterator[list[np.ndarray]]:
-            for columns in runs(batches):
-                if len(columns[1]) > 1 and (columns[1] != columns[1][0]).any():
-                    _, once = np.unique(columns[1], return_index=True)
-                    yield [*(c[once] for c in columns), np.full(len(once), len(once))]
-
-        return in_portions(lists(), ["node", "sid", "n", "at", "size"])
-
-    found = cut_lineage(rows.mapInArrow(shared, "node bigint, sid bigint, n bigint, at bigint, size bigint"))
-    found = cut_lineage(
-        found.join(labels, "sid", "left").select("node", "sid", F.coalesce("label", "sid").alias("label"), "n", "at", "size")
-    )
-    large = found.where(F.col("size") > list_size)
-    mixed = large.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    chunks = F.ceil(F.col("size") * 2 / F.lit(list_size))
-    large = large.join(mixed.select("node"), "node").select("*", chunks.alias("chunks")).withColumn(
-        "own", F.pmod(F.xxhash64("sid"), F.col("chunks"))
-    )
-    paired = large.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("other")
-    ).select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "sid", "label", "n", "at")
-    nodes = found.where(F.col("size") <= list_size).select("node", "sid", "label", "n", "at").unionByName(paired)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts() -> Iterator[list[np.ndarray]]:
-            for _, sid, label, n, at in runs(batches):
-                if (label != label[0]).any():
-                    for u, v in alike_lists(n, at, label, similarity):
-                        yield [np.maximum(sid[u], sid[v]), np.minimum(sid[u], sid[v])]
-
-        return in_portions(parts(), ["a", "b"])
-
-    return nodes.repartition("node").sortWithinPartitions("node").mapInArrow(pairs, "a bigint, b bigint").distinct()
-
-
-def similar_documents(
-    docs: DataFrame,
-    shingle: int = 5,
-    similarity: float = 0.8,
-    max_bits: int = 10,
-    node_size: int = NODE_SIZE,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    list_size: int = LIST_SIZE,
-) -> DataFrame:
-    """(``id_col``, fp, component) as ``near_duplicates``, over all links of shingle sets that are alike by ``similarity``.
-
-    Equal sets are one node; 64-bit digests tell sets apart. The fingerprint index comes first: in every
-    index node each fingerprint proposes its nearest one, and what reaches ``similarity`` links, so large
-    groups are soon one component. What it leaves (a resemblance of 0.8 makes 9 or 10 of 64 bits differ on
-    average, a nearer one may fail) is sought by ``prefix_pairs``, which misses no pair between different
-    components. All proposed pairs' texts are compared exactly; neither the index nor its node size
-    changes the result.
-    """
-    marked = cut_lineage(shingle_sets(docs, shingle, id_col, text_col))
-    sets = cut_lineage(marked.groupBy("sid").agg(F.min(id_col).alias("least"), F.min("fp").alias("fp")))
-
-    def alike(proposed: DataFrame) -> DataFrame:
-        wanted = proposed.select(F.col("a").alias("sid")).union(proposed.select("b")).distinct().join(sets, "sid")
-        texts = cut_lineage(texts_of(docs, wanted.select("sid", "least"), shingle, id_col, text_col))
-        pairs = proposed.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a").join(
-            texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b"
-        )
-        return cut_lineage(resemblance(pairs, shingle).where(F.col("similarity") >= similarity).select("a", "b"))
-
-    fps = cut_lineage(sets.groupBy("fp").agg(F.min("sid").alias("sid")))
-    links = near_links(fps.select("fp"), max_bits, node_size, nearest)
-    near = links.join(fps.select(F.col("fp").alias("a"), F.col("sid").alias("s")), "a").join(
-        fps.select(F.col("fp").alias("b"), F.col("sid").alias("t")), "b"
-    )
-    first = alike(cut_lineage(near.select(F.col("s").alias("a"), F.col("t").alias("b"))))
-    labels = cut_lineage(connected_components(first).select(F.col("node").alias("sid"), F.col("root").alias("label")))
-    rest = alike(cut_lineage(prefix_pairs(docs, labels, shingle, similarity, list_size, id_col, text_col)))
-    known = labels.where("sid <> label").select(F.col("sid").alias("a"), F.col("label").alias("b"))
-    return classes_of(marked, sets, known.union(rest), id_col, "sid")
-
-
-def shingle_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(``id_col``, fp, sid): fingerprint as ``fingerprints``, and the name of the set of shingles."""
-
-    def setup():
-        hashes_of = shingle_hasher(shingle)
-
-        def both(text: str) -> tuple[int, int]:
-            hashes = hashes_of(text)
-            return 0 if hashes is None else majority(hashes), set_of(hashes)[1]
-
-        return both
-
-    return map_texts(docs, id_col, text_col, "fp bigint, sid bigint", setup)
-
-
-def texts_of(docs: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(sid, text), one text for each wanted (sid, least): of rows that only share the id, one of that set."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    rows = rows.join(wanted, F.col("_id").eqNullSafe(F.col("least"))).select("sid", "text")
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of = shingle_hasher(shingle)
-        for batch in batches:
-            named = zip(batch.column(0).to_pylist(), batch.column(1))
-            yield batch.filter(pa.array([sid == set_of(hashes_of(text.as_py() or ""))[1] for sid, text in named], pa.bool_()))
-
-    return rows.mapInArrow(own, "sid bigint, text string").dropDuplicates(["sid"])
