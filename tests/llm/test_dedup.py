@@ -187,6 +187,20 @@ def test_similar_documents_equal_brute_force_for_any_node_size(frame, odd_rows):
         assert components(found) == want
 
 
+def test_dealt_lists_bring_all_that_are_apart_together(spark):
+    rng = random.Random(14)
+    lists = [(1, s, 1, 500, 7 if s < 400 else s) for s in range(500)] + [(2, s, 1, 90, s) for s in range(90)]
+    lists += [(3, s, 1, 30, s % 2) for s in range(30)] + [(4, s, 1, 200, rng.randrange(3)) for s in range(200)]
+    found = spark.createDataFrame(lists, "node bigint, s bigint, at bigint, size bigint, label bigint")
+    nodes = {}
+    for r in similar.dealt_lists(found, 40).collect():
+        nodes.setdefault(r.node, []).append((r.s, r.label))
+    met = {frozenset((a, b)) for n in nodes.values() for a, la in n for b, lb in n if la != lb}
+    want = {frozenset((a, b)) for node in (1, 2, 3, 4) for n, a, _, _, la in lists if n == node for m, b, _, _, lb in lists if m == node and la != lb}
+    assert want <= met and max(map(len, nodes.values())) < 100
+    assert sum(len([s for s, label in n if label == 7]) for n in nodes.values() if any(s >= 400 for s, _ in n)) <= 400 * 5
+
+
 def test_one_fingerprint_is_not_one_text(frame):
     texts = ["a " * 100 + " ".join(f"{salt}{i}" for i in range(20)) for salt in "bcc"]
     rows = list(enumerate(texts))
