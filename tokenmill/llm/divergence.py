@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +24,17 @@ SPAN, CELLS, LEFT = 4096, 1 << 21, 256
 HELD, WINDOW = 500_000, 1 << 20
 
 
-def counted_terms(text: str) -> Counter:
-    """Terms of letters and non-ASCII signs, A-Z lower-cased, with their counts; a long text in portions."""
-    data, counts, at = text.encode().lower(), Counter(), 0
-    term, gap = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^a-z\x80-\xff]")
+TERM, GAP = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^a-z\x80-\xff]")
+
+
+def terms_of(text: str) -> Iterator[list[bytes]]:
+    """Terms of letters and non-ASCII signs in their order, A-Z lower-cased; a long text in portions."""
+    data, at = text.encode().lower(), 0
     while at < len(data):
-        cut = gap.search(data, at + WINDOW)
+        cut = GAP.search(data, at + WINDOW)
         end = cut.start() if cut else len(data)
-        counts.update(term.findall(data, at, end))
+        yield TERM.findall(data, at, end)
         at = end
-    return counts
 
 
 def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
@@ -40,38 +42,41 @@ def term_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str)
 
     Tasks add up first, so a shuffle moves one row for each task, group and term at most.
     """
+    schema = pa.schema(
+        [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())]
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-
-        def rows() -> pa.RecordBatch:
-            flat = [(*g, None if t is None else t.decode(), n, d) for g, terms in held.items() for t, (n, d) in terms.items()]
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (counts, found) in held.items():
+                size = len(counts) + 1
+                columns = [
+                    pa.repeat(pa.scalar(lang, pa.string()), size),
+                    pa.repeat(pa.scalar(source, pa.string()), size),
+                    pa.array([None, *counts], pa.binary()).cast(pa.string()),
+                    pa.array(np.fromiter(chain((0,), counts.values()), np.int64, size)),
+                    pa.array(np.fromiter(chain((0,), map(found.__getitem__, counts)), np.int64, size)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
             held.clear()
-            return pa.RecordBatch.from_pylist(
-                [dict(zip(("lang", "source", "term", "n", "docs"), row)) for row in flat],
-                schema=pa.schema(
-                    [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())]
-                ),
-            )
 
         size = 0
         for batch in batches:
             groups = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for group, text in zip(groups, batch.column(2)):
-                terms = held.setdefault(group, {None: [0, 0]})
-                before = len(terms)
-                for term, n in counted_terms(text.as_py()).items():
-                    seen = terms.get(term)
-                    if seen is None:
-                        terms[term] = [n, 1]
-                    else:
-                        seen[0] += n
-                        seen[1] += 1
-                size += len(terms) - before
+                counts, found = held.setdefault(group, (Counter(), Counter()))
+                before, own = len(counts), set()
+                for terms in terms_of(text.as_py()):
+                    counts.update(terms)
+                    own.update(terms)
+                found.update(own)
+                size += len(counts) - before
                 if size > HELD:
-                    yield rows()
+                    yield from rows()
                     size = 0
-        yield rows()
+        yield from rows()
 
     plain = docs.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)))
     counted = plain.toDF("lang", "source", "text").mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
