@@ -47,6 +47,7 @@ def test_any_ids_are_decoded_as_the_library_does(library):
 
 def test_a_full_memory_of_chunks_changes_nothing(monkeypatch, library):
     monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    monkeypatch.setattr(pieces, "PAIRS", 3)
     monkeypatch.setattr(pieces, "WINDOW", 11)
     encode, rng = pieces.encoder(pieces.read_model(pieces.MODEL)), random.Random(5)
     for _ in range(300):

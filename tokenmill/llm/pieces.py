@@ -5,8 +5,8 @@ from __future__ import annotations
 import codecs
 import re
 from array import array
-from collections.abc import Callable, Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,8 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Chunks and token pairs that a task remembers at most, longest chunk that it remembers; characters cut at once.
-REMEMBERED, LONGEST, WINDOW = 300_000, 48, 1 << 18
+#: Chunks and token pairs that a worker remembers at most, longest chunk that it remembers; characters cut at once.
+REMEMBERED, PAIRS, LONGEST, WINDOW = 800_000, 400_000, 48, 1 << 18
 
 # fixed values: piece types and model type of the SentencePiece model format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -73,75 +73,151 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
         parts[place : place + 2] = [parts[place] + parts[place + 1]]
 
 
+def stays_apart(a: str, b: str, scores: dict[str, float]) -> bool:
+    """Whether merging the two tokens' joined text again leaves them as they are: no merge goes over the border."""
+    parts, border = list(a + b), len(a)
+    scored = [scores.get(x + y) for x, y in pairwise(parts)]
+    while True:
+        best, place = None, 0
+        for i, score in enumerate(scored):
+            if score is not None and (best is None or score > best):
+                best, place = score, i
+        if best is None:
+            return True
+        if place == border - 1:
+            return False
+        parts[place : place + 2] = [parts[place] + parts[place + 1]]
+        border -= place < border
+        del scored[place]
+        if place > 0:
+            scored[place - 1] = scores.get(parts[place - 1] + parts[place])
+        if place < len(scored):
+            scored[place] = scores.get(parts[place] + parts[place + 1])
+
+
+def chunk_pattern(pieces: Iterable[str]) -> str:
+    """Pattern of the chunks of a text: runs of signs that pieces connect, with the spaces before them, or one other sign.
+
+    Signs that stand side by side in a piece belong to one class, as do classes that share a sign: no piece holds two
+    signs of different classes, space signs apart, which only begin pieces.
+    """
+    parent: dict[str, str] = {}
+
+    def top(sign: str) -> str:
+        while parent.setdefault(sign, sign) != sign:
+            sign = parent[sign]
+        return sign
+
+    for piece in pieces:
+        for a, b in pairwise(piece.lstrip(SPACE)):
+            parent[top(a)] = top(b)
+    classes: dict[str, list[str]] = {}
+    for sign in parent:
+        classes.setdefault(top(sign), []).append(sign)
+    runs = [f"[{re.escape(''.join(sorted(c)))}]+" for c in sorted(classes.values(), key=len, reverse=True) if len(c) > 1]
+    return f"(?s:{SPACE}*(?:{'|'.join([*runs, f'[^{SPACE}]'])})|{SPACE}+)"
+
+
 def encoder(model: dict) -> Callable[[str], bytes]:
     """A function from a whole text to its ids, as the bytes of 32-bit numbers.
 
     A sequence of tokens is the one that the merges give exactly if each two neighbours are: merging their
     joined text again gives these two. So a chunk is read from the left: the longest token that begins at a place, then its
-    shorter prefixes, until one is compatible with the token before. Where none is, the place is marked in a bit
-    field of failed positions and the token before gives way to its next shorter prefix. No place fails twice, so
-    the work grows with the length. Longest matches come from an Aho-Corasick automaton of the reversed tokens,
+    shorter prefixes, until one is compatible with the token before. Where none is, the place is marked in a
+    bitfield of failed positions and the token before gives way to its next shorter prefix. No place fails twice,
+    so the work grows with the length. Longest matches come from an Aho-Corasick automaton of the reversed tokens,
     run over the reversed chunk once: what ends at a place there begins there here.
 
-    No piece goes on from another sign to the space sign, so a text is cut before such spaces and each
-    chunk is encoded by itself; the texts of a vocabulary with such a piece are not cut.
+    A text is cut where no piece goes on, between signs that no piece has side by side (see ``chunk_pattern``), and each chunk
+    is encoded by itself. Chunks come back, so a bounded number of them is remembered with their ids.
     """
     import ahocorasick
 
     scores, types, tokens = model["scores"], model["types"], set(model["tokens"])
     number = {p: i for i, (p, t) in enumerate(zip(model["pieces"], types)) if t == NORMAL}
     fallback = {int(p[1:-1], 16): i for i, (p, t) in enumerate(zip(model["pieces"], types)) if t == BYTE}
-    automaton, prefix = ahocorasick.Automaton(), {}
-    for token in tokens:
-        automaton.add_word(token[::-1], token)
-        prefix[token] = next((token[:k] for k in range(len(token) - 1, 0, -1) if token[:k] in tokens), None)
+    automaton = ahocorasick.Automaton()
+    for token in tokens:  # with the tokens that are prefixes of it, itself first
+        automaton.add_word(token[::-1], tuple(token[:k] for k in range(len(token), 0, -1) if token[:k] in tokens))
     automaton.make_automaton()
-    cuts = not any(SPACE in p.lstrip(SPACE) for p in scores)
-    chunks = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if cuts else "(?s:.+)")
-    known: dict[tuple[str, str], bool] = {}
+    cuts = not any(SPACE in p.lstrip(SPACE) for p in scores)  # else the texts are not cut
+    chunks = re.compile(chunk_pattern(scores) if cuts else "(?s:.+)")
     ids_of: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+    known: dict[tuple[str, str], bool] = {}
+    firsts: dict[str, dict[str, int]] = {}
+    nothing: dict[str, int] = {}
+    room = PAIRS
 
     def compatible(a: str, b: str) -> bool:
         """Whether merging the two tokens' joined text again leaves them as they are."""
         found = known.get((a, b))
         if found is None:
-            if len(known) >= REMEMBERED:
+            if len(known) >= PAIRS:
                 known.clear()
-            found = known[a, b] = merged(a + b, scores) == [a, b]
+            found = known[a, b] = a + b not in tokens and stays_apart(a, b, scores)
         return found
 
+    def following(before: str | None, prefixes: tuple[str, ...], k: int) -> int:
+        """The first place from ``k`` on of a prefix that may follow ``before``."""
+        while k < len(prefixes) and not (before is None or compatible(before, prefixes[k])):
+            k += 1
+        return k
+
+    def first_behind(before: str, prefixes: tuple[str, ...]) -> int:
+        nonlocal room
+        if room == 0:
+            firsts.clear()
+            room = PAIRS
+        room -= 1
+        k = firsts.setdefault(before, {})[prefixes[0]] = following(before, prefixes, 0)
+        return k
+
     def tokens_of(chunk: str) -> list[str]:
-        # a sign that no piece has stands alone and never merges
-        longest, end = list(chunk), len(chunk) - 1
-        for at, token in automaton.iter(chunk[::-1]):
-            if len(token) > len(longest[end - at]):
-                longest[end - at] = token
-        failed, at, taken, token = bytearray(len(chunk) // 8 + 1), 0, [], longest[0]
-        while at < len(chunk):
-            while token is not None:
+        if chunk in tokens:
+            return [chunk]
+        size = len(chunk)
+        # a sign that no piece has stands alone and never merges; of the tokens that end at a place the longest comes first
+        longest: list[tuple[str, ...] | None] = [None] * size
+        for end, prefixes in automaton.iter(chunk[::-1]):
+            if longest[size - 1 - end] is None:
+                longest[size - 1 - end] = prefixes
+        at, taken, tried, failed = 0, [], [], None
+        prefixes, k = longest[0] or (chunk[0],), 0
+        while at < size:
+            while k < len(prefixes):
+                token = prefixes[k]
                 to = at + len(token)
-                if not failed[to >> 3] >> (to & 7) & 1 and (not taken or compatible(taken[-1], token)):
+                if failed is None or not failed[to >> 3] >> (to & 7) & 1:
                     break
-                token = prefix.get(token)
-            if token is not None:
+                k = following(taken[-1] if taken else None, prefixes, k + 1)
+            if k < len(prefixes):
                 taken.append(token)
+                tried.append((prefixes, k))
                 at = to
-                token = longest[at] if at < len(chunk) else None
+                if at < size:
+                    prefixes = longest[at] or (chunk[at],)
+                    k = firsts.get(token, nothing).get(prefixes[0])
+                    if k is None:
+                        k = first_behind(token, prefixes)
             else:
+                failed = failed or bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                last = taken.pop()
-                at -= len(last)
-                token = prefix.get(last)
+                at -= len(taken.pop())
+                prefixes, k = tried.pop()
+                k = following(taken[-1] if taken else None, prefixes, k + 1)
         return taken
 
+    spelled = {p: array("i", [i]).tobytes() for p, i in number.items()}
+
     def coded(chunk: str) -> bytes:
-        ids = array("i")
-        for token in tokens_of(chunk):
-            if token in number:
-                ids.append(number[token])
-            else:
-                ids.extend(fallback[byte] for byte in token.encode())
-        return ids.tobytes()
+        try:
+            return b"".join([spelled[token] for token in tokens_of(chunk)])
+        except KeyError:  # a sign that is no piece is spelled in bytes
+            ids = array("i")
+            for token in tokens_of(chunk):
+                ids.extend([number[token]] if token in number else [fallback[byte] for byte in token.encode()])
+            return ids.tobytes()
 
     def windows(text: str) -> Iterator[str]:
         at = 0
@@ -154,18 +230,20 @@ def encoder(model: dict) -> Callable[[str], bytes]:
             at = end
 
     def encode(text: str) -> bytes:
-        out = bytearray()
+        nonlocal ids_of, older
+        out = []
         for window in windows((SPACE if model["dummy_prefix"] else "") + text.replace(" ", SPACE)) if text else ():
             for chunk in chunks.findall(window):
                 ids = ids_of.get(chunk)
                 if ids is None:
-                    ids = coded(chunk)
-                    if len(chunk) <= LONGEST:
-                        if len(ids_of) >= REMEMBERED:
-                            ids_of.clear()
+                    ids = older.get(chunk) or coded(chunk)
+                    if len(chunk) <= LONGEST:  # what has not come up for a while is forgotten
+                        if len(ids_of) >= REMEMBERED // 2:
+                            ids_of, older = {}, ids_of
                         ids_of[chunk] = ids
-                out += ids
-        return bytes(out)
+                out.append(ids)
+            out = [b"".join(out)]
+        return out[0] if out else b""
 
     return encode
 
