@@ -52,27 +52,30 @@ def manifest_file(store: fs.FileSystem, folder: str) -> str | None:
 
 
 class PackedReader(DataSourceReader):
-    def __init__(self, path: str, read_bytes: int, split: str | None):
-        self.path, self.read_bytes, self.split = path, read_bytes, split
+    def __init__(self, path: str, read_bytes: int, split: str | None, tasks: int):
+        self.path, self.read_bytes, self.split, self.tasks = path, read_bytes, split, tasks
 
     def partitions(self) -> list[Ranges]:
-        """Ranges of about ``read_bytes``: large parts are cut at records, small ones share a task."""
+        """Ranges of about ``read_bytes``, less where that would keep some of ``tasks`` idle: large parts are cut at records,
+        small ones share a task."""
         store, folder = filesystem(self.path)
         found = manifest_file(store, folder)
         if found is None:
             raise FileNotFoundError(f"no manifest under {self.path}")
+        parts = pq.read_table(found, filesystem=store).to_pylist()
+        parts = [p for p in parts if self.split is None or p["split"] == self.split]
+        total = sum(2 * p["records"] * p["record_tokens"] for p in parts)
+        each = min(self.read_bytes, -(-total // self.tasks))
         tasks, current, size = [], [], 0
-        for part in pq.read_table(found, filesystem=store).to_pylist():
-            if self.split is not None and part["split"] != self.split:
-                continue
+        for part in parts:
             width, done = part["record_tokens"], 0
             while done < part["records"]:
-                take = min(part["records"] - done, max(1, (self.read_bytes - size) // (2 * width)))
+                take = min(part["records"] - done, max(1, (each - size) // (2 * width)))
                 current.append(
                     (part["split"], part["path"], part["first_block"] + done, part["first_token"] + done * width, take, width)
                 )
                 size, done = size + 2 * width * take, done + take
-                if size + 2 * width > self.read_bytes:
+                if size + 2 * width > each:
                     tasks.append(Ranges(current))
                     current, size = [], 0
         return [*tasks, Ranges(current)] if current or not tasks else tasks
@@ -192,7 +195,7 @@ class _Files:
 
 
 class PackedSource(DataSource):
-    """Options: ``path`` (with scheme), ``read_bytes`` for a task, ``split`` to read one split only."""
+    """Options: ``path`` (with scheme), ``read_bytes`` for a task, ``tasks`` to keep busy, ``split`` to read one split only."""
 
     @classmethod
     def name(cls) -> str:
@@ -202,7 +205,8 @@ class PackedSource(DataSource):
         return RECORDS
 
     def reader(self, schema: StructType) -> PackedReader:
-        return PackedReader(self.options["path"], int(self.options.get("read_bytes", READ_BYTES)), self.options.get("split"))
+        read_bytes, tasks = int(self.options.get("read_bytes", READ_BYTES)), int(self.options.get("tasks", 1))
+        return PackedReader(self.options["path"], read_bytes, self.options.get("split"), tasks)
 
     def writer(self, schema: StructType, overwrite: bool) -> PackedWriter:
         return PackedWriter(self.options["path"], overwrite)
@@ -218,7 +222,8 @@ def write_records(records: DataFrame, folder: str, mode: str = "overwrite") -> N
 
 def read_records(spark: SparkSession, folder: str, split: str | None = None, read_bytes: int = READ_BYTES) -> DataFrame:
     spark.dataSource.register(PackedSource)
-    reader = spark.read.format("packed").option("read_bytes", read_bytes)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    reader = spark.read.format("packed").option("read_bytes", read_bytes).option("tasks", tasks)
     return (reader.option("split", split) if split else reader).load(qualified(spark, folder))
 
 
