@@ -1,4 +1,5 @@
 import os
+import shutil
 import time
 
 import pytest
@@ -6,6 +7,7 @@ import pytest
 from tokenmill.functions.tokenizers import ByteTokenizer
 from tokenmill.operators import corpus, metrics
 from tokenmill.plans import bindings
+from tokenmill.plans.queries import QUERIES
 from tokenmill.sources import readers
 from tokenmill.streaming import best, checkpoints
 from tokenmill.streaming import corpus as corpus_stream
@@ -24,6 +26,24 @@ def test_documents_arrive_in_two_goes(spark, tiny, tmp_path):
     assert got.count() == 200 and got.exceptAll(want).count() == 0
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_streamed_table_may_be_a_file_or_a_folder(spark, tmp_path, files):
+    rows = [(i, f"text number {i} " * 40) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.repartition(files).write.parquet(f"{tmp_path}/parts")
+    if files == 1:  # a table that is one file
+        part = next(f for f in os.listdir(f"{tmp_path}/parts") if f.endswith(".parquet"))
+        os.mkdir(f"{tmp_path}/in")
+        shutil.copy(f"{tmp_path}/parts/{part}", f"{tmp_path}/in/documents.parquet")
+    else:
+        shutil.copytree(f"{tmp_path}/parts", f"{tmp_path}/in/documents.parquet")
+    want = QUERIES["tokenize_bytes"](spark, f"{tmp_path}/in")
+    got = QUERIES["stream_corpus_tokens"](spark, f"{tmp_path}/in")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 50
+    blocks = QUERIES["stream_pack_blocks"](spark, f"{tmp_path}/in")
+    assert blocks.count() == (sum(len(text) + 1 for _, text in rows) - 1) // bindings.BLOCK
+
+
 def _touch(folder, *iterations):
     os.makedirs(folder, exist_ok=True)
     for i in iterations:

@@ -536,14 +536,14 @@ def version_compare(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_corpus_tokens(spark: SparkSession, folder: str) -> DataFrame:
     target = fresh_path(spark, "tokens")
-    docs = corpus_stream.document_stream(spark, folder, "documents.parquet")
+    docs = corpus_stream.table_stream(spark, folder, "documents", schemas.DOCUMENTS)
     corpus_stream.tokenize_stream(docs, BYTES, target, target + "-state", spark.sparkContext.defaultParallelism)
     stored = spark.read.schema("doc_id BIGINT, tokens ARRAY<INT>, n_tokens INT").parquet(target)
     return stored.select("doc_id", "n_tokens", arrays.digest(F.col("tokens")).alias("tok_md5"))
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(schemas.EVENTS).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return corpus_stream.table_stream(spark, folder, "events", schemas.EVENTS)
 
 
 @query
@@ -584,7 +584,7 @@ def stream_checkpoint_files(spark: SparkSession, folder: str) -> DataFrame:
 def stream_pack_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks of the whole corpus as one stream, by incremental packing."""
     target = fresh_path(spark, "stream-blocks")
-    docs = corpus_stream.document_stream(spark, folder, "documents.parquet")
+    docs = corpus_stream.table_stream(spark, folder, "documents", schemas.DOCUMENTS)
     packing_stream.pack_stream(docs, BYTES, target, target + "-state", bindings.BLOCK)
     x, y = corpus.inputs_and_targets(F.col("record"))
     found = packing_stream.read_blocks(spark, target).select("block_id", x, y)

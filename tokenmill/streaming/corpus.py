@@ -17,6 +17,14 @@ def document_stream(
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """The stream of the table ``name.parquet`` of a folder, be it one file or a folder of part files.
+
+    A name filter would hold for the part files too. The path is a pattern since a stream's plain path has to be a folder.
+    """
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}.parquet}}")
+
+
 def tokenize_stream(
     docs: DataFrame, tokenizer, target: str, checkpoint: str, spread_over: int | None = None
 ) -> None:
