@@ -86,6 +86,20 @@ def test_a_failed_evaluation_is_tried_again(spark, tmp_path):
     assert seen == [5000]
 
 
+def test_the_batches_of_a_large_folder_are_few(spark, tmp_path):
+    assert [checkpoints.batch_files(n, least=400) for n in (0, 1000, 6400)] == [400, 400, 400]
+    assert -(-360_000 // checkpoints.batch_files(360_000, least=400)) <= 16
+    folder, done, state = (f"{tmp_path}/{n}" for n in ("ckpt", "done", "state"))
+    os.makedirs(folder)
+    for i in range(70):
+        with open(f"{folder}/ckpt_{i * 5000:07d}.pt", "wb") as f:
+            f.write(b"w")
+    before, sizes = spark.conf.get(checkpoints.LISTING), []
+    stream = checkpoints.checkpoint_stream(spark, folder, checkpoints.batch_files(70, least=1))
+    checkpoints.pick_up(stream, done, state, lambda batch: sizes.append(batch.count()))
+    assert len(sizes) == 14 and sum(sizes) == 69 and spark.conf.get(checkpoints.LISTING) == before
+
+
 def test_null_and_nan_are_never_best(spark):
     rows = [(1, 1, "m", 2.0), (1, 2, "m", None), (1, 3, "m", 1.0), (1, 4, "m", float("nan")), (2, 1, "m", None)]
     log = spark.createDataFrame(rows, "run bigint, step bigint, metric string, value double")

@@ -574,7 +574,8 @@ def checkpoint_listing(spark: SparkSession, folder: str) -> DataFrame:
 def stream_checkpoint_files(spark: SparkSession, folder: str) -> DataFrame:
     """Pickup of checkpoint files as they lie in a folder, some per batch."""
     source, target = _checkpoint_folder(spark, folder), fresh_path(spark, "picked")
-    stream = checkpoint_stream.checkpoint_stream(spark, source, files_per_batch=400)
+    at_once = checkpoint_stream.batch_files(readers.table(spark, folder, "supplier").count(), least=400)
+    stream = checkpoint_stream.checkpoint_stream(spark, source, files_per_batch=at_once)
     checkpoint_stream.pick_up(stream, target, target + "-state")
     picked = spark.read.schema("path STRING, iter BIGINT").parquet(target)
     return picked.select(F.element_at(F.split("path", "/"), -1).alias("file"), "iter")

@@ -46,7 +46,8 @@ def make_files(names: DataFrame, folder: str, content: bytes) -> None:
                     out.write(content)
         yield from ()
 
-    names.select("name").mapInArrow(make, "name STRING").write.format("noop").mode("overwrite").save()
+    tasks = names.sparkSession.sparkContext.defaultParallelism
+    names.select("name").repartition(tasks).mapInArrow(make, "name STRING").write.format("noop").mode("overwrite").save()
 
 
 def _hadoop(spark: SparkSession, path: str) -> tuple:
