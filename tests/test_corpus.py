@@ -150,3 +150,19 @@ def test_blocks_do_not_depend_on_partitioning(spark, tiny, partitions):
     whole = corpus.pack_blocks(corpus.token_store(docs, ByteTokenizer()), 128)
     want = whole.agg(F.count("*"), F.sum(F.xxhash64("split", "block_id", "x", "y").cast("decimal(38,0)"))).first()
     assert tuple(found) == tuple(want)
+
+
+def test_a_batch_of_long_texts_is_encoded_in_parts():
+    import pyarrow as pa
+
+    from tokenmill.functions.tokenizers import STRETCH, BpeTokenizer, ranks_from_merges
+
+    tokenizer = BpeTokenizer(ranks_from_merges(["ab"]))
+    texts = ["abc" * 200_000, None, "", "é" * 300_000, *["abc" * 100] * 3000, "x" * (STRETCH + 1), None]
+    parts = list(tokenizer._encode.func(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert max(len(p.flatten()) for p in parts) <= STRETCH + 1 and len(parts) > 3
+    got = [row for p in parts for row in p.to_pylist()]
+    assert got[:3] == [[256, ord("c")] * 200_000, None, []] and got[3] == [0xC3, 0xA9] * 300_000
+    assert got[4:] == [*[[256, ord("c")] * 100] * 3000, [ord("x")] * (STRETCH + 1), None]
+    back = [t for p in tokenizer._decode.func(iter(parts)) for t in p.to_pylist()]
+    assert back == texts

@@ -7,9 +7,11 @@ encoding: then they move the text through the shuffle and encode behind it.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from tokenmill import constants as C
 
 TOKENS = T.ArrayType(T.IntegerType(), containsNull=False)
+STRETCH = 1 << 20  # bytes or tokens that a function holds at once, longer rows apart
 
 
 class ByteTokenizer:
@@ -113,20 +116,40 @@ def _bpe_functions(ranks: dict[bytes, int], pattern: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoding()
         for batch in batches:
-            texts = batch.to_pylist()
-            coded = iter(coder.encode_ordinary_batch([t for t in texts if t is not None], num_threads=1))
-            yield pa.array([None if t is None else next(coded) for t in texts], pa.list_(pa.int32()))
+            for part in _parts(batch, pc.binary_length(batch)):
+                # one buffer for all ids: as Python numbers they take many times the text
+                ids, ends = array("i"), array("i", [0])
+                for text in part:
+                    if text.is_valid:
+                        ids.extend(coder.encode_ordinary(text.as_py()))
+                    ends.append(len(ids))
+                yield pa.ListArray.from_arrays(_numbers(ends), _numbers(ids), mask=part.is_null())
 
     @F.arrow_udf(T.StringType())
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoding()
         for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.array([None if tokens is None else coder.decode(tokens) for tokens in rows], pa.string())
+            for part in _parts(batch, pc.list_value_length(batch)):
+                yield pa.array([coder.decode(row.as_py()) if row.is_valid else None for row in part], pa.string())
 
     return encode, decode
 
 
+def _parts(batch: pa.Array, lengths: pa.Array) -> Iterator[pa.Array]:
+    """Runs of rows of ``STRETCH`` bytes or tokens, or one longer row each: a batch is cut by rows, and these may be long."""
+    begin = filled = 0
+    for place, length in enumerate(lengths.to_pylist()):
+        if filled and filled + (length or 0) > STRETCH:
+            yield batch.slice(begin, place - begin)
+            begin, filled = place, 0
+        filled += length or 0
+    yield batch.slice(begin)
+
+
+def _numbers(values: array) -> pa.Array:
+    return pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values)])
+
+
 def parse_ranks(lines: Iterable[str]) -> dict[bytes, int]:
     """Rank table from lines of ``base64(token) rank``."""
     ranks = {}
