@@ -116,3 +116,24 @@ def test_only_committed_attempts_stay(tmp_path):
     writer.commit([kept, None])
     left = {f"file://{f}" for f in glob.glob(f"{tmp_path}/p/*.bin")}
     assert left == {p[1] for p in kept.parts} and [p[2:] for p in kept.parts] == [(0, 2, 2, 0), (5, 1, 2, 0)]
+
+
+def test_blocks_of_a_large_batch_are_cut_some_at_a_time():
+    import numpy as np
+    import pyarrow as pa
+
+    from tokenmill.functions.tokenizers import STRETCH
+    from tokenmill.operators.corpus import _cut_blocks
+
+    n, each, size = 300, 12_345, 256
+    tokens = (np.arange(n * each) % 50_000).astype(np.int32)
+    last = (n * each - size - 1) // size
+    columns = [pa.array(["train"] * n), pa.array([0] * n, pa.int32()), pa.array(np.arange(n) * each)]
+    columns += [pa.array([0] * n, pa.int64()), pa.array([last] * n, pa.int64())]
+    columns.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * each), pa.array(tokens)))
+    batch = pa.RecordBatch.from_arrays(columns, names=["split", "segment", "tok_start", "first", "last", "tokens"])
+    made = list(_cut_blocks(size, 1, iter([batch])))
+    assert max(len(b.column(2).flatten()) for b in made) <= 1.1 * STRETCH
+    assert [i for b in made for i in b.column(1).to_pylist()] == list(range(last + 1))
+    for block, record in enumerate(r for b in made for r in b.column(2).to_pylist()):
+        assert record == tokens[block * size : block * size + size + 1].tolist()

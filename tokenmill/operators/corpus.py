@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tokenmill import constants as C
 from tokenmill.functions import arrays
-from tokenmill.functions.tokenizers import document_length, document_tokens
+from tokenmill.functions.tokenizers import STRETCH, document_length, document_tokens
 from tokenmill.operators.ordering import SEGMENT, Running, kth_key, positions, precedes, running
 from tokenmill.session import cut_lineage, spread
 
@@ -235,7 +235,8 @@ def _cut_blocks(block_size: int, extra: int, batches: Iterator[pa.RecordBatch])
         begin = 0
         while begin < len(keys):
             end = begin + 1
-            while end < len(keys) and keys[end] == keys[begin]:
+            # a batch is cut by rows: its tokens are copied some at a time
+            while end < len(keys) and keys[end] == keys[begin] and offsets[end + 1] - offsets[begin] <= STRETCH:
                 end += 1
             if keys[begin] != segment:
                 if at <= last:
