@@ -231,3 +231,17 @@ def test_loss_of_examples_needs_no_tensors(spark):
     windows = tensors.sft_targets(tensors.sft_tensors(examples, 8, overflow="windows"))
     want = {r.id: r.loss for r in scoring.masked_loss(windows, scores, ["id"]).collect()}
     assert {r.id: r.loss for r in scoring.masked_loss_of_examples(examples, scores, ["id"]).collect()} == want
+
+
+def test_byte_pairs_are_counted_without_a_row_for_each_byte(spark):
+    texts = ["abab", None, "", "é€", "b", "", "ab" * 700_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    counts = scoring.bigram_counts(docs, BYTES)
+    want = Counter()
+    for text in texts:
+        if text is not None:
+            stream = [C.END_OF_TEXT, *text.encode(), C.END_OF_TEXT]
+            want.update(zip(stream, stream[1:]))
+    assert {(r["prev"], r["next"]): r["n"] for r in counts.collect()} == want
+    assert dict(counts.dtypes)["prev"] == "int"
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()

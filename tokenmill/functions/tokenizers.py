@@ -116,7 +116,7 @@ def _bpe_functions(ranks: dict[bytes, int], pattern: str):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoding()
         for batch in batches:
-            for part in _parts(batch, pc.binary_length(batch)):
+            for part in parts(batch, pc.binary_length(batch)):
                 # one buffer for all ids: as Python numbers they take many times the text
                 ids, ends = array("i"), array("i", [0])
                 for text in part:
@@ -129,13 +129,13 @@ def _bpe_functions(ranks: dict[bytes, int], pattern: str):
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoding()
         for batch in batches:
-            for part in _parts(batch, pc.list_value_length(batch)):
+            for part in parts(batch, pc.list_value_length(batch)):
                 yield pa.array([coder.decode(row.as_py()) if row.is_valid else None for row in part], pa.string())
 
     return encode, decode
 
 
-def _parts(batch: pa.Array, lengths: pa.Array) -> Iterator[pa.Array]:
+def parts(batch: pa.Array, lengths: pa.Array) -> Iterator[pa.Array]:
     """Runs of rows of ``STRETCH`` bytes or tokens, or one longer row each: a batch is cut by rows, and these may be long."""
     begin = filled = 0
     for place, length in enumerate(lengths.to_pylist()):

@@ -6,13 +6,17 @@ Log-probabilities are whole micro-nats, so sums do not depend on the order of th
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill import constants as C
-from tokenmill.functions.tokenizers import document_tokens
+from tokenmill.functions.tokenizers import STRETCH, ByteTokenizer, document_tokens, parts
 from tokenmill.session import cut_lineage, spread
 
 MICRO = 1_000_000
@@ -44,20 +48,42 @@ def bigram_counts(docs: DataFrame, tokenizer) -> DataFrame:
     Every document starts and ends at end-of-text, which makes the pairs those of the packed
     stream. Pairs are counted before they are shuffled.
     """
-    end = F.array(tokenizer.end_of_text())
     texts = spread(docs.select("doc_id", "text"), "doc_id")
-    tokens = texts.select(document_tokens(tokenizer, F.col("text")).alias("tokens"))
-    shifted = F.concat(end, F.slice("tokens", F.lit(1), F.size("tokens") - 1))
-    pairs = tokens.select(F.explode(F.arrays_zip(shifted.alias("prev"), F.col("tokens").alias("next"))).alias("p"))
-    counts = pairs.groupBy(F.col("p.prev").alias("prev"), F.col("p.next").alias("next")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    if isinstance(tokenizer, ByteTokenizer):  # few enough ids for a table of counts in each task
+        seen = texts.where(F.col("text").isNotNull()).select("text").mapInArrow(_byte_pairs, "prev INT, next INT, n BIGINT")
+        counts = seen.groupBy("prev", "next").agg(F.sum("n").alias("n"))
+    else:
+        end = F.array(tokenizer.end_of_text())
+        tokens = texts.select(document_tokens(tokenizer, F.col("text")).alias("tokens"))
+        shifted = F.concat(end, F.slice("tokens", F.lit(1), F.size("tokens") - 1))
+        pairs = tokens.select(F.explode(F.arrays_zip(shifted.alias("prev"), F.col("tokens").alias("next"))).alias("p"))
+        counts = pairs.groupBy(F.col("p.prev").alias("prev"), F.col("p.next").alias("next")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
     context = F.sum("n").over(Window.partitionBy("prev"))  # at most one row per vocabulary entry
     return counts.withColumn("n_prev", context).withColumn(
         "logprob_micro", _micro((F.col("n") + 1) / (F.col("n_prev") + C.VOCAB_SIZE))
     )
 
 
+def _byte_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(prev, next, n) of a task's texts as bytes, each between two ends of text: one table of counts, 257 times 257."""
+    ids, totals = 257, np.zeros(257 * 257, np.int64)
+    for batch in batches:
+        for texts in parts(batch.column(0), pc.binary_length(batch.column(0))):
+            lengths = pc.binary_length(texts).to_numpy().astype(np.int64)
+            stream = np.full(lengths.sum() + len(texts) + 1, ids - 1, np.uint16)
+            inside = np.ones(len(stream), bool)
+            inside[np.concatenate(([0], np.cumsum(lengths + 1)))] = False
+            stream[inside] = np.frombuffer(b"".join([t.as_buffer() for t in texts]), np.uint8)
+            for at in range(0, len(stream) - 1, STRETCH):
+                part = stream[at : at + STRETCH + 1].astype(np.int64)
+                totals += np.bincount(part[:-1] * ids + part[1:], minlength=ids * ids)
+    found = np.flatnonzero(totals)
+    pair = [np.where(p == ids - 1, C.END_OF_TEXT, p).astype(np.int32) for p in (found // ids, found % ids)]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, pair), pa.array(totals[found])], names=["prev", "next", "n"])
+
+
 def _micro(probability: Column) -> Column:
     return F.round(F.ln(probability) * MICRO).cast("bigint")
 
