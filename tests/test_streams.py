@@ -1,8 +1,10 @@
 import os
 import shutil
 import time
+from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 
 from tokenmill.functions.tokenizers import ByteTokenizer
 from tokenmill.operators import corpus, metrics
@@ -140,3 +142,47 @@ def test_flags_of_a_stream_equal_the_batch(spark, tiny, tmp_path, parts):
         best.track_flags(stream, target, state, eval_every=2)
     want = metrics.best_checkpoints(log, eval_every=2).collect()
     assert _flags(best.read_flags(spark, target).collect()) == _flags(want)
+
+
+class _Value:
+    held = None
+
+    def get(self):
+        return self.held
+
+    def exists(self):
+        return self.held is not None
+
+    def update(self, value):
+        self.held = value
+
+
+class _Map(dict):
+    calls = 0
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self[key] = value
+
+    def containsKey(self, key):  # noqa: N802
+        return key in self
+
+    def getValue(self, key):  # noqa: N802
+        return self[key]
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+def test_steps_that_arrive_together_are_one_entry_and_have_one_flag():
+    flags = best.BestFlags(2, 500, 0)
+    flags.top, flags.steps = _Value(), _Map()
+    row = lambda step, value, second: Row(step=step, value=value, logged_at=datetime(2024, 1, 1, 0, 0, second))
+    first = list(flags.handleInputRows((1, "m"), iter([row(i, 1000.0 - i, 1) for i in range(1, 800)]), None))
+    assert [r.step for r in first if r.is_best] == list(range(2, 800, 2)) and flags.steps.calls == 1
+    # an older value of step 4 changes nothing; a later one is below all others, and the step behind the last one sees it
+    assert not list(flags.handleInputRows((1, "m"), iter([row(4, 1.0, 0)]), None))
+    again = list(flags.handleInputRows((1, "m"), iter([row(4, 1.0, 2), row(800, 2.0, 2), row(0, None, 2)]), None))
+    given = {r.step: (r.value, r.is_best) for r in again}
+    assert len(given) == len(again) == 400 and given[4] == (1.0, True) and given[800] == (2.0, False) and given[0] == (None, False)
+    assert all(not is_best for step, (_, is_best) in given.items() if step > 4) and flags.steps.calls == 3

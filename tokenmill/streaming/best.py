@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from tokenmill import constants as C
 
 BEST = "run BIGINT, metric STRING, step BIGINT, value DOUBLE"
 FLAGS = BEST + ", is_best BOOLEAN, is_saved BOOLEAN"
+STRETCH = 1000  # steps in one entry of the state
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -55,7 +58,8 @@ class BestFlags(StatefulProcessor):
 
     A row behind the last step is flagged against the lowest value alone. One at or before it comes from a
     resumed run or a late file: it replaces its step's value if it was logged later, and the rows from
-    there on whose flags change are given again.
+    there on whose flags change are given again. A call of the state costs more than a row, so steps that arrive together
+    are kept together, as a stretch of [step, value, time, is best] under its first step.
     """
 
     def __init__(self, eval_every: int, save_every: int, start_step: int):
@@ -63,7 +67,7 @@ class BestFlags(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.top = handle.getValueState("top", "step BIGINT, lowest DOUBLE")
-        self.steps = handle.getMapState("steps", "step BIGINT", "value DOUBLE, logged_at TIMESTAMP_NTZ, is_best BOOLEAN")
+        self.steps = handle.getMapState("stretches", "first BIGINT", "rows STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         newest: dict[int, tuple] = {}
@@ -71,32 +75,45 @@ class BestFlags(StatefulProcessor):
             own = row.value, row.logged_at
             if row.step not in newest or _order(row.logged_at, row.value) > _order(*newest[row.step][::-1]):
                 newest[row.step] = own
-        top = self.top.get() if self.top.exists() else None
+        top = self.top.get()
         last, lowest = (top[0], top[1]) if top else (None, math.inf)
-        changed = []
-        for step in sorted(newest):
+        steps, added = sorted(newest), []
+        late = [step for step in steps if last is not None and step <= last]
+        if late:
+            stretches = {k[0]: json.loads(v[0]) for k, v in self.steps.iterator()}
+            held = {row[0]: row for stretch in stretches.values() for row in stretch}
+            changed = set()
+            for step in late:
+                value, logged_at = newest[step]
+                row = held.get(step)
+                if row is None:
+                    row = held[step] = [step, None, None, None]
+                    added.append(row)
+                elif _order(logged_at, value) <= _order(row[2] and datetime.fromisoformat(row[2]), row[1]):
+                    continue
+                row[1:] = value, logged_at and logged_at.isoformat(), None
+                changed.add(step)
+            if changed:
+                lowest = math.inf
+                for step in sorted(held):
+                    row = held[step]
+                    best = self._is_best(step, row[1], lowest)
+                    lowest = row[1] if best else lowest
+                    if step in changed or best != row[3]:
+                        row[3] = best
+                        changed.add(step)
+                        yield self._row(key, step, row[1], best)
+                for first, stretch in stretches.items():
+                    if any(row[0] in changed for row in stretch):
+                        self.steps.updateValue((first,), (json.dumps(stretch),))
+        for step in steps[len(late) :]:
             value, logged_at = newest[step]
-            if last is not None and step <= last:
-                if self.steps.containsKey((step,)):
-                    held = self.steps.getValue((step,))
-                    if _order(logged_at, value) <= _order(held[1], held[0]):
-                        continue
-                self.steps.updateValue((step,), (value, logged_at, None))
-                changed.append(step)
-            else:
-                best = self._is_best(step, value, lowest)
-                self.steps.updateValue((step,), (value, logged_at, best))
-                yield self._row(key, step, value, best)
-                last, lowest = step, value if best else lowest
-        if changed:
-            held = sorted((k[0], v) for k, v in self.steps.iterator())
-            lowest = math.inf
-            for step, (value, logged_at, was) in held:
-                best = self._is_best(step, value, lowest)
-                lowest = value if best else lowest
-                if step in changed or best != was:
-                    self.steps.updateValue((step,), (value, logged_at, best))
-                    yield self._row(key, step, value, best)
+            best = self._is_best(step, value, lowest)
+            added.append([step, value, logged_at and logged_at.isoformat(), best])
+            yield self._row(key, step, value, best)
+            last, lowest = step, value if best else lowest
+        for at in range(0, len(added), STRETCH):
+            self.steps.updateValue((added[at][0],), (json.dumps(added[at : at + STRETCH]),))
         if last is not None:
             self.top.update((last, lowest))
 
