@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenmill import session
 from tokenmill.functions.tokenizers import ByteTokenizer
 from tokenmill.operators import corpus, instruct, metrics
+from tokenmill.plans import queries
 from tokenmill.sources import files, readers, writers
 
 
@@ -156,6 +157,31 @@ def test_log_file_and_results(spark, tmp_path):
     assert (row.lambada, row.val_loss, row.hellaswag) == (35.3, 1.3704, None)
 
 
+def test_logs_share_files_in_the_order_of_their_lines(spark, tmp_path):
+    rows = [(log, n, f"line {n}\tof {log}") for log in range(300) for n in (3, 1, 2)]
+    rows += [(-5, 1, None), (7, 4, "a\nb\r\nc\n"), (None, 1, "  Lambada   35.30%")]
+    lines = spark.createDataFrame(rows, "log long, line_no long, line string").repartition(16)
+    writers.write_logs(lines, f"{tmp_path}/logs")
+    assert len([f for f in os.listdir(tmp_path / "logs") if f.startswith("part-")]) <= 16
+    placed = F.sort_array(F.collect_list(F.struct("line_no", "line")))
+    read = readers.named_logs(spark, f"{tmp_path}/logs").groupBy("log").agg(placed)
+    found = {log: [r.line for r in part] for log, part in read.collect()}
+    expected = {str(log): [f"line {n}\tof {log}" for n in (1, 2, 3)] for log in range(300)}
+    expected["7"] += ["a", "b", "c", ""]
+    assert found == expected | {"-5": [""], None: ["  Lambada   35.30%"]}
+
+
+def test_log_roundtrip_writes_files_by_partition(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' ts", "id % 2000 user_id", "'purchase' event_type", "id * 0.01D value"
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = queries.QUERIES["eval_log_roundtrip"](spark, str(tmp_path))
+    assert sorted(found.collect(), key=str) == sorted(queries.QUERIES["parse_eval_log"](spark, str(tmp_path)).collect(), key=str)
+    assert sum(len(names) for _, _, names in os.walk(tmp_path / "logs")) < 200
+
+
 def test_metric_log_is_appended(spark, tmp_path):
     log = spark.sql("select 1L run, 2L step, 'm' metric, 3.0D value, timestamp_ntz'2024-01-01 00:00:00' logged_at")
     later = log.withColumn("value", F.lit(4.0)).withColumn("logged_at", F.expr("logged_at + interval 1 hour"))

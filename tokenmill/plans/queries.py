@@ -490,10 +490,8 @@ def parse_eval_log(spark: SparkSession, folder: str) -> DataFrame:
 def eval_log_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Report lines to log files, these to result objects in files, and back to metrics."""
     logs, results = fresh_path(spark, "logs"), fresh_path(spark, "results")
-    lines = _report_lines(spark, folder).repartition("log").sortWithinPartitions("log", "line_no")
-    lines.select("log", "line").write.partitionBy("log").text(logs)
-    read = readers.text_log(spark, logs)
-    named = read.withColumn("log", F.regexp_extract("log", r"/log=(\d+)/", 1).cast("bigint"))
+    writers.write_logs(_report_lines(spark, folder), logs)
+    named = readers.named_logs(spark, logs).withColumn("log", F.col("log").cast("bigint"))
     writers.write_results(metrics.results_json(metrics.parse_log(named), named=True), results)
     return metrics.long_results(readers.results_lines(spark, results), ["log"])
 

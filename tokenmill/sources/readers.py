@@ -47,6 +47,12 @@ def text_log(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.col("_metadata.file_path").alias("log"), place.alias("line_no"), F.col("value").alias("line"))
 
 
+def named_logs(spark: SparkSession, path: str) -> DataFrame:
+    """(log, line_no, line) of files as ``write_logs`` leaves them: the name before the first tab is that of the log; none is null."""
+    name, line = F.substring_index("line", "\t", 1), F.expr("substring(line, locate('\t', line) + 1)")
+    return text_log(spark, path).select(F.nullif(name, F.lit("")).alias("log"), "line_no", line.alias("line"))
+
+
 def checkpoint_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path) of numbered checkpoints; contents are never read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "ckpt_*.pt").load(folder)

@@ -46,6 +46,19 @@ def append_metrics(log: DataFrame, path: str) -> None:
     log.select("run", "step", "metric", "value", "logged_at").write.mode("append").parquet(path)
 
 
+def write_logs(lines: DataFrame, path: str) -> None:
+    """(log, line_no, line) as text files of many logs each; every line begins with the name of its log and a tab.
+
+    A log is whole in one file, in the order of its lines, so there are as many files as partitions, however many logs
+    there are. A line with line breaks is several lines of its log, null is an empty one. Names have no tab or line break.
+    """
+    name = F.coalesce(F.col("log").cast("string"), F.lit(""))
+    parts = F.split(F.coalesce("line", F.lit("")), r"\r\n|\r|\n")
+    text = F.array_join(F.transform(parts, lambda part: F.concat(name, F.lit("\t"), part)), "\n")
+    placed = lines.repartition("log").sortWithinPartitions("log", "line_no")
+    placed.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """One JSON object per log, as text lines."""
     results.select("json").write.mode("overwrite").text(path)
