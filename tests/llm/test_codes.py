@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,29 @@ def test_any_ids_are_decoded_as_the_library_does(library):
         assert decode(ids) == library.decode(ids)
 
 
+@pytest.mark.parametrize("at_once", [7, 1 << 20])
+def test_a_column_of_ids_is_decoded_as_its_rows(library, monkeypatch, at_once):
+    monkeypatch.setattr(pieces, "DECODED", at_once)
+    rng, model = random.Random(6), pieces.read_model(pieces.MODEL)
+    decode = pieces.column_decoder(model)
+    for ids in (range(3, 32000), range(3, 300), [1, 2, 0, 29871, 400, 3 + 0xE6]):
+        rows = [rng.choices([*ids, 29871], k=rng.randrange(12)) for _ in range(400)] + [None, [], list(ids)]
+        rng.shuffle(rows)
+        lists = pa.array([[5], *rows], pa.list_(pa.int32())).slice(1)
+        assert decode(lists) == [None if row is None else library.decode(row) for row in rows]
+    with pytest.raises(ValueError):
+        decode(pa.array([[3], [-1]], pa.list_(pa.int32())))
+    with pytest.raises(IndexError):
+        decode(pa.array([[3], [32000]], pa.list_(pa.int32())))
+
+
+def test_words_are_cut_before_each_run_of_spaces(library):
+    encode = pieces.encoder(pieces.read_model(pieces.MODEL))
+    for text in (" a", "  a", "a ", "a  ", "a  b c", "a▁ b", "a ▁b", "▁", " ▁", "a.\nB, c!!", "a b" * 9 + "  ", "x " * 300_000, " x" * 300_000):
+        for _ in range(2):  # made, then remembered
+            assert np.frombuffer(encode(text), np.int32).tolist() == library.encode(text)
+
+
 def test_a_full_memory_of_chunks_changes_nothing(monkeypatch, library):
     monkeypatch.setattr(pieces, "REMEMBERED", 3)
     monkeypatch.setattr(pieces, "PAIRS", 3)

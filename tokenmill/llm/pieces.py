@@ -8,15 +8,19 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby, pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Chunks and token pairs that a worker remembers at most, longest chunk that it remembers; characters cut at once.
-REMEMBERED, PAIRS, LONGEST, WINDOW = 800_000, 400_000, 48, 1 << 18
+#: Words and chunks that a worker remembers at most, token pairs, longest chunk that it remembers; characters cut at once.
+REMEMBERED, PAIRS, LONGEST, WINDOW = 300_000, 300_000, 48, 1 << 18
+#: Ids decoded at once, or one longer row.
+DECODED = 1 << 20
 
 # fixed values: piece types and model type of the SentencePiece model format
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -128,22 +132,42 @@ def encoder(model: dict) -> Callable[[str], bytes]:
     so the work grows with the length. Longest matches come from an Aho-Corasick automaton of the reversed tokens,
     run over the reversed chunk once: what ends at a place there begins there here.
 
-    A text is cut where no piece goes on, between signs that no piece has side by side (see ``chunk_pattern``), and each chunk
-    is encoded by itself. Chunks come back, so a bounded number of them is remembered with their ids.
+    A text is cut where no piece goes on, first before spaces, then between signs that no piece has side by side (see
+    ``chunk_pattern``), and each chunk is encoded by itself. Words and chunks come back, so a bounded number of them is
+    remembered with their ids.
     """
     import ahocorasick
 
+    class Memory(dict):
+        """Bytes of words and chunks; what is not there is made, and what has not come up for a while is forgotten."""
+
+        older: dict[str, bytes] = {}
+
+        def __missing__(self, word: str) -> bytes:
+            ids = self.older.get(word)
+            if ids is None:
+                parts = chunks.findall(word)
+                ids = coded(word) if len(parts) == 1 else b"".join(map(self.__getitem__, parts))
+            if len(word) <= LONGEST:
+                if len(self) >= REMEMBERED // 2:
+                    self.older = dict(self)
+                    self.clear()
+                self[word] = ids
+            return ids
+
     scores, types, tokens = model["scores"], model["types"], set(model["tokens"])
     number = {p: i for i, (p, t) in enumerate(zip(model["pieces"], types)) if t == NORMAL}
     fallback = {int(p[1:-1], 16): i for i, (p, t) in enumerate(zip(model["pieces"], types)) if t == BYTE}
     automaton = ahocorasick.Automaton()
-    for token in tokens:  # with the tokens that are prefixes of it, itself first
-        automaton.add_word(token[::-1], tuple(token[:k] for k in range(len(token), 0, -1) if token[:k] in tokens))
+    same = {token: token for token in tokens}  # one string for a token wherever it is met
+    for token in (t for t in same if len(t) > 1):  # with the tokens that are prefixes of it, itself first
+        prefixes = (same.get(token[:k]) for k in range(len(token), 0, -1))
+        automaton.add_word(token[::-1], tuple(p for p in prefixes if p is not None))
     automaton.make_automaton()
     cuts = not any(SPACE in p.lstrip(SPACE) for p in scores)  # else the texts are not cut
     chunks = re.compile(chunk_pattern(scores) if cuts else "(?s:.+)")
-    ids_of: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
+    runs = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if cuts else "(?s:.+)")
+    memory = Memory()
     known: dict[tuple[str, str], bool] = {}
     firsts: dict[str, dict[str, int]] = {}
     nothing: dict[str, int] = {}
@@ -177,13 +201,13 @@ def encoder(model: dict) -> Callable[[str], bytes]:
         if chunk in tokens:
             return [chunk]
         size = len(chunk)
-        # a sign that no piece has stands alone and never merges; of the tokens that end at a place the longest comes first
-        longest: list[tuple[str, ...] | None] = [None] * size
-        for end, prefixes in automaton.iter(chunk[::-1]):
-            if longest[size - 1 - end] is None:
-                longest[size - 1 - end] = prefixes
+        # by places from the end; of the tokens that end at a place the longest comes first, so it is entered last.
+        # Where there is none, the sign stands alone: one that no piece has never merges
+        found = [*automaton.iter(chunk[::-1])]
+        found.reverse()
+        longest, last = dict(found), size - 1
         at, taken, tried, failed = 0, [], [], None
-        prefixes, k = longest[0] or (chunk[0],), 0
+        prefixes, k = longest.get(last) or (chunk[0],), 0
         while at < size:
             while k < len(prefixes):
                 token = prefixes[k]
@@ -196,7 +220,7 @@ def encoder(model: dict) -> Callable[[str], bytes]:
                 tried.append((prefixes, k))
                 at = to
                 if at < size:
-                    prefixes = longest[at] or (chunk[at],)
+                    prefixes = longest.get(last - at) or (chunk[at],)
                     k = firsts.get(token, nothing).get(prefixes[0])
                     if k is None:
                         k = first_behind(token, prefixes)
@@ -229,35 +253,34 @@ def encoder(model: dict) -> Callable[[str], bytes]:
             yield text[at:end]
             at = end
 
+    def words(window: str) -> list[str]:
+        """The window cut before each run of spaces."""
+        if cuts and SPACE + SPACE not in window:
+            return window.replace(SPACE, " " + SPACE).split(" ")
+        return runs.findall(window)
+
     def encode(text: str) -> bytes:
-        nonlocal ids_of, older
-        out = []
-        for window in windows((SPACE if model["dummy_prefix"] else "") + text.replace(" ", SPACE)) if text else ():
-            for chunk in chunks.findall(window):
-                ids = ids_of.get(chunk)
-                if ids is None:
-                    ids = older.get(chunk) or coded(chunk)
-                    if len(chunk) <= LONGEST:  # what has not come up for a while is forgotten
-                        if len(ids_of) >= REMEMBERED // 2:
-                            ids_of, older = {}, ids_of
-                        ids_of[chunk] = ids
-                out.append(ids)
-            out = [b"".join(out)]
-        return out[0] if out else b""
+        shown = (SPACE if model["dummy_prefix"] else "") + text.replace(" ", SPACE) if text else ""
+        return b"".join([b"".join(map(memory.__getitem__, words(window))) for window in windows(shown)])
 
     return encode
 
 
+def spelled_pieces(model: dict) -> list[bytes]:
+    """What each id stands for."""
+    spellings = []
+    for piece, kind in zip(model["pieces"], model["types"]):
+        text = {CONTROL: "", UNKNOWN: model["unknown"]}.get(kind, piece.replace(SPACE, " "))
+        spellings.append(bytes([int(piece[1:-1], 16)]) if kind == BYTE else text.encode())
+    return spellings
+
+
 def decoder(model: dict) -> Callable[[list[int]], str]:
     """A function from ids to text: pieces joined, byte pieces read as UTF-8 with a replacement sign for each wrong byte.
 
     The one space that encoding put in front goes; control pieces have no text. Unknown ids raise.
     """
-    spellings = []
-    for piece, kind in zip(model["pieces"], model["types"]):
-        text = {CONTROL: "", UNKNOWN: model["unknown"]}.get(kind, piece.replace(SPACE, " "))
-        spellings.append(bytes([int(piece[1:-1], 16)]) if kind == BYTE else text.encode())
-    types = model["types"]
+    spellings, types = spelled_pieces(model), model["types"]
     codecs.register_error("each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
     controls = frozenset(i for i, kind in enumerate(types) if kind == CONTROL)
 
@@ -278,6 +301,48 @@ def decoder(model: dict) -> Callable[[list[int]], str]:
     return decode
 
 
+def column_decoder(model: dict) -> Callable[[pa.Array], list[str | None]]:
+    """``decoder`` for a column of id lists: the pieces of many rows are looked up and joined at once.
+
+    Rows with control pieces are rare and go one by one.
+    """
+    decode = decoder(model)
+    spellings = pa.array(spelled_pieces(model), pa.large_binary())
+    kinds = np.array(model["types"], np.uint8)
+
+    def joined(lists: pa.Array) -> list[str | None]:
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        ids = lists.flatten()
+        flat = ids.to_numpy(zero_copy_only=False)
+        if len(flat) and flat.min() < 0:
+            raise ValueError("negative id")
+        kind = kinds[flat]
+        if (kind == CONTROL).any():
+            return [None if row is None else decode(row) for row in lists.to_pylist()]
+        bounds = pa.array(np.concatenate([[0], ends]), pa.int64())
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(bounds, spellings.take(ids)), pa.scalar(b"", pa.large_binary()))
+        firsts = np.zeros(len(lists), bool)
+        filled = lengths > 0
+        firsts[filled] = kind[(ends - lengths)[filled]] == NORMAL
+        out: list[str | None] = []
+        for text, first, valid in zip(texts.to_pylist(), firsts.tolist(), lists.is_valid().to_pylist()):
+            shown = text.decode(errors="each_byte") if valid else None
+            out.append(shown[1:] if first and model["dummy_prefix"] and shown.startswith(" ") else shown)
+        return out
+
+    def decode_column(lists: pa.Array) -> list[str | None]:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        out, at, done = [], 0, 0
+        while at < len(lists):
+            to = max(at + 1, int(np.searchsorted(ends, done + DECODED, side="right")))
+            out += joined(lists.slice(at, to - at))
+            at, done = to, int(ends[to - 1])
+        return out
+
+    return decode_column
+
+
 def shared(value: dict, name: str, make: Callable):
     """What ``make`` builds from a broadcast value, once per Python worker: the value stays there between tasks."""
     if name not in value:
@@ -316,9 +381,9 @@ def decode_ids(coded: DataFrame, model: str = MODEL, keep: tuple[str, ...] = ("d
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = shared(known.value, "decode", decoder)
+        decode = shared(known.value, "decode", column_decoder)
         for batch in batches:
-            texts = [None if ids.as_py() is None else decode(ids.as_py()) for ids in batch.column(len(keep))]
+            texts = decode(batch.column(len(keep)))
             columns = [batch.column(i).cast(arrow.field(i).type) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, arrow.field(len(keep)).type)], schema=arrow)
 
